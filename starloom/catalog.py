@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import date_key
 from starloom.operators import control, history
-from starloom.operators.lookup import Role, resolve_point_in_time
+from starloom.operators.lookup import LookupLimits, Role, resolve_point_in_time
 from starloom.operators.ordered import dense_keys
 from starloom.operators.replace import replace_by_invoice
 from starloom.plans import dimensions, facts, quality, reports
@@ -166,6 +166,14 @@ def _pit(name: str) -> Query:
     return lambda spark, sf_dir: _resolved(spark, sf_dir, [ROLES[name]])
 
 
+def pit_salesperson_swept(spark, sf_dir):
+    """The salesperson lookup by the sweep that serves keys with any number of versions."""
+    staged = testdata.sale_staging(spark, sf_dir).select("Sale_Key", "WWI_Salesperson_ID", "Last_Modified_When")
+    return resolve_point_in_time(
+        staged, "Last_Modified_When", [ROLES["pit_salesperson"]], testdata.histories(spark, sf_dir), limits=LookupLimits(versions_per_key=64)
+    )
+
+
 def pit_all_roles(spark, sf_dir):
     return _resolved(spark, sf_dir, list(ROLES.values()))
 
@@ -335,6 +343,7 @@ QUERIES: dict[str, Query] = {
     "fact_measures": fact_measures,
     "date_key": date_keys,
     **{name: _pit(name) for name in ROLES},
+    "pit_salesperson_swept": pit_salesperson_swept,
     "pit_all_roles": pit_all_roles,
     "rows_to_close_off": rows_to_close_off,
     "scd2_close": scd2_close,

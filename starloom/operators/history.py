@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom.constants import end_of_time
 from starloom.operators.lookup import duplicate_keys
 from starloom.operators.ordered import dense_keys
+from starloom.session import materialise
 
 VALID_FROM = "Valid_From"
 VALID_TO = "Valid_To"
@@ -59,11 +60,16 @@ def close_versions(dimension: DataFrame, staging: DataFrame, spec: HistorySpec)
 
 
 def number_staged(dimension: DataFrame, staging: DataFrame, spec: HistorySpec) -> DataFrame:
-    """Staged versions with keys that continue after the largest key in use."""
+    """Staged versions with keys that continue after the largest key in use, by business key and start.
+
+    Versions that share both are told apart by a short hash, which keeps wide columns out of the sort
+    key, and exact copies by their place in the written batch, so that any number of copies still
+    spreads over all sort tasks. The batch is written first to make that place the same on a retry.
+    """
     largest = F.coalesce(dimension.agg(F.max(spec.surrogate).alias("largest")).scalar(), F.lit(0))
-    leading = [spec.business_key, VALID_FROM]
-    order = leading + [c for c in staging.columns if c not in leading]
-    return dense_keys(staging, order, spec.surrogate, after=largest)
+    placed = materialise(staging, "staged").withColumn("_place", F.monotonically_increasing_id())
+    order = [spec.business_key, VALID_FROM, F.xxhash64(*staging.columns), "_place"]
+    return dense_keys(placed, order, spec.surrogate, after=largest).drop("_place")
 
 
 def apply_history(dimension: DataFrame, staging: DataFrame, spec: HistorySpec, lineage_key: Column | int) -> DataFrame:

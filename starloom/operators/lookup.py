@@ -61,9 +61,13 @@ class Role:
 
 @dataclass(frozen=True)
 class LookupLimits:
-    """Counted sizes up to which a dimension is joined directly, and up to which it is broadcast."""
+    """Counted sizes up to which a dimension is joined directly, and up to which it is broadcast.
 
-    versions_per_key: int = 256
+    A direct join tries all versions of a key for each of its rows. Near a thousand of them that
+    costs as much as sorting the row into the sweep.
+    """
+
+    versions_per_key: int = 1024
     broadcast_rows: int = 500_000
 
 

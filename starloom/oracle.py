@@ -44,9 +44,7 @@ VIEWS = {
                (o_orderkey % 5)::INTEGER AS TotalDryItems, (o_orderkey % 3)::INTEGER AS TotalChillerItems
         FROM orders""",
     "invoicelines": """
-        SELECT ('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity::INTEGER,
-                   l_extendedprice::DECIMAL(18,2), l_discount::DECIMAL(6,3), l_tax::DECIMAL(6,3),
-                   l_returnflag, l_linestatus, strftime(l_shipdate, '%Y%m%d'))), 1, 15))::BIGINT AS InvoiceLineID,
+        SELECT ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::INTEGER)), 1, 15))::BIGINT AS InvoiceLineID,
                CASE WHEN l_partkey % 499 = 0 THEN NULL ELSE l_orderkey END AS InvoiceID,
                CASE WHEN l_orderkey % 103 = 0 THEN -1 ELSE l_partkey END AS StockItemID,
                l_returnflag || l_linestatus || '-' || l_partkey AS Description,
@@ -317,6 +315,7 @@ ORACLE: dict[str, str] = {
     "date_key": "SELECT o_orderkey AS InvoiceID, strftime(o_orderdate, '%Y%m%d')::INTEGER AS Invoice_Date_Key FROM orders",
     # point-in-time lookups
     **{name: _as_of_query(name) for name in _ROLES},
+    "pit_salesperson_swept": _as_of_query("pit_salesperson"),
     "pit_all_roles": _as_of_query(*_ROLES),
     # history
     "rows_to_close_off": _over(

@@ -1,0 +1,126 @@
+"""Point-in-time lookup: hand-computed cases, agreement of all ways, skew and plan shape."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.constants import END_OF_TIME
+from starloom.operators.lookup import LookupLimits, Role, VersionedDimension, resolve_point_in_time
+
+END = datetime.fromisoformat(END_OF_TIME)
+DIM = "key bigint, bk string, Valid_From timestamp_ntz, Valid_To timestamp_ntz"
+PROBE = "n int, bk string, t timestamp_ntz"
+WAYS = {
+    "broadcast": LookupLimits(),
+    "shuffled": LookupLimits(broadcast_rows=0),
+    "swept": LookupLimits(versions_per_key=0),
+}
+
+
+def day(n):
+    return datetime(2020, 1, 1) + timedelta(days=n)
+
+
+def resolve(spark, versions, probes, limits, unknown_key=0):
+    dim = VersionedDimension(spark.createDataFrame(versions, DIM), "bk", "key")
+    staged = spark.createDataFrame([(i, *probe) for i, probe in enumerate(probes)], PROBE)
+    df = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], {"d": dim}, unknown_key, limits)
+    return [row["found"] for row in df.orderBy("n").collect()]
+
+
+def brute_force(versions, probes, unknown_key=0):
+    answers = []
+    for bk, t in probes:
+        hits = [
+            (start, key)
+            for key, vbk, start, end in versions
+            if None not in (bk, t, vbk, start, end) and vbk == bk and start < t <= end
+        ]
+        answers.append(min(hits)[1] if hits else unknown_key)
+    return answers
+
+
+BASE = [(1, "A", day(1), day(5)), (2, "A", day(5), END), (3, "B", day(3), END)]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_boundaries_unknowns_and_copies(spark, way):
+    probes = [("A", day(1)), ("A", day(2)), ("A", day(5)), ("A", day(6)), ("B", day(2)), ("C", day(2)), (None, day(2)), ("A", None), ("A", day(2)), ("A", day(2))]
+    assert resolve(spark, BASE, probes, WAYS[way]) == [0, 1, 1, 2, 0, 0, 0, 0, 1, 1]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_earliest_start_wins_an_overlap(spark, way):
+    versions = [*BASE, (4, "A", day(2), END)]
+    assert resolve(spark, versions, [("A", day(6)), ("A", day(4))], WAYS[way]) == [4, 1]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_unknown_stays_null_on_request(spark, way):
+    assert resolve(spark, BASE, [("C", day(2)), ("A", day(2))], WAYS[way], unknown_key=None) == [None, 1]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_empty_dimension_and_unusable_versions(spark, way):
+    useless = [(1, "A", day(3), day(3)), (2, "A", day(5), day(1)), (3, "A", None, END), (4, "A", day(0), None), (5, None, day(0), END)]
+    assert resolve(spark, useless, [("A", day(3))], WAYS[way]) == [0]
+    assert resolve(spark, [], [("A", day(3))], WAYS[way]) == [0]
+
+
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_overlaps_match_brute_force(spark, way, seed):
+    rng = random.Random(seed)
+    names = ["A"] * 6 + ["B", "C", "D", None]
+    versions = [(k, rng.choice(names), day(rng.randint(0, 60)), day(rng.randint(0, 60))) for k in range(1, 120)]
+    probes = [(rng.choice([*names, "Z"]), day(rng.randint(-2, 63))) for _ in range(400)]
+    assert resolve(spark, versions, probes, WAYS[way]) == brute_force(versions, probes)
+
+
+def test_one_key_with_most_rows_spreads_over_sort_tasks(spark, monkeypatch):
+    """A third of all versions and probes belongs to one key; the sweep still cuts it into several chunks."""
+    from starloom.operators import ordered
+
+    chunks = []
+    original = ordered._placed
+
+    def watched(df, order, label):
+        placed = original(df, order, label)
+        chunks.append({r["_chunk"]: r["n"] for r in placed.where("_bk = 0").groupBy("_chunk").agg(F.count("*").alias("n")).collect()})
+        return placed
+
+    monkeypatch.setattr(ordered, "_placed", watched)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = 30_000
+        bk = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("bk")
+        start = F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit(day(0)).cast("timestamp_ntz"))
+        dim = spark.range(n).select((F.col("id") + 1).alias("key"), bk, start.alias("Valid_From"), F.timestamp_add("MINUTE", F.lit(3), start).alias("Valid_To"))
+        staged = spark.range(n).select("id", bk, F.timestamp_add("MINUTE", F.lit(1), start).alias("t"))
+        found = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], {"d": VersionedDimension(dim, "bk", "key")})
+        assert found.where("found <> id + 1").count() == 0
+        assert found.count() == n
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(chunks) >= 2
+    for spread in chunks:
+        assert len(spread) >= 2 and max(spread.values()) < 0.6 * sum(spread.values())
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_no_nested_loop_join(spark, way):
+    dim = VersionedDimension(spark.createDataFrame(BASE, DIM), "bk", "key")
+    staged = spark.createDataFrame([(0, "A", day(2))], PROBE)
+    df = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], {"d": dim}, limits=WAYS[way])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_two_roles_share_one_dimension(spark):
+    dim = VersionedDimension(spark.createDataFrame(BASE, DIM), "bk", "key")
+    staged = spark.createDataFrame([("A", "B", day(4))], "one string, two string, t timestamp_ntz")
+    for limits in WAYS.values():
+        df = resolve_point_in_time(staged, "t", [Role("one", "d", "k1"), Role("two", "d", "k2")], {"d": dim}, limits=limits)
+        assert [tuple(r) for r in df.select("k1", "k2").collect()] == [(1, 3)]
