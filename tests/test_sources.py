@@ -1,0 +1,83 @@
+"""Landing: text files, declared schemas, control totals and scratch folders."""
+
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+
+from starloom import session
+from starloom.sources import landing
+from starloom.sources.schemas import CONTROL_TOTALS, OPERATIONAL
+from starloom.sources.testdata import DERIVATIONS, OperationalTables
+
+
+def test_every_operational_table_has_its_declared_schema(spark, sf_dir):
+    tables = OperationalTables(spark, sf_dir)
+    assert set(tables) == set(OPERATIONAL) == set(DERIVATIONS)
+    for name, schema in OPERATIONAL.items():
+        assert [(f.name, f.dataType) for f in tables[name].schema] == [(f.name, f.dataType) for f in schema]
+
+
+def test_csv_keeps_awkward_text(spark, tmp_path):
+    schema = "a string, b string, t timestamp_ntz, d date, m decimal(18,2)"
+    rows = [
+        ('say "hi", twice', " padded ", datetime(2020, 1, 2, 3, 4, 5, 678901), date(2020, 1, 2), Decimal("1.50")),
+        ("line\nbreak\\slash", "año", None, None, None),
+        ("00012", None, datetime(9999, 12, 31, 23, 59, 59, 999999), date(9999, 12, 31), Decimal("-0.01")),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    landing.write_csv(df, str(tmp_path / "t"))
+    assert sorted(map(str, landing.read_csv(spark, str(tmp_path / "t"), df.schema).collect())) == sorted(map(str, df.collect()))
+
+
+def test_whole_documents_survive_csv(spark, sf_dir, tmp_path):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    landing.write_csv(documents, str(tmp_path / "t"), rows_per_file=50)
+    back = landing.read_csv(spark, str(tmp_path / "t"), documents.schema)
+    assert back.count() == documents.count()
+    assert back.exceptAll(documents).count() == 0
+
+
+def test_empty_text_lands_as_null(spark, tmp_path):
+    landing.write_csv(spark.createDataFrame([("x", "")], "a string, b string"), str(tmp_path / "t"))
+    assert landing.read_csv(spark, str(tmp_path / "t"), spark.createDataFrame([], "a string, b string").schema).collect() == [("x", None)]
+
+
+def test_a_misfit_value_fails_the_read(spark, tmp_path):
+    landing.write_csv(spark.createDataFrame([("x",)], "a string"), str(tmp_path / "t"))
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        landing.read_csv(spark, str(tmp_path / "t"), spark.createDataFrame([], "a int").schema).collect()
+
+
+def test_inference_loses_leading_zeros_and_the_declared_schema_does_not(spark, tmp_path):
+    df = spark.createDataFrame([("00012",)], "code string")
+    landing.write_csv(df, str(tmp_path / "t"))
+    assert landing.read_csv_inferred(spark, str(tmp_path / "t")).collect() == [(12,)]
+    assert landing.read_csv(spark, str(tmp_path / "t"), df.schema).collect() == [("00012",)]
+
+
+def test_control_totals_as_one_json_object(spark, tmp_path):
+    path = tmp_path / "totals.json"
+    path.write_text('{\n  "fact_sale_rows": 228265,\n  "fact_sale_total_incl": 198043439.45,\n  "fact_sale_total_excl": 172261341.2,\n'
+                    '  "fact_sale_quantity": 8950628,\n  "fact_sale_profit": 85729180.9,\n  "dim_customer_rows": 403,\n'
+                    '  "dim_stockitem_rows": 672,\n  "dim_supplier_rows": 28\n}')
+    row = landing.read_totals(spark, str(path), CONTROL_TOTALS).first()
+    assert (row["fact_sale_rows"], row["fact_sale_total_incl"], row["fact_sale_profit"]) == (228265, Decimal("198043439.45"), Decimal("85729180.90"))
+
+
+def test_extract_reads_only_its_columns(spark, sf_dir):
+    plan = landing.extract(OperationalTables(spark, sf_dir)["people"], OPERATIONAL["people"])._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in plan
+
+
+class FakeSession:
+    def __init__(self, configured, master):
+        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_shared_folder_is_the_configured_one_and_never_local_on_a_cluster():
+    assert session.shared_folder(FakeSession("hdfs://x/c/", "yarn")) == "hdfs://x/c"
+    assert session.shared_folder(FakeSession(None, "local[8]")).endswith("starloom-checkpoints")
+    with pytest.raises(RuntimeError):
+        session.shared_folder(FakeSession(None, "yarn"))
