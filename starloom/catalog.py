@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from starloom.operators.lookup import LookupLimits, Role, resolve_point_in_time
 from starloom.operators.ordered import dense_keys
 from starloom.operators.replace import replace_by_invoice
 from starloom.plans import dimensions, facts, quality, reports
-from starloom.session import scratch_path
+from starloom.session import materialise, scratch_path
 from starloom.sources import landing, testdata
 from starloom.sources.schemas import CONTROL_TOTALS, OPERATIONAL
 from starloom.sources.testdata import OperationalTables
@@ -30,14 +31,14 @@ COMPLETED_AT = "2024-02-01 01:00:00"
 
 
 class _Built(dict):
-    """Dimensions built when first asked for."""
+    """Dimensions built and stored when first asked for, as every later step reads them several times."""
 
     def __init__(self, tables: OperationalTables):
         super().__init__()
         self.tables = tables
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = DIMENSIONS[name](self.tables)
+        self[name] = materialise(DIMENSIONS[name](self.tables), f"dim-{name}")
         return self[name]
 
 
@@ -155,11 +156,22 @@ ROLES = {
 }
 
 
-def _resolved(spark: SparkSession, sf_dir: str, roles: Sequence[Role]) -> DataFrame:
+HISTORIES = {
+    "customer": testdata.customer_history,
+    "stockitem": testdata.stockitem_history,
+    "employee": testdata.employee_history,
+    "city": testdata.city_history,
+}
+
+
+def _resolved(spark: SparkSession, sf_dir: str, roles: Sequence[Role], limits: LookupLimits = LookupLimits()) -> DataFrame:
+    """Staged lines with the roles' keys from stored histories, the state an incremental load finds."""
     staged = testdata.sale_staging(spark, sf_dir).select(
         "Sale_Key", *dict.fromkeys(role.business_key for role in roles), "Last_Modified_When"
     )
-    return resolve_point_in_time(staged, "Last_Modified_When", roles, testdata.histories(spark, sf_dir))
+    dims = {role.dimension: HISTORIES[role.dimension](spark, sf_dir) for role in roles}
+    stored = {name: replace(dim, frame=materialise(dim.frame, f"history-{name}")) for name, dim in dims.items()}
+    return resolve_point_in_time(staged, "Last_Modified_When", roles, stored, limits=limits)
 
 
 def _pit(name: str) -> Query:
@@ -168,10 +180,7 @@ def _pit(name: str) -> Query:
 
 def pit_salesperson_swept(spark, sf_dir):
     """The salesperson lookup by the sweep that serves keys with any number of versions."""
-    staged = testdata.sale_staging(spark, sf_dir).select("Sale_Key", "WWI_Salesperson_ID", "Last_Modified_When")
-    return resolve_point_in_time(
-        staged, "Last_Modified_When", [ROLES["pit_salesperson"]], testdata.histories(spark, sf_dir), limits=LookupLimits(versions_per_key=64)
-    )
+    return _resolved(spark, sf_dir, [ROLES["pit_salesperson"]], LookupLimits(versions_per_key=64))
 
 
 def pit_all_roles(spark, sf_dir):
@@ -181,26 +190,31 @@ def pit_all_roles(spark, sf_dir):
 # --- history
 
 
+def _stored(spark: SparkSession, sf_dir: str, spec: history.HistorySpec) -> tuple[DataFrame, DataFrame]:
+    """A dimension and a staged batch as stored tables, the state a load finds."""
+    base, batch = testdata.dimension_base(spark, sf_dir, spec), testdata.dimension_batch(spark, sf_dir, spec)
+    return materialise(base, "dimension"), materialise(batch, "batch")
+
+
 def rows_to_close_off(spark, sf_dir):
     return history.rows_to_close_off(testdata.dimension_batch(spark, sf_dir, history.CUSTOMER), history.CUSTOMER)
 
 
 def scd2_close(spark, sf_dir):
-    spec = history.CUSTOMER
-    return history.close_versions(testdata.dimension_base(spark, sf_dir, spec), testdata.dimension_batch(spark, sf_dir, spec), spec)
+    return history.close_versions(*_stored(spark, sf_dir, history.CUSTOMER), history.CUSTOMER)
 
 
 def scd2_new_keys(spark, sf_dir):
     spec = history.CUSTOMER
-    numbered = history.number_staged(testdata.dimension_base(spark, sf_dir, spec), testdata.dimension_batch(spark, sf_dir, spec), spec)
+    numbered = history.number_staged(*_stored(spark, sf_dir, spec), spec)
     return numbered.select(spec.surrogate, spec.business_key, history.VALID_FROM, history.VALID_TO)
 
 
 def _applied(spec: history.HistorySpec) -> Query:
     def query(spark, sf_dir):
         load = control.open_load_key(testdata.lineage(spark, sf_dir), spec.table).scalar()
-        base, batch = testdata.dimension_base(spark, sf_dir, spec), testdata.dimension_batch(spark, sf_dir, spec)
-        return history.apply_history(base, batch, spec, load)
+        base = materialise(testdata.dimension_base(spark, sf_dir, spec), "dimension")
+        return history.apply_history(base, testdata.dimension_batch(spark, sf_dir, spec), spec, load)
 
     return query
 

@@ -63,11 +63,11 @@ def number_staged(dimension: DataFrame, staging: DataFrame, spec: HistorySpec) -
     """Staged versions with keys that continue after the largest key in use, by business key and start.
 
     Versions that share both are told apart by a short hash, which keeps wide columns out of the sort
-    key, and exact copies by their place in the written batch, so that any number of copies still
-    spreads over all sort tasks. The batch is written first to make that place the same on a retry.
+    key, and exact copies by their place in the batch, so that any number of copies still spreads over
+    all sort tasks. ``staging`` must be a stored table: then that place is the same on a retry.
     """
     largest = F.coalesce(dimension.agg(F.max(spec.surrogate).alias("largest")).scalar(), F.lit(0))
-    placed = materialise(staging, "staged").withColumn("_place", F.monotonically_increasing_id())
+    placed = staging.withColumn("_place", F.monotonically_increasing_id())
     order = [spec.business_key, VALID_FROM, F.xxhash64(*staging.columns), "_place"]
     return dense_keys(placed, order, spec.surrogate, after=largest).drop("_place")
 
@@ -75,11 +75,13 @@ def number_staged(dimension: DataFrame, staging: DataFrame, spec: HistorySpec) -
 def apply_history(dimension: DataFrame, staging: DataFrame, spec: HistorySpec, lineage_key: Column | int) -> DataFrame:
     """The dimension after one batch: closed versions plus all staged versions as they are.
 
-    Applying a batch twice closes its own rows and appends them again, as the load it models does.
+    The batch is written once, then read for closing and for numbering. Applying a batch twice
+    closes its own rows and appends them again, as the load it models does.
     """
     stamp = (F.lit(lineage_key) if isinstance(lineage_key, int) else lineage_key).cast("bigint")
-    appended = number_staged(dimension, staging, spec).withColumn(LINEAGE_KEY, stamp)
-    return close_versions(dimension, staging, spec).unionByName(appended.select(*dimension.columns))
+    batch = materialise(staging, "staged")
+    appended = number_staged(dimension, batch, spec).withColumn(LINEAGE_KEY, stamp)
+    return close_versions(dimension, batch, spec).unionByName(appended.select(*dimension.columns))
 
 
 def multi_version_keys(dimension: DataFrame, spec: HistorySpec) -> DataFrame:

@@ -44,7 +44,8 @@ VIEWS = {
                (o_orderkey % 5)::INTEGER AS TotalDryItems, (o_orderkey % 3)::INTEGER AS TotalChillerItems
         FROM orders""",
     "invoicelines": """
-        SELECT ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::INTEGER)), 1, 15))::BIGINT AS InvoiceLineID,
+        SELECT l_orderkey * 8388608 + l_linenumber * 1048576 + l_quantity::INTEGER * 16384
+                   + (l_partkey * 31 + l_suppkey) % 16384 AS InvoiceLineID,
                CASE WHEN l_partkey % 499 = 0 THEN NULL ELSE l_orderkey END AS InvoiceID,
                CASE WHEN l_orderkey % 103 = 0 THEN -1 ELSE l_partkey END AS StockItemID,
                l_returnflag || l_linestatus || '-' || l_partkey AS Description,

@@ -7,6 +7,10 @@ overwritten, a half-written load is never seen, and a load that empties a month
 
 from __future__ import annotations
 
+from collections import defaultdict
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +28,18 @@ def with_month(lines: DataFrame, date_key: str = "Invoice_Date_Key") -> DataFram
 
 
 def visible_months(stored: DataFrame, touched: DataFrame, lineage: DataFrame) -> DataFrame:
-    """The fact as readers see it; both columns of the join are folders, so other loads' files stay closed."""
+    """The fact as readers see it: every month from the newest successful load that touched it.
+
+    The pairs of load and month are fetched, one per calendar month, and become a filter on folder
+    names, so files of other loads are not even listed.
+    """
     done = lineage.where("Was_Successful").select(F.col("Lineage_Key").alias(STORED_BY)).distinct()
     newest = touched.join(done, STORED_BY, "left_semi").groupBy(MONTH).agg(F.max(STORED_BY).alias(STORED_BY))
-    return stored.join(newest, [MONTH, STORED_BY], "left_semi").drop(STORED_BY)
+    by_load = defaultdict(list)
+    for row in newest.collect():
+        by_load[row[STORED_BY]].append(row[MONTH])
+    folders = [(F.col(STORED_BY) == load) & F.col(MONTH).isin(months) for load, months in by_load.items()]
+    return stored.where(reduce(or_, folders, F.lit(False))).drop(STORED_BY)
 
 
 def touched_months(visible: DataFrame, staged: DataFrame) -> DataFrame:
@@ -38,12 +50,12 @@ def touched_months(visible: DataFrame, staged: DataFrame) -> DataFrame:
 
 
 def restate_months(visible: DataFrame, staged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """New content of the touched months, and those months.
+    """New content of the touched months, and those months: one row per calendar month, written once.
 
-    The months are written first: one row per calendar month, read by both sides of what follows.
+    The months are fetched as well, so that the other months' folders stay closed.
     """
     months = materialise(touched_months(visible, staged), "touched-months")
-    affected = visible.join(months, MONTH, "left_semi")
+    affected = visible.where(F.col(MONTH).isin([row[MONTH] for row in months.collect()]))
     return replace_by_invoice(affected, staged.select(*visible.columns), INVOICE), months
 
 
