@@ -180,7 +180,7 @@ def _pit(name: str) -> Query:
 
 def pit_salesperson_swept(spark, sf_dir):
     """The salesperson lookup by the sweep that serves keys with any number of versions."""
-    return _resolved(spark, sf_dir, [ROLES["pit_salesperson"]], LookupLimits(versions_per_key=64))
+    return _resolved(spark, sf_dir, [ROLES["pit_salesperson"]], LookupLimits(versions_per_key=0))
 
 
 def pit_all_roles(spark, sf_dir):

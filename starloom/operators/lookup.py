@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql.window import Window
 
 from starloom.constants import UNKNOWN_KEY
 from starloom.operators.ordered import running_max
+from starloom.session import materialise
 
 
 def look_up(df: DataFrame, column: str, table: DataFrame, key: str, take: Mapping[str, str]) -> DataFrame:
@@ -61,13 +63,15 @@ class Role:
 
 @dataclass(frozen=True)
 class LookupLimits:
-    """Counted sizes up to which a dimension is joined directly, and up to which it is broadcast.
+    """Counted sizes that decide how a dimension is joined.
 
-    A direct join tries all versions of a key for each of its rows. Near a thousand of them that
-    costs as much as sorting the row into the sweep.
+    ``candidates``: versions that a row may have to try; more are cut into time cells.
+    ``versions_per_key``: versions of one key that one task may sort; more are swept.
+    ``broadcast_rows``: rows of four fixed-width columns that every executor may hold.
     """
 
-    versions_per_key: int = 1024
+    candidates: int = 64
+    versions_per_key: int = 100_000
     broadcast_rows: int = 500_000
 
 
@@ -130,14 +134,37 @@ def _filled(key: str, output: str, unknown_key: int | None) -> Column:
     return found.cast("bigint").alias(output)
 
 
-def _resolve_directly(staged: DataFrame, at: str, roles: Sequence[Role], segments: DataFrame, unknown_key: int | None) -> DataFrame:
-    """Join on key and time; disjoint pieces give at most one match, so no row is multiplied."""
+@dataclass(frozen=True)
+class _Cells:
+    """Equal stretches of days from the first to the last version start, the outer ones open-ended."""
+
+    first: date
+    days: int
+    count: int
+
+    def of(self, moment: Column) -> Column:
+        offset = F.date_diff(moment.cast("date"), F.lit(self.first)).cast("bigint")
+        cell = F.floor(offset * self.count / self.days)
+        return F.least(F.greatest(cell, F.lit(0)), F.lit(self.count - 1)).cast("int")
+
+    def spread(self, segments: DataFrame) -> DataFrame:
+        """Each piece once per cell it reaches. Pieces of a key are disjoint, so a key adds at most one row per cell."""
+        reached = F.sequence(self.of(F.col("_start")), self.of(F.col("_end")))
+        return segments.withColumn("_cell", F.explode(reached))
+
+
+def _resolve_directly(
+    staged: DataFrame, at: str, roles: Sequence[Role], segments: DataFrame, unknown_key: int | None, cells: _Cells | None = None
+) -> DataFrame:
+    """Join on key, cell and time; disjoint pieces give at most one match, so no row is multiplied."""
     for role in roles:
         met = (
             (F.col(role.business_key) == F.col("_bk"))
             & (F.col(at) > F.col("_start"))
             & (F.col(at) <= F.col("_end"))
         )
+        if cells is not None:
+            met = met & (cells.of(F.col(at)) == F.col("_cell"))
         kept = [c for c in staged.columns if c != role.output]
         staged = staged.join(segments, met, "left").select(*kept, _filled("_key", role.output, unknown_key))
     return staged
@@ -159,6 +186,30 @@ def _resolve_by_sweep(staged: DataFrame, at: str, roles: Sequence[Role], segment
     return staged
 
 
+def _direct_pieces(versions: DataFrame, limits: LookupLimits) -> tuple[DataFrame, _Cells | None] | None:
+    """Pieces to join directly and the cells they are cut into, or None where only a sweep is safe."""
+    per_key = versions.groupBy("_bk").agg(F.count("*").alias("n"), F.min("_from").alias("first"), F.max("_from").alias("last"))
+    size = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.count("*").alias("keys"),
+        F.coalesce(F.max("n"), F.lit(0)).alias("deepest"),
+        F.min("first").cast("date").alias("first"),
+        F.max("last").cast("date").alias("last"),
+    ).first()
+    if size["deepest"] > limits.versions_per_key:
+        return None
+    segments, cells, rows = _segments_few_versions(versions), None, size["total"]
+    if size["deepest"] > limits.candidates:
+        # As many cells as a key has versions on average: cutting at most doubles the rows.
+        cells = _Cells(size["first"], (size["last"] - size["first"]).days + 1, -(-size["total"] // size["keys"]))
+        segments = materialise(cells.spread(segments), "pieces")
+        crowd = segments.groupBy("_bk", "_cell").agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+        if crowd["most"] > limits.candidates:
+            return None
+        rows = crowd["rows"]
+    return (F.broadcast(segments) if rows <= limits.broadcast_rows else segments), cells
+
+
 def resolve_point_in_time(
     staged: DataFrame,
     at: str,
@@ -169,24 +220,17 @@ def resolve_point_in_time(
 ) -> DataFrame:
     """Fill every role with the key of the version in force at ``at``; the earliest start wins an overlap.
 
-    Each dimension is counted first. With few versions per key its disjoint pieces are joined
-    directly, broadcast if the total is small. A key with many versions would pair them with all its
-    probes, so beyond that limit a linear sweep over sorted times answers instead. All ways agree.
+    Each dimension is counted first. Its disjoint pieces are joined directly, cut into time cells
+    where keys have many, and broadcast if few in all. A key whose versions crowd even into one cell
+    would pair them with all its rows, so then a linear sweep over sorted times answers. All ways agree.
     """
     for name in dict.fromkeys(role.dimension for role in roles):
         mine = [role for role in roles if role.dimension == name]
         versions = _usable(dimensions[name])
-        total, deepest = (
-            versions.groupBy("_bk")
-            .agg(F.count("*").alias("n"))
-            .agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0)))
-            .first()
-        )
-        if deepest > limits.versions_per_key:
+        direct = _direct_pieces(versions, limits)
+        if direct is None:
             staged = _resolve_by_sweep(staged, at, mine, _segments_many_versions(versions), unknown_key)
-            continue
-        segments = _segments_few_versions(versions)
-        if total <= limits.broadcast_rows:
-            segments = F.broadcast(segments)
-        staged = _resolve_directly(staged, at, mine, segments, unknown_key)
+        else:
+            segments, cells = direct
+            staged = _resolve_directly(staged, at, mine, segments, unknown_key, cells)
     return staged

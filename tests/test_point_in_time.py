@@ -15,6 +15,8 @@ PROBE = "n int, bk string, t timestamp_ntz"
 WAYS = {
     "broadcast": LookupLimits(),
     "shuffled": LookupLimits(broadcast_rows=0),
+    "cells": LookupLimits(candidates=1),
+    "roomy cells": LookupLimits(candidates=20, broadcast_rows=0),
     "swept": LookupLimits(versions_per_key=0),
 }
 
@@ -99,7 +101,7 @@ def test_one_key_with_most_rows_spreads_over_sort_tasks(spark, monkeypatch):
         start = F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit(day(0)).cast("timestamp_ntz"))
         dim = spark.range(n).select((F.col("id") + 1).alias("key"), bk, start.alias("Valid_From"), F.timestamp_add("MINUTE", F.lit(3), start).alias("Valid_To"))
         staged = spark.range(n).select("id", bk, F.timestamp_add("MINUTE", F.lit(1), start).alias("t"))
-        found = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], {"d": VersionedDimension(dim, "bk", "key")})
+        found = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], {"d": VersionedDimension(dim, "bk", "key")}, limits=LookupLimits(candidates=16, versions_per_key=5_000))
         assert found.where("found <> id + 1").count() == 0
         assert found.count() == n
     finally:
@@ -124,3 +126,14 @@ def test_two_roles_share_one_dimension(spark):
     for limits in WAYS.values():
         df = resolve_point_in_time(staged, "t", [Role("one", "d", "k1"), Role("two", "d", "k2")], {"d": dim}, limits=limits)
         assert [tuple(r) for r in df.select("k1", "k2").collect()] == [(1, 3)]
+
+
+def test_deep_histories_are_cut_into_cells(spark):
+    """Nested and open-ended versions cross cells; the answer is the same as without cells."""
+    versions = [(k, "A", day(k), day(k + 1)) for k in range(1, 300)] + [(900, "A", day(300), END), (901, "B", day(0), END)]
+    probes = [("A", day(n)) for n in range(-3, 310)] + [("B", day(-1)), ("B", END), ("A", END), ("B", day(1))]
+    assert resolve(spark, versions, probes, LookupLimits(candidates=8)) == brute_force(versions, probes)
+    dim = VersionedDimension(spark.createDataFrame(versions, DIM), "bk", "key")
+    staged = spark.createDataFrame([(0, "A", day(2))], PROBE)
+    plan = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], {"d": dim}, limits=LookupLimits(candidates=8))
+    assert "_cell" in plan._jdf.queryExecution().executedPlan().toString()
