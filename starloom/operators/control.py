@@ -74,5 +74,5 @@ def advance_cutoff(cutoffs: DataFrame, lineage: DataFrame, table: str, key: Colu
 
 def visible_loads(rows: DataFrame, lineage: DataFrame) -> DataFrame:
     """Rows whose load succeeded: a reader never sees a load that is half done."""
-    done = lineage.where("Was_Successful").select("Lineage_Key").distinct()
+    done = lineage.where("Was_Successful").select("Lineage_Key")
     return rows.join(done, "Lineage_Key", "left_semi")

@@ -44,10 +44,12 @@ def close_versions(dimension: DataFrame, staging: DataFrame, spec: HistorySpec)
     """End every current version of a staged key at the earliest staged start.
 
     Only current rows take part in the join. Closed rows, the bulk of a long history, go round it.
-    A key whose staged starts are all NULL still matches and ends at NULL.
+    A key whose staged starts are all NULL still matches and ends at NULL. The starts are written
+    first: their size is then known, and a key with very many current rows can be split.
     """
-    ends = rows_to_close_off(staging, spec).select(
-        F.col(spec.business_key).alias("_bk"), F.col(VALID_FROM).alias("_end"), F.lit(True).alias("_staged")
+    starts = rows_to_close_off(staging, spec)
+    ends = materialise(
+        starts.select(F.col(spec.business_key).alias("_bk"), F.col(VALID_FROM).alias("_end"), F.lit(True).alias("_staged")), "ends"
     )
     untouched = dimension.where(~F.col(VALID_TO).eqNullSafe(end_of_time()))
     closing = F.when(F.col("_staged"), F.col("_end")).otherwise(F.col(VALID_TO))

@@ -1,7 +1,9 @@
 """Lookups of labels and keys: plain, current-state and point-in-time.
 
 No lookup is hinted as a broadcast unless its rows were counted first; otherwise Spark decides from
-the table's size, and its skew-join handling splits a hot key of the larger side.
+the table's size. Where both sides are shuffled, its skew-join handling splits a hot key of the larger
+side. It can do so only if nothing sits between the small side's shuffle and the join, so a small side
+that was grouped or windowed is written first.
 """
 
 from __future__ import annotations
@@ -207,7 +209,10 @@ def _direct_pieces(versions: DataFrame, limits: LookupLimits) -> tuple[DataFrame
         if crowd["most"] > limits.candidates:
             return None
         rows = crowd["rows"]
-    return (F.broadcast(segments) if rows <= limits.broadcast_rows else segments), cells
+    if rows <= limits.broadcast_rows:
+        return F.broadcast(segments), cells
+    # Spark splits a hot key of the staged side only if the other side is shuffled for this very join.
+    return (segments if cells else materialise(segments, "pieces")), cells
 
 
 def resolve_point_in_time(

@@ -5,14 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import materialise
+
+
+def restated_invoices(staged: DataFrame, invoice: str) -> DataFrame:
+    """The staged invoices, one row each.
+
+    Written, so that their size is known before the join, and so that a hot invoice on the fact side
+    can be split: Spark does not do that against a side that it groups for the same join.
+    """
+    invoices = staged.select(F.col(invoice).alias("_invoice")).where(F.col("_invoice").isNotNull()).distinct()
+    return materialise(invoices, "invoices")
+
 
 def replace_by_invoice(fact: DataFrame, staged: DataFrame, invoice: str = "WWI_Invoice_ID") -> DataFrame:
     """Drop every fact line of a staged invoice, then add all staged lines.
 
     Lines without an invoice are never dropped, staged copies all stay, and an empty batch changes
-    nothing. The staged invoices are made distinct before they meet the fact, so a small batch is
-    broadcast and a large one shuffles one row per invoice.
+    nothing. A small batch is broadcast and leaves the fact unshuffled.
     """
-    restated = staged.select(F.col(invoice).alias("_invoice")).where(F.col("_invoice").isNotNull()).distinct()
+    restated = restated_invoices(staged, invoice)
     kept = fact.join(restated, F.col(invoice) == F.col("_invoice"), "left_anti")
     return kept.unionByName(staged.select(*fact.columns))

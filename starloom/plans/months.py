@@ -14,7 +14,7 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.replace import replace_by_invoice
+from starloom.operators.replace import replace_by_invoice, restated_invoices
 from starloom.session import materialise
 
 MONTH = "Invoice_Month"
@@ -33,7 +33,7 @@ def visible_months(stored: DataFrame, touched: DataFrame, lineage: DataFrame) ->
     The pairs of load and month are fetched, one per calendar month, and become a filter on folder
     names, so files of other loads are not even listed.
     """
-    done = lineage.where("Was_Successful").select(F.col("Lineage_Key").alias(STORED_BY)).distinct()
+    done = lineage.where("Was_Successful").select(F.col("Lineage_Key").alias(STORED_BY))
     newest = touched.join(done, STORED_BY, "left_semi").groupBy(MONTH).agg(F.max(STORED_BY).alias(STORED_BY))
     by_load = defaultdict(list)
     for row in newest.collect():
@@ -44,8 +44,8 @@ def visible_months(stored: DataFrame, touched: DataFrame, lineage: DataFrame) ->
 
 def touched_months(visible: DataFrame, staged: DataFrame) -> DataFrame:
     """Months of the lines to drop and of the lines to add; reads the invoice column of the fact only."""
-    restated = staged.select(INVOICE).where(F.col(INVOICE).isNotNull()).distinct()
-    dropped = visible.select(INVOICE, MONTH).join(restated, INVOICE, "left_semi").select(MONTH)
+    restated = restated_invoices(staged, INVOICE)
+    dropped = visible.select(INVOICE, MONTH).join(restated, F.col(INVOICE) == F.col("_invoice"), "left_semi").select(MONTH)
     return dropped.unionByName(staged.select(MONTH)).distinct()
 
 

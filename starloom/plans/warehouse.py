@@ -80,10 +80,10 @@ def load_sales(
     return {**_finished(warehouse, SALE, key, completed), SALE: loaded}
 
 
-def write_warehouse(warehouse: Warehouse, folder: str) -> None:
+def write_warehouse(warehouse: Warehouse, folder: str, mode: str = "errorifexists") -> None:
     """Write all tables to a new folder, the lineage last: without it the folder does not count."""
     for name in sorted(warehouse, key=lambda table: table == LINEAGE):
-        warehouse[name].write.mode("errorifexists").parquet(f"{folder}/{name}")
+        warehouse[name].write.mode(mode).parquet(f"{folder}/{name}")
 
 
 def read_warehouse(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starloom.sources.schemas import OPERATIONAL
+
 # Text fields may hold commas, quotes and line breaks; an absent value is an empty field.
 CSV_OPTIONS = {
     "header": "true",
@@ -107,3 +109,17 @@ def write_totals(totals: DataFrame, path: str) -> None:
 
 def read_totals(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+
+
+def land(df: DataFrame, path: str) -> int:
+    """Write a table and return how many rows were written, counted from the files' own statistics."""
+    write_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+
+
+def read_operational(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The eleven operational tables of a landing folder, cast to their declared types.
+
+    Files landed by way of text may hold money as doubles; the cast per row makes later sums exact.
+    """
+    return {name: extract(spark.read.parquet(f"{folder}/src_{name}.parquet"), schema) for name, schema in OPERATIONAL.items()}

@@ -1,0 +1,95 @@
+"""Staged files as a stream of loads, and the command line over a landing folder."""
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+
+from starloom import __main__ as cli
+from starloom.constants import END_OF_TIME
+from starloom.operators.history import CUSTOMER
+from starloom.plans import warehouse
+from starloom.sources.landing import land
+from starloom.sources.schemas import CUTOFFS, LINEAGE
+from starloom.sources.testdata import OperationalTables
+from starloom.streaming.staged_loads import apply_batch, is_complete, stream_dimension_loads, version_folder
+
+END = datetime.fromisoformat(END_OF_TIME)
+DIM = "Customer_Key bigint, WWI_Customer_ID bigint, Customer string, Valid_From timestamp_ntz, Valid_To timestamp_ntz, Lineage_Key bigint"
+STAGED = "WWI_Customer_ID bigint, Customer string, Valid_From timestamp_ntz, Valid_To timestamp_ntz"
+NAMES = ["Customer", warehouse.CUTOFFS]
+
+
+def day(n):
+    return datetime(2020, 1, 1) + timedelta(days=n)
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    start = {
+        "Customer": spark.createDataFrame([], DIM),
+        warehouse.LINEAGE: spark.createDataFrame([], LINEAGE),
+        warehouse.CUTOFFS: spark.createDataFrame([("Customer", day(0))], CUTOFFS),
+    }
+    warehouse.write_warehouse(start, version_folder(str(tmp_path / "w"), 0))
+    return str(tmp_path / "w")
+
+
+def versions(spark, folder, n):
+    rows = warehouse.read_warehouse(spark, version_folder(folder, n), NAMES)["Customer"].collect()
+    return sorted((r["Customer_Key"], r["Customer"], r["Valid_To"]) for r in rows)
+
+
+def test_arriving_files_become_loads(spark, folder, tmp_path):
+    staging, checkpoint = str(tmp_path / "staging"), str(tmp_path / "checkpoint")
+    schema = spark.createDataFrame([], STAGED).schema
+
+    def arrive(name, start):
+        spark.createDataFrame([(7, name, day(start), END)], STAGED).coalesce(1).write.mode("append").parquet(staging)
+        stream_dimension_loads(spark, staging, schema, folder, NAMES, CUSTOMER, checkpoint).awaitTermination()
+
+    arrive("old", 1)
+    assert versions(spark, folder, 1) == [(1, "old", END)]
+    arrive("new", 5)
+    assert versions(spark, folder, 2) == [(1, "old", day(5)), (2, "new", END)]
+    lineage = warehouse.read_warehouse(spark, version_folder(folder, 2), NAMES)[warehouse.LINEAGE]
+    assert lineage.where("Was_Successful").count() == lineage.count() == 2
+
+
+def test_a_replayed_batch_changes_nothing(spark, folder):
+    staged = spark.createDataFrame([(7, "old", day(1), END)], STAGED)
+    for _ in range(2):
+        apply_batch(spark, folder, NAMES, CUSTOMER, staged, 0, day(2))
+    assert versions(spark, folder, 1) == [(1, "old", END)]
+
+
+def test_a_half_written_version_is_written_again(spark, folder):
+    half = version_folder(folder, 1)
+    spark.range(3).write.parquet(f"{half}/Customer")
+    assert not is_complete(spark, half)
+    apply_batch(spark, folder, NAMES, CUSTOMER, spark.createDataFrame([(7, "old", day(1), END)], STAGED), 0, day(2))
+    assert versions(spark, folder, 1) == [(1, "old", END)]
+
+
+def test_command_line(spark, sf_dir, tmp_path, capsys):
+    landing, built, out = (str(tmp_path / name) for name in ("landing", "warehouse", "out"))
+    for name, table in OperationalTables(spark, sf_dir).items():
+        assert land(table, f"{landing}/src_{name}.parquet") == table.count()
+    assert cli.main(["rebuild", landing, built]) == 0
+    fact = spark.read.parquet(f"{built}/fact_sale")
+    rows, incl, excl, quantity, profit = fact.selectExpr(
+        "count(*)", "sum(Total_Including_Tax)", "sum(Total_Excluding_Tax)", "sum(Quantity)", "sum(Profit)"
+    ).first()
+    totals = {
+        "fact_sale_rows": rows, "fact_sale_total_incl": float(incl), "fact_sale_total_excl": float(excl),
+        "fact_sale_quantity": quantity, "fact_sale_profit": float(profit),
+        "dim_customer_rows": 1, "dim_stockitem_rows": 2, "dim_supplier_rows": 3,
+    }
+    good, bad = tmp_path / "good.json", tmp_path / "bad.json"
+    good.write_text(json.dumps(totals, indent=2))
+    bad.write_text(json.dumps({**totals, "fact_sale_quantity": quantity + 1}, indent=2))
+    assert cli.main(["verify", built, str(good)]) == 0
+    assert cli.main(["verify", built, str(bad)]) == 1
+    assert cli.main(["report", built, out]) == 0
+    assert spark.read.json(f"{out}/top_items").count() == 6
+    assert spark.read.json(f"{out}/kpis").count() == 4
