@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -67,15 +66,18 @@ class Role:
 class LookupLimits:
     """Counted sizes that decide how a dimension is joined.
 
-    ``candidates``: versions that a row may have to try; more are cut into time cells.
+    ``candidates``: versions that a row may have to try; the life of a key with more is cut into cells.
     ``versions_per_key``: versions of one key that one task may sort; more are swept.
-    ``broadcast_rows``: rows of four fixed-width columns that every executor may hold.
+    ``broadcast_rows``: rows of a few fixed-width columns that every executor may hold.
     """
 
     candidates: int = 64
     versions_per_key: int = 100_000
     broadcast_rows: int = 500_000
 
+    def hinted(self, side: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(side) if rows <= self.broadcast_rows else side
+
 
 def _usable(dimension: VersionedDimension) -> DataFrame:
     """Versions that can match at all: an empty interval or an unknown bound or key never does."""
@@ -136,39 +138,45 @@ def _filled(key: str, output: str, unknown_key: int | None) -> Column:
     return found.cast("bigint").alias(output)
 
 
-@dataclass(frozen=True)
-class _Cells:
-    """Equal stretches of days from the first to the last version start, the outer ones open-ended."""
+def _seconds(moment: Column) -> Column:
+    """Seconds on a scale that only has to grow with time; free of time zones, unlike a cast."""
+    days = F.date_diff(moment.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
 
-    first: date
-    days: int
-    count: int
 
-    def of(self, moment: Column) -> Column:
-        offset = F.date_diff(moment.cast("date"), F.lit(self.first)).cast("bigint")
-        cell = F.floor(offset * self.count / self.days)
-        return F.least(F.greatest(cell, F.lit(0)), F.lit(self.count - 1)).cast("int")
+def _cell(moment: Column) -> Column:
+    """Which of a deep key's ``_cells`` equal stretches a moment falls in, the outer two open-ended; 0 for other keys."""
+    place = F.floor((_seconds(moment) - F.col("_first")) * F.col("_cells") / F.col("_span"))
+    inside = F.least(F.greatest(place, F.lit(0)), F.col("_cells") - 1)
+    return F.coalesce(inside, F.lit(0)).cast("bigint")
 
-    def spread(self, segments: DataFrame) -> DataFrame:
-        """Each piece once per cell it reaches. Pieces of a key are disjoint, so a key adds at most one row per cell."""
-        reached = F.sequence(self.of(F.col("_start")), self.of(F.col("_end")))
-        return segments.withColumn("_cell", F.explode(reached))
 
+def _with_cell(df: DataFrame, key: str, deep: DataFrame, cell: Column, name: str) -> DataFrame:
+    columns = df.columns
+    return df.join(deep, F.col(key) == F.col("_deep"), "left").select(*columns, cell.alias(name))
 
-def _resolve_directly(
-    staged: DataFrame, at: str, roles: Sequence[Role], segments: DataFrame, unknown_key: int | None, cells: _Cells | None = None
-) -> DataFrame:
+
+@dataclass(frozen=True)
+class _Pieces:
+    """Disjoint pieces ready to be joined, and the keys whose pieces are cut into cells, if any."""
+
+    segments: DataFrame
+    deep: DataFrame | None = None
+
+
+def _resolve_directly(staged: DataFrame, at: str, roles: Sequence[Role], pieces: _Pieces, unknown_key: int | None) -> DataFrame:
     """Join on key, cell and time; disjoint pieces give at most one match, so no row is multiplied."""
     for role in roles:
+        kept = [c for c in staged.columns if c != role.output]
         met = (
             (F.col(role.business_key) == F.col("_bk"))
             & (F.col(at) > F.col("_start"))
             & (F.col(at) <= F.col("_end"))
         )
-        if cells is not None:
-            met = met & (cells.of(F.col(at)) == F.col("_cell"))
-        kept = [c for c in staged.columns if c != role.output]
-        staged = staged.join(segments, met, "left").select(*kept, _filled("_key", role.output, unknown_key))
+        if pieces.deep is not None:
+            staged = _with_cell(staged, role.business_key, pieces.deep, _cell(F.col(at)), "_at_cell")
+            met = met & (F.col("_at_cell") == F.col("_cell"))
+        staged = staged.join(pieces.segments, met, "left").select(*kept, _filled("_key", role.output, unknown_key))
     return staged
 
 
@@ -188,31 +196,44 @@ def _resolve_by_sweep(staged: DataFrame, at: str, roles: Sequence[Role], segment
     return staged
 
 
-def _direct_pieces(versions: DataFrame, limits: LookupLimits) -> tuple[DataFrame, _Cells | None] | None:
-    """Pieces to join directly and the cells they are cut into, or None where only a sweep is safe."""
+def _cut_deep_keys(segments: DataFrame, deep: DataFrame) -> DataFrame:
+    """Each piece once per cell it reaches.
+
+    A deep key has as many cells as versions, and its pieces are disjoint, so cutting at most doubles
+    the rows. The key's hottest stretch is thereby spread over many join keys as well.
+    """
+    reached = F.sequence(_cell(F.col("_start")), _cell(F.col("_end")))
+    cut = _with_cell(segments, "_bk", deep, reached, "_reached")
+    return cut.select("_bk", "_start", "_end", "_key", F.explode("_reached").alias("_cell"))
+
+
+def _direct_pieces(versions: DataFrame, limits: LookupLimits) -> _Pieces | None:
+    """The pieces to join directly, or None where only a sweep is safe."""
     per_key = versions.groupBy("_bk").agg(F.count("*").alias("n"), F.min("_from").alias("first"), F.max("_from").alias("last"))
+    is_deep = F.col("n") > limits.candidates
     size = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.count("*").alias("keys"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.max("n"), F.lit(0)).alias("deepest"),
-        F.min("first").cast("date").alias("first"),
-        F.max("last").cast("date").alias("last"),
+        F.count_if(is_deep).alias("deep_keys"),
     ).first()
     if size["deepest"] > limits.versions_per_key:
         return None
-    segments, cells, rows = _segments_few_versions(versions), None, size["total"]
-    if size["deepest"] > limits.candidates:
-        # As many cells as a key has versions on average: cutting at most doubles the rows.
-        cells = _Cells(size["first"], (size["last"] - size["first"]).days + 1, -(-size["total"] // size["keys"]))
-        segments = materialise(cells.spread(segments), "pieces")
-        crowd = segments.groupBy("_bk", "_cell").agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
-        if crowd["most"] > limits.candidates:
-            return None
-        rows = crowd["rows"]
-    if rows <= limits.broadcast_rows:
-        return F.broadcast(segments), cells
-    # Spark splits a hot key of the staged side only if the other side is shuffled for this very join.
-    return (segments if cells else materialise(segments, "pieces")), cells
+    segments = _segments_few_versions(versions)
+    if size["deep_keys"] == 0:
+        if size["rows"] <= limits.broadcast_rows:
+            return _Pieces(F.broadcast(segments))
+        # Spark splits a hot key of the staged side only if the other side is shuffled for this very join.
+        return _Pieces(materialise(segments, "pieces"))
+    first, last = _seconds(F.col("first")), _seconds(F.col("last"))
+    lives = per_key.where(is_deep).select(
+        F.col("_bk").alias("_deep"), first.alias("_first"), (last - first + 1).alias("_span"), F.col("n").alias("_cells")
+    )
+    deep = limits.hinted(materialise(lives, "deep-keys"), size["deep_keys"])
+    cut = materialise(_cut_deep_keys(segments, deep), "pieces")
+    crowd = cut.groupBy("_bk", "_cell").agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    if crowd["most"] > limits.candidates:
+        return None
+    return _Pieces(limits.hinted(cut, crowd["rows"]), deep)
 
 
 def resolve_point_in_time(
@@ -225,17 +246,16 @@ def resolve_point_in_time(
 ) -> DataFrame:
     """Fill every role with the key of the version in force at ``at``; the earliest start wins an overlap.
 
-    Each dimension is counted first. Its disjoint pieces are joined directly, cut into time cells
-    where keys have many, and broadcast if few in all. A key whose versions crowd even into one cell
-    would pair them with all its rows, so then a linear sweep over sorted times answers. All ways agree.
+    Each dimension is counted first. Its disjoint pieces are joined directly, broadcast if few, and
+    cut into time cells for keys with many. A key whose versions crowd even into one cell would pair
+    them with all its rows, so then a linear sweep over sorted times answers. All ways agree.
     """
     for name in dict.fromkeys(role.dimension for role in roles):
         mine = [role for role in roles if role.dimension == name]
         versions = _usable(dimensions[name])
-        direct = _direct_pieces(versions, limits)
-        if direct is None:
+        pieces = _direct_pieces(versions, limits)
+        if pieces is None:
             staged = _resolve_by_sweep(staged, at, mine, _segments_many_versions(versions), unknown_key)
         else:
-            segments, cells = direct
-            staged = _resolve_directly(staged, at, mine, segments, unknown_key, cells)
+            staged = _resolve_directly(staged, at, mine, pieces, unknown_key)
     return staged
