@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from starloom.functions import date_key
 from starloom.operators import control, history
-from starloom.operators.lookup import LookupLimits, Role, resolve_point_in_time
+from starloom.operators.lookup import LookupLimits, Role, VersionedDimension, resolve_point_in_time
 from starloom.operators.ordered import dense_keys
 from starloom.operators.replace import replace_by_invoice
-from starloom.plans import dimensions, facts, quality, reports
+from starloom.plans import dimensions, facts, months, quality, reports, warehouse
 from starloom.session import materialise, scratch_path
 from starloom.sources import landing, testdata
 from starloom.sources.schemas import CONTROL_TOTALS, OPERATIONAL
@@ -164,14 +164,17 @@ HISTORIES = {
 }
 
 
+def _histories(spark: SparkSession, sf_dir: str, roles: Iterable[Role]) -> dict[str, VersionedDimension]:
+    """The roles' dimensions as stored tables, the state an incremental load finds."""
+    dims = {role.dimension: HISTORIES[role.dimension](spark, sf_dir) for role in roles}
+    return {name: replace(dim, frame=materialise(dim.frame, f"history-{name}")) for name, dim in dims.items()}
+
+
 def _resolved(spark: SparkSession, sf_dir: str, roles: Sequence[Role], limits: LookupLimits = LookupLimits()) -> DataFrame:
-    """Staged lines with the roles' keys from stored histories, the state an incremental load finds."""
     staged = testdata.sale_staging(spark, sf_dir).select(
         "Sale_Key", *dict.fromkeys(role.business_key for role in roles), "Last_Modified_When"
     )
-    dims = {role.dimension: HISTORIES[role.dimension](spark, sf_dir) for role in roles}
-    stored = {name: replace(dim, frame=materialise(dim.frame, f"history-{name}")) for name, dim in dims.items()}
-    return resolve_point_in_time(staged, "Last_Modified_When", roles, stored, limits=limits)
+    return resolve_point_in_time(staged, "Last_Modified_When", roles, _histories(spark, sf_dir, roles), limits=limits)
 
 
 def _pit(name: str) -> Query:
@@ -223,11 +226,46 @@ def multi_version_keys(spark, sf_dir):
     return history.multi_version_keys(testdata.stockitem_history(spark, sf_dir).frame, history.STOCK_ITEM)
 
 
-def fact_replace_by_invoice(spark, sf_dir):
+def _sales_and_restatement(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All sale lines as loaded before, and the recent ones staged again with one more piece each."""
     staged = testdata.sale_staging(spark, sf_dir)
-    fact = staged.drop("WWI_City_ID", "Total_Dry_Items", "Total_Chiller_Items")
-    restated = fact.where(F.col("Last_Modified_When") >= F.lit(testdata.BATCH_START).cast("timestamp_ntz"))
-    return replace_by_invoice(fact, restated.withColumn("Quantity", F.col("Quantity") + 1))
+    restated = staged.where(F.col("Last_Modified_When") >= F.lit(testdata.BATCH_START).cast("timestamp_ntz"))
+    return staged, restated.withColumn("Quantity", F.col("Quantity") + 1)
+
+
+NOT_IN_FACT = ("WWI_City_ID", "Total_Dry_Items", "Total_Chiller_Items")
+
+
+def fact_replace_by_invoice(spark, sf_dir):
+    fact, restated = _sales_and_restatement(spark, sf_dir)
+    return replace_by_invoice(fact.drop(*NOT_IN_FACT), restated)
+
+
+def fact_replace_by_month(spark, sf_dir):
+    """The same replacement in a fact stored by month: two loads, of which the second rewrites what it touches."""
+    folder = scratch_path(spark, "fact-by-month")
+    fact, restated = (
+        months.with_month(df.withColumn("Invoice_Date_Key", date_key(F.col("Invoice_Date"))))
+        for df in _sales_and_restatement(spark, sf_dir)
+    )
+    loads = control.close_load(testdata.lineage(spark, sf_dir), F.lit(1), COMPLETED_AT)
+    months.store_months(fact.drop(*NOT_IN_FACT), fact.select(months.MONTH).distinct(), 1, folder)
+    visible = months.visible_months(*months.stored_months(spark, folder), loads.where("Lineage_Key = 1"))
+    months.store_months(*months.restate_months(visible, restated), 2, folder)
+    both = control.close_load(loads, F.lit(2), COMPLETED_AT).where("Lineage_Key <= 2")
+    return months.visible_months(*months.stored_months(spark, folder), both).drop(months.MONTH, "Invoice_Date_Key")
+
+
+def sale_load(spark, sf_dir):
+    """One whole load of restated lines: find its lineage, resolve all five keys, replace the invoices."""
+    before, restated = _sales_and_restatement(spark, sf_dir)
+    outputs = [role.output for role in ROLES.values()]
+    fact = before.select(*before.columns, *[F.lit(0).cast("bigint").alias(key) for key in outputs], F.lit(1).cast("bigint").alias("Lineage_Key"))
+    loaded = warehouse.load_sales(
+        {warehouse.SALE: fact, warehouse.LINEAGE: testdata.lineage(spark, sf_dir), warehouse.CUTOFFS: testdata.cutoffs(spark, sf_dir)},
+        restated, list(ROLES.values()), _histories(spark, sf_dir, ROLES.values()), COMPLETED_AT,
+    )
+    return loaded[warehouse.SALE].select("Sale_Key", "WWI_Invoice_ID", "Quantity", "Total_Dry_Items", "Total_Chiller_Items", *outputs, "Lineage_Key")
 
 
 # --- load control
@@ -367,6 +405,8 @@ QUERIES: dict[str, Query] = {
     "scd2_apply_supplier": _applied(history.SUPPLIER),
     "multi_version_keys": multi_version_keys,
     "fact_replace_by_invoice": fact_replace_by_invoice,
+    "fact_replace_by_month": fact_replace_by_month,
+    "sale_load": sale_load,
     "lineage_open": lineage_open,
     "lineage_started_key": lineage_started_key,
     "lineage_open_key": lineage_open_key,

@@ -256,6 +256,14 @@ def _bars(report: str) -> str:
         FROM report, scale"""
 
 
+_REPLACED = _over(
+    "staged_sales",
+    """, kept AS (SELECT * EXCLUDE (WWI_City_ID) FROM staged_sales),
+         restated AS (SELECT * REPLACE (Quantity + 1 AS Quantity) FROM kept WHERE Last_Modified_When >= TIMESTAMP '2001-01-01')
+       SELECT * FROM kept WHERE WWI_Invoice_ID NOT IN (SELECT WWI_Invoice_ID FROM restated)
+       UNION ALL SELECT * FROM restated""",
+)
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "parquet_roundtrip": _over("invoices", "SELECT * FROM invoices"),
@@ -334,12 +342,21 @@ ORACLE: dict[str, str] = {
     "multi_version_keys": """
         SELECT l_partkey AS WWI_Stock_Item_ID, count(DISTINCT l_shipdate) AS versions
         FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_shipdate) > 1""",
-    "fact_replace_by_invoice": _over(
-        "staged_sales",
-        """, kept AS (SELECT * EXCLUDE (WWI_City_ID) FROM staged_sales),
-             restated AS (SELECT * REPLACE (Quantity + 1 AS Quantity) FROM kept WHERE Last_Modified_When >= TIMESTAMP '2001-01-01')
-           SELECT * FROM kept WHERE WWI_Invoice_ID NOT IN (SELECT WWI_Invoice_ID FROM restated)
-           UNION ALL SELECT * FROM restated""",
+    "fact_replace_by_invoice": _REPLACED,
+    "fact_replace_by_month": _REPLACED,
+    "sale_load": _over(
+        "staged_sales loads " + " ".join(dict.fromkeys(versions for versions, _, _ in _ROLES.values())),
+        f""", lines AS (SELECT *, (WWI_Invoice_ID % 5)::INTEGER AS Total_Dry_Items, (WWI_Invoice_ID % 3)::INTEGER AS Total_Chiller_Items
+                        FROM staged_sales),
+             restated AS (SELECT * FROM lines WHERE Last_Modified_When >= TIMESTAMP '2001-01-01')
+           SELECT Sale_Key, WWI_Invoice_ID, Quantity, Total_Dry_Items, Total_Chiller_Items,
+                  {", ".join(f"0::BIGINT AS {output}" for _, _, output in _ROLES.values())}, 1::BIGINT AS Lineage_Key
+           FROM lines WHERE WWI_Invoice_ID NOT IN (SELECT WWI_Invoice_ID FROM restated)
+           UNION ALL BY NAME
+           SELECT Sale_Key, WWI_Invoice_ID, (Quantity + 1)::INTEGER AS Quantity, Total_Dry_Items, Total_Chiller_Items,
+                  {", ".join(f"{_as_of(versions, key)} AS {output}" for versions, key, output in _ROLES.values())},
+                  (SELECT max(Lineage_Key) FROM loads WHERE Table_Name = 'Sale' AND Data_Load_Completed IS NULL) AS Lineage_Key
+           FROM restated s""",
     ),
     # load control
     "lineage_open": _over(
