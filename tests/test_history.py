@@ -1,5 +1,6 @@
 """Type 2 history, fact replacement and load control on hand-computed cases."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -53,6 +54,32 @@ def test_apply(spark, rows, changed):
     assert outcome(apply_history(dimension(spark), staged(spark, *rows), SPEC, 9)) == {**base, **changed}
 
 
+def model(dim, batch):
+    """The load row by row: close what is open, then append in order of key and start."""
+    starts = {}
+    for bk, start, _ in batch:
+        if bk is not None:
+            starts.setdefault(bk, []).append(start)
+    after = {}
+    for key, bk, _, start, end, _ in dim:
+        closes = end == END and bk in starts
+        after[key] = (bk, start, min(starts[bk]) if closes else end)
+    top = max(after, default=0)
+    ordered = sorted(batch, key=lambda row: (row[0] is not None, row[0] or "", row[1]))
+    return {**after, **{top + n: row for n, row in enumerate(ordered, 1)}}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_batches_match_a_row_by_row_load(spark, seed):
+    rng = random.Random(seed)
+    names = [*"ABCDEFGH", None]
+    dim = [(k, rng.choice(names), "x", day(rng.randint(0, 9)), rng.choice([END, day(rng.randint(5, 15))]), 1) for k in range(1, 40)]
+    batch = list({(rng.choice(names), day(rng.randint(0, 30))): None for _ in range(25)})
+    batch = [(bk, start, rng.choice([END, day(40)])) for bk, start in batch]
+    applied = apply_history(spark.createDataFrame(dim, DIM), staged(spark, *batch), SPEC, 9)
+    assert outcome(applied) == model(dim, batch)
+
+
 def test_a_second_run_closes_its_own_rows(spark):
     batch = staged(spark, ("A", day(5), END))
     twice = outcome(apply_history(apply_history(dimension(spark), batch, SPEC, 8), batch, SPEC, 9))

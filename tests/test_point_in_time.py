@@ -49,7 +49,8 @@ BASE = [(1, "A", day(1), day(5)), (2, "A", day(5), END), (3, "B", day(3), END)]
 
 @pytest.mark.parametrize("way", WAYS)
 def test_boundaries_unknowns_and_copies(spark, way):
-    probes = [("A", day(1)), ("A", day(2)), ("A", day(5)), ("A", day(6)), ("B", day(2)), ("C", day(2)), (None, day(2)), ("A", None), ("A", day(2)), ("A", day(2))]
+    probes = [("A", day(1)), ("A", day(2)), ("A", day(5)), ("A", day(6)), ("B", day(2)), ("C", day(2)), (None, day(2)), ("A", None)]
+    probes += [("A", day(2))] * 2
     assert resolve(spark, BASE, probes, WAYS[way]) == [0, 1, 1, 2, 0, 0, 0, 0, 1, 1]
 
 
@@ -99,9 +100,12 @@ def test_one_key_with_most_rows_spreads_over_sort_tasks(spark, monkeypatch):
         n = 30_000
         bk = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("bk")
         start = F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit(day(0)).cast("timestamp_ntz"))
-        dim = spark.range(n).select((F.col("id") + 1).alias("key"), bk, start.alias("Valid_From"), F.timestamp_add("MINUTE", F.lit(3), start).alias("Valid_To"))
+        dim = spark.range(n).select(
+            (F.col("id") + 1).alias("key"), bk, start.alias("Valid_From"), F.timestamp_add("MINUTE", F.lit(3), start).alias("Valid_To")
+        )
         staged = spark.range(n).select("id", bk, F.timestamp_add("MINUTE", F.lit(1), start).alias("t"))
-        found = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], {"d": VersionedDimension(dim, "bk", "key")}, limits=LookupLimits(candidates=16, versions_per_key=5_000))
+        dims, limits = {"d": VersionedDimension(dim, "bk", "key")}, LookupLimits(versions_per_key=5_000)
+        found = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], dims, limits=limits)
         assert found.where("found <> id + 1").count() == 0
         assert found.count() == n
     finally:
@@ -137,3 +141,16 @@ def test_deep_histories_are_cut_into_cells(spark):
     staged = spark.createDataFrame([(0, "A", day(2))], PROBE)
     plan = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], {"d": dim}, limits=LookupLimits(candidates=8))
     assert "_cell" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_key_is_cut_without_cutting_the_others(spark):
+    """One key has a third of all versions and probes, spaced by seconds; it alone gets cells, and no sweep is needed."""
+    n, second = 9_000, lambda at: F.timestamp_add("SECOND", at, F.lit(day(0)).cast("timestamp_ntz"))
+    bk = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("bk")
+    at = (F.col("id") * 10).cast("int")
+    dim = spark.range(n).select((F.col("id") + 1).alias("key"), bk, second(at).alias("Valid_From"), second(at + 25).alias("Valid_To"))
+    staged = spark.range(n).select("id", bk, second(at + 1).alias("t"))
+    found = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], {"d": VersionedDimension(dim, "bk", "key")})
+    assert found.count() == n and found.where("found <> id + 1").count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "_at_cell" in plan and "_chunk" not in plan and "Window" not in plan
