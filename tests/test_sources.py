@@ -70,6 +70,34 @@ def test_extract_reads_only_its_columns(spark, sf_dir):
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in plan
 
 
+class FakeReader:
+    """Stands in for a database: keeps the options and returns rows with one column too many."""
+
+    def __init__(self, rows):
+        self.rows, self.kept = rows, {}
+
+    def format(self, name):
+        self.kept["format"] = name
+        return self
+
+    def options(self, **options):
+        self.kept.update(options)
+        return self
+
+    def load(self):
+        return self.rows
+
+
+def test_database_extract_asks_for_slices_and_keeps_declared_columns(spark):
+    rows = spark.createDataFrame([(1, "red", "x")], "ColorID int, ColorName string, Extra string")
+    database = type("Database", (), {"read": FakeReader(rows)})
+    df = landing.extract_jdbc(database, "jdbc:x", "Warehouse.Colors", OPERATIONAL["colors"], {"user": "u"}, "ColorID", (1, 9), 4)
+    assert df.dtypes == [("ColorID", "bigint"), ("ColorName", "string")]
+    kept = database.read.kept
+    assert (kept["format"], kept["dbtable"], kept["user"]) == ("jdbc", "Warehouse.Colors", "u")
+    assert [kept[o] for o in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")] == ["ColorID", 1, 9, 4]
+
+
 class FakeSession:
     def __init__(self, configured, master):
         self.conf = {"spark.checkpoint.dir": configured} if configured else {}
