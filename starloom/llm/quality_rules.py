@@ -111,19 +111,22 @@ def thresholds(counted: DataFrame, counts: str, lang: str, source: str) -> DataF
     )
     limit = lambda k, least: F.col(k)[1] + FENCE * F.greatest(F.col(k)[1] - F.col(k)[0], F.lit(least))
     limits = sketches.select("_lang", "_source", "level", "n", F.struct(*(limit(k, s).alias(k) for k, s in SHARES.items())).alias("limits"))
-    own = limits.filter("level = 0").select("_lang", "_source", "n", "limits")
+    limits = materialise(limits.withColumn("one", F.when(F.col("n") > 0, 1)), "quality-limits")
+    own = limits.filter("level = 0").select("_lang", "_source", "n", "limits", "one")
     lang_wide = limits.filter("level = 1").select(F.col("_lang").alias("l"), F.col("n").alias("n_lang"), F.col("limits").alias("lang_limits"))
-    overall = limits.filter("level = 3").select(F.lit(1).alias("one"), F.col("limits").alias("all_limits"))
-    joined = own.join(lang_wide, F.col("_lang").eqNullSafe(F.col("l"))).withColumn("one", F.lit(1)).join(overall, "one")
+    overall = limits.filter("level = 3").select("one", F.col("limits").alias("all_limits"))
+    joined = own.join(lang_wide, F.col("_lang").eqNullSafe(F.col("l"))).join(overall, "one")
     chosen = F.when(F.col("n") >= LEAST_ROWS, F.col("limits")).when(F.col("n_lang") >= LEAST_ROWS, F.col("lang_limits")).otherwise(F.col("all_limits"))
     return joined.select("_lang", "_source", chosen.alias("_limits"))
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", into: str = "quality") -> DataFrame:
-    """``docs`` with a struct ``into``: the counts, ``base_failed`` and ``kept``."""
-    counted = materialise(with_counts(docs, text, into), "quality-counts")
+def judge(counted: DataFrame, lang: str = "lang", source: str = "source", into: str = "quality") -> DataFrame:
+    """Rows with a struct ``into`` of counts (see ``with_counts``), which becomes the base counts, ``base_failed`` and ``kept``.
+
+    ``counted`` is read twice, by the sketches and by the filter, so it should be a written table.
+    """
     limits = thresholds(counted, into, lang, source)
-    names = {c: fresh(docs, f"_{into}{c}") for c in limits.columns}
+    names = {c: fresh(counted, f"_{into}{c}") for c in limits.columns}
     limits = limits.withColumnsRenamed(names)
     joined = counted.join(
         limits,
@@ -131,11 +134,10 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         "left",
     )
     found, bound = F.col(into), F.col(names["_limits"])
-    too_high = [F.coalesce(c > bound[k], F.lit(False)) for k, c in shares(found).items()]
     failed = base_failed(found)
     kept = ~failed
-    for c in too_high:
-        kept = kept & ~c
+    for k, c in shares(found).items():
+        kept = kept & ~F.coalesce(c > bound[k], F.lit(False))
     verdict = F.struct(*(found[c].alias(c) for c in COUNTS), failed.alias("base_failed"), kept.alias("kept"))
     return joined.withColumn(into, verdict).drop(*names.values())
 
@@ -143,12 +145,14 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
 def filter_documents(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows whose text passes, with their own columns only."""
     into = fresh(docs, "_quality")
-    return judge(docs, text, lang, source, into).filter(F.col(into)["kept"]).select(*docs.columns)
+    counted = materialise(with_counts(docs, text, into), "quality-counts")
+    return judge(counted, lang, source, into).filter(F.col(into)["kept"]).select(*docs.columns)
 
 
 def op8_quality_rules(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
-    return judge(docs, into="quality").select("doc_id", "quality.*")
+    counted = materialise(with_counts(docs, "text", "quality").drop("text"), "quality-counts")
+    return judge(counted).select("doc_id", "quality.*")
 
 
 _WORD = "[^ \\t\\n\\x0b\\f\\r]+"
