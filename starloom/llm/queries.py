@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from starloom.llm import near_dedup, quality_rules
+from starloom.llm import near_dedup, packing, pii, quality_rules, toxicity
 
-MODULES = (near_dedup, quality_rules)
+MODULES = (near_dedup, packing, pii, quality_rules, toxicity)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in getattr(module, "ORACLE_SQL", {}).items()}
