@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from starloom.llm import near_dedup, packing, pii, quality_rules, toxicity
+from starloom.llm import byte_bpe, language_id, near_dedup, packing, pii, quality_model, quality_rules, toxicity, warc
 
-MODULES = (near_dedup, packing, pii, quality_rules, toxicity)
+MODULES = (language_id, near_dedup, quality_model, packing, warc, pii, quality_rules, toxicity, byte_bpe)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in getattr(module, "ORACLE_SQL", {}).items()}
