@@ -46,7 +46,10 @@ def _codes(text: str | None, table: np.ndarray) -> np.ndarray:
 
 
 def automaton(codes: list[int], width: int) -> np.ndarray:
-    """States by symbols: the next state, or the complement of the state after starting a new phrase with the symbol."""
+    """States by symbols: the next state, or the complement of the state after starting a new phrase with the symbol.
+
+    The last state is that of the beginning, and of a symbol that doesn't occur: whatever follows starts a phrase.
+    """
     follow, link, length = [{}], [-1], [0]
     last = 0
     for c in codes:
@@ -72,8 +75,9 @@ def automaton(codes: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[now] = clone
         last = now
-    fresh_start = np.array([follow[0].get(c, 0) for c in range(width)], np.int32)
-    table = np.broadcast_to(~fresh_start, (len(follow), width)).copy()
+    between = len(follow)
+    first = np.array([follow[0].get(c, between) for c in range(width)], np.int32)
+    table = np.broadcast_to(~first, (between + 1, width)).copy()
     for state, steps in enumerate(follow):
         for c, target in steps.items():
             table[state, c] = target
@@ -108,7 +112,7 @@ def fit(rows: list[tuple[str, str]]) -> dict | None:
         steps = np.where(states >= 0, states, ~states) * (other + 1) + at
         tables.append(np.where(states >= 0, steps, ~steps).astype(np.int32).ravel())
         languages.append(language)
-        starts.append(at)
+        starts.append(at + (len(states) - 1) * (other + 1))
         weights.append(np.log2(len(codes) + 1))
         at += states.size
     return {"table": table, "languages": languages, "steps": np.concatenate(tables), "starts": np.array(starts, np.int32), "weights": np.array(weights)}
@@ -132,7 +136,7 @@ def phrases(model: dict, coded: list[np.ndarray]) -> np.ndarray:
     left = np.searchsorted(-lengths[order], -np.arange(lengths.max()), side="left")  # blocks longer than each step
     steps = model["steps"]
     states = np.repeat(model["starts"][:, None], len(blocks), axis=1)
-    found = np.ones((len(model["languages"]), len(blocks)), np.int32)
+    found = np.zeros((len(model["languages"]), len(blocks)), np.int32)
     for t, n in enumerate(left):
         step = steps.take(states[:, :n] + letters[t, :n])
         ended = step >> 31  # -1 where a phrase ends
