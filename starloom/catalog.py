@@ -73,8 +73,7 @@ def csv_roundtrip_typed(spark, sf_dir):
 
 def csv_infer_to_parquet(spark, sf_dir):
     source, target = scratch_path(spark, "customers-csv"), scratch_path(spark, "customers")
-    columns = ("CustomerID", "CustomerName", "CustomerCategoryID", "DeliveryPostalCode", "AccountOpenedDate")
-    landing.write_csv(OperationalTables(spark, sf_dir)["customers"].select(*columns), source)
+    landing.write_csv(OperationalTables(spark, sf_dir)["customers"], source)
     return landing.csv_to_parquet(spark, source, target)
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 MONEY = DecimalType(18, 2)
+#: Sums over whole tables: wide enough for any number of rows.
+TOTAL = DecimalType(38, 2)
 RATE = DecimalType(18, 3)
 
 # They decide which rows are current and what a report prints.

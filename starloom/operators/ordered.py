@@ -27,8 +27,8 @@ def _placed(df: DataFrame, order: Sequence[Column | str], label: str) -> DataFra
 def dense_keys(
     df: DataFrame, order: Sequence[Column | str], name: str, after: Column | int = 0
 ) -> DataFrame:
-    """Add ``name`` = ``after`` + 1, + 2, ... in the given order, which must tell all rows apart."""
-    placed = _placed(df, order, "dense-keys")
+    """Add ``name`` = ``after`` + 1, + 2, ... in the given order, which must tell all rows apart; nulls come last."""
+    placed = _placed(df, [F.asc_nulls_last(c) if isinstance(c, str) else c for c in order], "dense-keys")
     sizes = placed.groupBy("_chunk").agg(F.count("*").alias("_size"))
     earlier = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_chunk", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))

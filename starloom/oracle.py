@@ -224,16 +224,16 @@ def _apply(base: str, batch: str, bk: str, sk: str, table: str) -> str:
 
 
 _TOTALS = """
-    SELECT count(*) AS fact_sale_rows, sum(Total_Including_Tax)::DECIMAL(18,2) AS fact_sale_total_incl,
-           sum(Total_Excluding_Tax)::DECIMAL(18,2) AS fact_sale_total_excl, sum(Quantity)::BIGINT AS fact_sale_quantity,
-           sum(Profit)::DECIMAL(18,2) AS fact_sale_profit,
+    SELECT count(*) AS fact_sale_rows, sum(Total_Including_Tax)::DECIMAL(38,2) AS fact_sale_total_incl,
+           sum(Total_Excluding_Tax)::DECIMAL(38,2) AS fact_sale_total_excl, sum(Quantity)::BIGINT AS fact_sale_quantity,
+           sum(Profit)::DECIMAL(38,2) AS fact_sale_profit,
            (SELECT count(*) FROM customer) AS dim_customer_rows, (SELECT count(*) FROM part) AS dim_stockitem_rows,
            (SELECT count(*) FROM supplier) AS dim_supplier_rows
     FROM sales"""
 _RECONCILED = f"""
-    SELECT metric, v AS actual, CASE WHEN metric = 'dim_supplier_rows' THEN (SELECT count(*) FROM customer) ELSE v END::DECIMAL(18,2) AS expected,
+    SELECT metric, v AS actual, CASE WHEN metric = 'dim_supplier_rows' THEN (SELECT count(*) FROM customer) ELSE v END::DECIMAL(38,2) AS expected,
            metric LIKE 'fact%' AS exact, CASE WHEN metric LIKE 'fact%' THEN 'PASS' ELSE 'INFO' END AS status
-    FROM (UNPIVOT (SELECT COLUMNS(*)::DECIMAL(18,2) FROM ({_TOTALS})) ON COLUMNS(*) INTO NAME metric VALUE v)"""
+    FROM (UNPIVOT (SELECT COLUMNS(*)::DECIMAL(38,2) FROM ({_TOTALS})) ON COLUMNS(*) INTO NAME metric VALUE v)"""
 _CATEGORIES = """
     SELECT coalesce(Category, '(sin categoría)') AS category, round(sum(Total_Including_Tax), 0)::BIGINT AS revenue
     FROM sales JOIN dim_c USING (Customer_Key) GROUP BY 1 ORDER BY 2 DESC, 1"""
@@ -245,7 +245,7 @@ _ITEMS = """
     FROM sales JOIN dim_i USING (Stock_Item_Key) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 6"""
 _KPIS = """
     SELECT round(sum(Total_Including_Tax), 0)::BIGINT AS revenue, count(*) AS lines, count(DISTINCT Customer_Key) AS customers,
-           round(sum(Total_Including_Tax)::DOUBLE / count(*), 2)::DECIMAL(18,2) AS ticket
+           round(avg(Total_Including_Tax), 2)::DECIMAL(18,2) AS ticket
     FROM sales"""
 
 
@@ -272,8 +272,7 @@ ORACLE: dict[str, str] = {
     "csv_roundtrip_typed": _over("stockitems", "SELECT * FROM stockitems"),
     "csv_infer_to_parquet": _over(
         "customers",
-        """SELECT CustomerID::INTEGER AS CustomerID, CustomerName, CustomerCategoryID::INTEGER AS CustomerCategoryID,
-                  DeliveryPostalCode::INTEGER AS DeliveryPostalCode, AccountOpenedDate FROM customers""",
+        "SELECT * REPLACE (CustomerID::BIGINT AS CustomerID, DeliveryPostalCode::BIGINT AS DeliveryPostalCode) FROM customers",
     ),
     "capture_control_totals": _over("sales", _TOTALS),
     "entity_row_counts": "\nUNION ALL\n".join(
@@ -426,7 +425,7 @@ ORACLE: dict[str, str] = {
         "sales",
         """, parts AS (SELECT sum(Total_Including_Tax) AS total,
                               sum(Total_Including_Tax) FILTER (Customer_Key IS NOT NULL) AS named FROM sales)
-           SELECT total::DECIMAL(18,2) AS total, named::DECIMAL(18,2) AS categories, (total - named)::DECIMAL(18,2) AS outside,
+           SELECT total::DECIMAL(38,2) AS total, named::DECIMAL(38,2) AS categories, (total - named)::DECIMAL(38,2) AS outside,
                   total = named AS agrees FROM parts""",
     ),
 }

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.constants import MONEY, TOLERANCE
+from starloom.constants import TOLERANCE, TOTAL
 from starloom.sources.schemas import CONTROL_TOTALS
 
 # Measures that must agree, and row counts that are only reported.
@@ -25,10 +25,10 @@ def fact_totals(fact: DataFrame) -> DataFrame:
     """Row count and the sums of all measures in one pass."""
     return fact.agg(
         F.count("*").alias("fact_sale_rows"),
-        F.sum("Total_Including_Tax").cast(MONEY).alias("fact_sale_total_incl"),
-        F.sum("Total_Excluding_Tax").cast(MONEY).alias("fact_sale_total_excl"),
+        F.sum("Total_Including_Tax").cast(TOTAL).alias("fact_sale_total_incl"),
+        F.sum("Total_Excluding_Tax").cast(TOTAL).alias("fact_sale_total_excl"),
         F.sum("Quantity").cast("bigint").alias("fact_sale_quantity"),
-        F.sum("Profit").cast(MONEY).alias("fact_sale_profit"),
+        F.sum("Profit").cast(TOTAL).alias("fact_sale_profit"),
     )
 
 
@@ -41,7 +41,7 @@ def control_totals(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 def as_metrics(totals: DataFrame, value: str) -> DataFrame:
     """One (metric, value) row per total, all as decimals."""
     present = [c for c in CONTROL_TOTALS.names if c in totals.columns]
-    return totals.select(*[F.col(c).cast(MONEY).alias(c) for c in present]).unpivot([], present, "metric", value)
+    return totals.select(*[F.col(c).cast(TOTAL).alias(c) for c in present]).unpivot([], present, "metric", value)
 
 
 def reconcile(actual: DataFrame, expected: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:

@@ -15,7 +15,7 @@ from starloom.constants import (
     KPI_LINES,
     KPI_REVENUE,
     KPI_TICKET,
-    MONEY,
+    TOTAL,
     TOP_ITEMS,
     UNCATEGORISED,
 )
@@ -30,14 +30,16 @@ def _revenue_per_key(fact: DataFrame, key: str) -> DataFrame:
 
 
 def sales_kpis(fact: DataFrame) -> DataFrame:
-    """Revenue, number of lines, distinct customers and mean amount per line."""
-    per_customer = fact.groupBy("Customer_Key").agg(F.sum(REVENUE).alias("_revenue"), F.count("*").alias("_lines"))
+    """Revenue, number of lines, distinct customers and mean of the amounts that are known."""
+    per_customer = fact.groupBy("Customer_Key").agg(
+        F.sum(REVENUE).alias("_revenue"), F.count("*").alias("_lines"), F.count(REVENUE).alias("_amounts")
+    )
     total, lines = F.sum("_revenue"), F.sum("_lines")
     return per_customer.agg(
         whole_units(total).alias("revenue"),
         F.coalesce(lines, F.lit(0)).alias("lines"),
         F.count("Customer_Key").alias("customers"),
-        ticket(total, lines).alias("ticket"),
+        ticket(total, F.sum("_amounts")).alias("ticket"),
     )
 
 
@@ -101,10 +103,10 @@ def bar_labels(report: DataFrame, value: str = "revenue") -> DataFrame:
 def category_share_check(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Whether the categories add up to the total, and what lies outside any customer."""
     categories = category_revenue(fact, dim_customer).agg(F.sum("amount").alias("amount")).scalar()
-    total = fact.agg(F.sum(REVENUE).cast(MONEY).alias("total"))
+    total = fact.agg(F.sum(REVENUE).cast(TOTAL).alias("total"))
     return total.select(
         "total",
-        categories.cast(MONEY).alias("categories"),
-        (F.col("total") - categories).cast(MONEY).alias("outside"),
+        categories.cast(TOTAL).alias("categories"),
+        (F.col("total") - categories).cast(TOTAL).alias("outside"),
         (F.col("total") == categories).alias("agrees"),
     )

@@ -56,14 +56,19 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with types taken from every row, at the price of one more pass over the files."""
-    return (
+    """CSV with types taken from every row, at the price of one more pass over the files.
+
+    Whole numbers are always bigint, so that the type does not depend on how large the values happen to be.
+    """
+    found = (
         spark.read.options(**CSV_OPTIONS)
         .option("multiLine", "true")
         .option("inferSchema", "true")
         .option("samplingRatio", "1.0")
         .csv(path)
     )
+    whole = {name: F.col(f"`{name}`").cast("bigint") for name, kind in found.dtypes if kind == "int"}
+    return found.withColumns(whole) if whole else found
 
 
 def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, schema: StructType | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from starloom.constants import MONEY, RATE
+from starloom.constants import MONEY, RATE, TOTAL
 
 _TYPES = {
     "bigint": LongType(),
@@ -23,6 +23,7 @@ _TYPES = {
     "date": DateType(),
     "timestamp_ntz": TimestampNTZType(),
     "money": MONEY,
+    "total": TOTAL,
     "rate": RATE,
 }
 
@@ -72,6 +73,6 @@ LINEAGE = _schema(
 )
 CUTOFFS = _schema("Table_Name string, Cutoff_Time timestamp_ntz")
 CONTROL_TOTALS = _schema(
-    "fact_sale_rows bigint, fact_sale_total_incl money, fact_sale_total_excl money, fact_sale_quantity bigint,"
-    "fact_sale_profit money, dim_customer_rows bigint, dim_stockitem_rows bigint, dim_supplier_rows bigint"
+    "fact_sale_rows bigint, fact_sale_total_incl total, fact_sale_total_excl total, fact_sale_quantity bigint,"
+    "fact_sale_profit total, dim_customer_rows bigint, dim_stockitem_rows bigint, dim_supplier_rows bigint"
 )

@@ -23,7 +23,7 @@ def test_keys_follow_the_order_without_gaps(spark, many_chunks):
 
 def test_keys_continue_after_the_given_one(spark):
     rows = spark.createDataFrame([("b", 1), ("a", 2), (None, 3)], "bk string, x int")
-    assert {tuple(r) for r in dense_keys(rows, ["bk"], "key", after=10).collect()} == {(11, None, 3), (12, "a", 2), (13, "b", 1)}
+    assert {tuple(r) for r in dense_keys(rows, ["bk"], "key", after=10).collect()} == {(11, "a", 2), (12, "b", 1), (13, None, 3)}
 
 
 def test_no_rows_no_keys(spark):

@@ -107,3 +107,18 @@ def test_top_items_keeps_only_the_best_rows_per_task(spark):
 def test_date_expressions(spark):
     days = spark.createDataFrame([(date(1995, 1, 1),), (date(2020, 12, 31),), (None,)], "d date")
     assert days.select(date_key(F.col("d")), month_label(F.col("d"))).collect() == [(19950101, "1995-01"), (20201231, "2020-12"), (None, None)]
+
+
+def test_totals_above_what_a_line_can_hold(spark):
+    line = Decimal("9999999999999999.99")
+    fact = spark.createDataFrame([(1, 1, line, line, 1, line)] * 3, "Customer_Key bigint, Stock_Item_Key bigint, Total_Including_Tax decimal(18,2), Total_Excluding_Tax decimal(18,2), Quantity int, Profit decimal(18,2)")
+    dims = {"customer": spark.range(1), "stockitem": spark.range(1), "supplier": spark.range(1)}
+    found = quality.control_totals(fact, dims)
+    assert found.first()["fact_sale_total_incl"] == 3 * line
+    assert quality.verdict(quality.reconcile(found, found)).first()["passed"]
+
+
+def test_ticket_leaves_out_unknown_amounts(spark):
+    fact = spark.createDataFrame([(1, Decimal("10.00")), (2, None)], "Customer_Key bigint, Total_Including_Tax decimal(18,2)")
+    row = reports.sales_kpis(fact).first()
+    assert (row["lines"], row["ticket"]) == (2, Decimal("10.00"))
