@@ -7,7 +7,7 @@ of least cost that has room for it whole. If none has, it fills the sequence wit
 last sequences of a group are padded: less than one sequence's tokens for each ``GROUP_TOKENS`` and task.
 
 Words are tokenised once per task: the vocabulary's normaliser and splitter never join text across ASCII white space, so a text's ids are
-its words' ids in order (tested against the library on whole texts).
+its words' ids in order (tested against the library on whole texts). Special tokens that a text spells out keep the library's reading.
 
 Defined results: null and empty texts have the end token only; ids of documents may be null or repeated, each row is packed on its own; an empty
 table gives an empty result; other columns are ignored.
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,15 +46,59 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _letters_of_bytes() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else the next one from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: b if b in printable else next(others) for b in range(256)}
+
+
+#: Pre-tokens of this vocabulary's splitter, a fixed value.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words of printable Latin characters: no normal form changes them, and they are lower-cased one character at a time.
+PLAIN = "[!-~\u00a1-\u012f\u0131-\u017f]+"
+
+
 def word_ids(tokenizer: str):
-    """text -> ids as a uint32 array, by a serialised tokenizer that never joins text across white space."""
+    """text -> ids as a uint32 array, by a serialised tokenizer that never joins text across white space.
+
+    Plain words go to the vocabulary's merges directly, any other word through the whole tokenizer. Texts that hold one of the
+    vocabulary's special tokens are tokenised whole, as such a token may reach over white space.
+    """
+    import regex
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_str(tokenizer)
-    t.encode_special_tokens = True
-    memo = Memo(lambda w: np.array(t.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32).tobytes())
-    find = memo.__getitem__
-    return lambda text: np.frombuffer(b"".join(map(find, (text or "").encode("utf-8", "replace").split())), np.uint32)
+    merges, letter = t.model.tokenize, _letters_of_bytes()
+    plain, pieces = regex.compile(PLAIN).fullmatch, regex.compile(PRE_TOKENS).findall
+    special = [token.content.encode() for token in t.get_added_tokens_decoder().values()]
+    holds_special = regex.compile(b"|".join(map(regex.escape, special)) or b"(?!)").search
+
+    def ids_of_piece(piece: bytes) -> bytes:
+        return array("I", [x.id for x in merges(piece.decode() if piece.isascii() else piece.decode("latin-1").translate(letter))]).tobytes()
+
+    of_piece = Memo(ids_of_piece).__getitem__
+
+    def ids_of_word(word: bytes) -> bytes:
+        if word.isalpha() and word.islower():
+            return ids_of_piece(word)
+        w = word.decode("utf-8", "replace")
+        if plain(w):
+            return b"".join([of_piece(piece.encode()) for piece in pieces(w.lower())])
+        return array("I", t.encode(w, add_special_tokens=False).ids).tobytes()
+
+    of_word = Memo(ids_of_word).__getitem__
+
+    def ids_of(text: str | None) -> np.ndarray:
+        raw = (text or "").encode("utf-8", "replace")
+        if holds_special(raw):
+            return np.array(t.encode(raw.decode("utf-8"), add_special_tokens=False).ids, np.uint32)
+        # Lower-casing ASCII letters first changes nothing unless a combining mark (lead bytes CC, CD) could join one.
+        if b"\xcc" not in raw and b"\xcd" not in raw:
+            raw = raw.lower()
+        return np.frombuffer(b"".join(map(of_word, raw.split())), np.uint32)
+
+    return ids_of
 
 
 def cost(length: int) -> float:
