@@ -12,7 +12,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from starloom.plans import quality, reports, warehouse
 from starloom.session import DEFAULTS
@@ -20,11 +20,6 @@ from starloom.sources import landing
 from starloom.sources.schemas import CONTROL_TOTALS
 
 
-def stored(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    names = {"customer": "dim_customer", "stockitem": "dim_stockitem", "supplier": "dim_supplier", "fact": "fact_sale"}
-    return {name: landing.read_parquet(spark, f"{folder}/{table}") for name, table in names.items()}
-
-
 def rebuild(spark: SparkSession, landing_folder: str, warehouse_folder: str) -> bool:
     built = warehouse.rebuild(landing.read_operational(spark, landing_folder), warehouse_folder)
     landing.row_counts(built).show(truncate=False)
@@ -33,7 +28,7 @@ def rebuild(spark: SparkSession, landing_folder: str, warehouse_folder: str) ->
 
 
 def verify(spark: SparkSession, warehouse_folder: str, totals: str) -> bool:
-    tables = stored(spark, warehouse_folder)
+    tables = warehouse.read_star(spark, warehouse_folder)
     fact = tables.pop("fact")
     reconciled = quality.reconcile(quality.control_totals(fact, tables), landing.read_totals(spark, totals, CONTROL_TOTALS))
     reconciled.show(truncate=False)
@@ -41,7 +36,7 @@ def verify(spark: SparkSession, warehouse_folder: str, totals: str) -> bool:
 
 
 def report(spark: SparkSession, warehouse_folder: str, output: str) -> bool:
-    tables = stored(spark, warehouse_folder)
+    tables = warehouse.read_star(spark, warehouse_folder)
     fact = tables["fact"]
     charts = {
         "by_category": reports.revenue_by_category(fact, tables["customer"]),

@@ -256,15 +256,28 @@ def fact_replace_by_month(spark, sf_dir):
 
 
 def sale_load(spark, sf_dir):
-    """One whole load of restated lines: find its lineage, resolve all five keys, replace the invoices."""
-    before, restated = _sales_and_restatement(spark, sf_dir)
+    """One whole load of restated lines into a fact stored by month: find its lineage, resolve all five keys, replace the invoices."""
+    folder = scratch_path(spark, "sale-load")
+    before, restated = (
+        months.with_month(df.withColumn("Invoice_Date_Key", date_key(F.col("Invoice_Date")))) for df in _sales_and_restatement(spark, sf_dir)
+    )
     outputs = [role.output for role in ROLES.values()]
     fact = before.select(*before.columns, *[F.lit(0).cast("bigint").alias(key) for key in outputs], F.lit(1).cast("bigint").alias("Lineage_Key"))
-    loaded = warehouse.load_sales(
-        {warehouse.SALE: fact, warehouse.LINEAGE: testdata.lineage(spark, sf_dir), warehouse.CUTOFFS: testdata.cutoffs(spark, sf_dir)},
-        restated, list(ROLES.values()), _histories(spark, sf_dir, ROLES.values()), COMPLETED_AT,
+    lineage = control.close_load(testdata.lineage(spark, sf_dir), F.lit(1), COMPLETED_AT)
+    months.store_months(fact, fact.select(months.MONTH).distinct(), 1, folder)
+    loaded = warehouse.load_sales_by_month(
+        {warehouse.LINEAGE: lineage, warehouse.CUTOFFS: testdata.cutoffs(spark, sf_dir)},
+        folder, restated, list(ROLES.values()), _histories(spark, sf_dir, ROLES.values()), COMPLETED_AT,
     )
-    return loaded[warehouse.SALE].select("Sale_Key", "WWI_Invoice_ID", "Quantity", "Total_Dry_Items", "Total_Chiller_Items", *outputs, "Lineage_Key")
+    sales = months.read_months(spark, folder, loaded[warehouse.LINEAGE], fact.schema)
+    return sales.select("Sale_Key", "WWI_Invoice_ID", "Quantity", "Total_Dry_Items", "Total_Chiller_Items", *outputs, "Lineage_Key")
+
+
+def warehouse_rebuild(spark, sf_dir):
+    """The fact of a star that was rebuilt, declared complete and read back."""
+    folder = scratch_path(spark, "warehouse")
+    warehouse.rebuild(testdata.OperationalTables(spark, sf_dir), folder)
+    return warehouse.read_star(spark, folder)["fact"]
 
 
 # --- load control
@@ -406,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "fact_replace_by_invoice": fact_replace_by_invoice,
     "fact_replace_by_month": fact_replace_by_month,
     "sale_load": sale_load,
+    "warehouse_rebuild": warehouse_rebuild,
     "lineage_open": lineage_open,
     "lineage_started_key": lineage_started_key,
     "lineage_open_key": lineage_open_key,

@@ -308,6 +308,7 @@ ORACLE: dict[str, str] = {
     ),
     # fact
     "fact_sale": _over("sales", "SELECT * FROM sales"),
+    "warehouse_rebuild": _over("sales", "SELECT * FROM sales"),
     "resolve_current_keys": _over(
         "invoices dim_c",
         """SELECT InvoiceID, CustomerID, BillToCustomerID,

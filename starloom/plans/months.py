@@ -13,9 +13,11 @@ from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from starloom.operators.replace import replace_by_invoice, restated_invoices
 from starloom.session import materialise
+from starloom.sources.versions import exists
 
 MONTH = "Invoice_Month"
 STORED_BY = "Stored_By"
@@ -27,21 +29,43 @@ def with_month(lines: DataFrame, date_key: str = "Invoice_Date_Key") -> DataFram
     return lines.withColumn(MONTH, F.coalesce(F.floor(F.col(date_key) / 100), F.lit(0)).cast("int"))
 
 
-def visible_months(stored: DataFrame, touched: DataFrame, lineage: DataFrame) -> DataFrame:
-    """The fact as readers see it: every month from the newest successful load that touched it.
-
-    The pairs of load and month are fetched, one per calendar month, and become a filter on folder
-    names, so files of other loads are not even listed.
-    """
+def _newest_loads(touched: DataFrame, lineage: DataFrame) -> dict[int, list[int]]:
+    """Load -> months that readers take from it. One pair per calendar month is fetched."""
     done = lineage.where("Was_Successful").select(F.col("Lineage_Key").alias(STORED_BY))
     newest = touched.join(done, STORED_BY, "left_semi").groupBy(MONTH).agg(F.max(STORED_BY).alias(STORED_BY))
     by_load = defaultdict(list)
     for row in newest.collect():
         by_load[row[STORED_BY]].append(row[MONTH])
+    return by_load
+
+
+def visible_months(stored: DataFrame, touched: DataFrame, lineage: DataFrame) -> DataFrame:
+    """The fact as readers see it: every month from the newest successful load that touched it.
+
+    The pairs of load and month become a filter on folder names. All folders below the store have been listed by then; ``read_months`` lists
+    only those it reads.
+    """
+    by_load = _newest_loads(touched, lineage)
     folders = [(F.col(STORED_BY) == load) & F.col(MONTH).isin(months) for load, months in by_load.items()]
     return stored.where(reduce(or_, folders, F.lit(False))).drop(STORED_BY)
 
 
+def read_months(spark: SparkSession, folder: str, lineage: DataFrame, schema: StructType) -> DataFrame:
+    """The same rows as ``visible_months``, from the folders of the wanted loads and months alone; ``schema`` is that of the lines.
+
+    Folders of superseded and of unfinished loads are never listed, however many there are.
+    """
+    noted = spark.read.schema(f"{MONTH} int, {STORED_BY} bigint").parquet(f"{folder}/months") if exists(spark, f"{folder}/months") else None
+    wanted = _newest_loads(noted, lineage) if noted is not None else {}
+    paths = [f"{folder}/lines/{STORED_BY}={load}/{MONTH}={month}" for load, months in sorted(wanted.items()) for month in sorted(months)]
+    paths = [path for path in paths if exists(spark, path)]  # a load that emptied a month left no folder
+    lines = StructType([field for field in schema.fields if field.name not in (MONTH, STORED_BY)])
+    typed = StructType([*lines.fields, StructField(STORED_BY, LongType()), StructField(MONTH, IntegerType())])
+    if not paths:
+        return spark.createDataFrame([], typed).drop(STORED_BY)
+    return spark.read.schema(typed).option("basePath", f"{folder}/lines").parquet(*paths).drop(STORED_BY)
+
+
 def touched_months(visible: DataFrame, staged: DataFrame) -> DataFrame:
     """Months of the lines to drop and of the lines to add; reads the invoice column of the fact only."""
     restated = restated_invoices(staged, INVOICE)

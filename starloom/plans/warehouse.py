@@ -1,8 +1,8 @@
 """Whole-warehouse steps: the full rebuild and the incremental loads.
 
 A warehouse is a mapping of table names to DataFrames. A load takes the old mapping and a staged
-batch and returns the new one; nothing is changed in place. A written warehouse becomes visible with
-its lineage table, which is written last.
+batch and returns the new one; nothing is changed in place. A written warehouse becomes visible when its
+version is declared complete, after all its tables.
 """
 
 from __future__ import annotations
@@ -17,8 +17,10 @@ from starloom.operators import control
 from starloom.operators.history import LINEAGE_KEY, HistorySpec, apply_history
 from starloom.operators.lookup import Role, VersionedDimension, require_unique, resolve_point_in_time
 from starloom.operators.replace import replace_by_invoice
+from starloom.plans import months
 from starloom.plans.dimensions import dim_customer, dim_stockitem, dim_supplier
 from starloom.plans.facts import fact_sale
+from starloom.sources import versions
 from starloom.sources.landing import read_parquet, write_parquet
 
 Warehouse = Mapping[str, DataFrame]
@@ -27,23 +29,31 @@ LINEAGE, CUTOFFS, SALE = "Lineage", "ETL Cutoff", "Sale"
 
 
 def rebuild(tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Build and write the three dimensions, then the fact from the written dimensions.
+    """Build a new version: the three dimensions, then the fact from the written dimensions.
 
-    A business key that occurs twice would multiply fact lines, so the load stops there.
+    A business key that occurs twice would multiply fact lines, so the load stops there. Readers go on with the version
+    before until the new one is complete.
     """
     spark = tables["customers"].sparkSession
+    version = versions.unused(spark, folder)
+    paths = {name: f"{version}/dim_{name}" for name in ("customer", "stockitem", "supplier")} | {"fact": f"{version}/fact_sale"}
     built = {}
     for name, build, key in (
         ("customer", dim_customer, "WWI_Customer_ID"),
         ("stockitem", dim_stockitem, "WWI_Stock_Item_ID"),
         ("supplier", dim_supplier, "WWI_Supplier_ID"),
     ):
-        path = f"{folder}/dim_{name}"
-        write_parquet(build(tables), path)
-        built[name] = read_parquet(spark, path)
+        write_parquet(build(tables), paths[name])
+        built[name] = read_parquet(spark, paths[name])
         require_unique(built[name], key)
-    write_parquet(fact_sale(tables, built), f"{folder}/fact_sale")
-    return {**built, "fact": read_parquet(spark, f"{folder}/fact_sale")}
+    write_parquet(fact_sale(tables, built), paths["fact"])
+    versions.publish(spark, version, paths)
+    return {**built, "fact": read_parquet(spark, paths["fact"])}
+
+
+def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The dimensions and the fact of the newest complete rebuild."""
+    return {name: read_parquet(spark, path) for name, path in versions.tables_of(spark, versions.newest(spark, folder)).items()}
 
 
 def open_load(warehouse: Warehouse, table: str, started: datetime | str, cutoff: datetime | str) -> dict[str, DataFrame]:
@@ -80,11 +90,40 @@ def load_sales(
     return {**_finished(warehouse, SALE, key, completed), SALE: loaded}
 
 
-def write_warehouse(warehouse: Warehouse, folder: str, mode: str = "errorifexists") -> None:
-    """Write all tables to a new folder, the lineage last: without it the folder does not count."""
-    for name in sorted(warehouse, key=lambda table: table == LINEAGE):
-        warehouse[name].write.mode(mode).parquet(f"{folder}/{name}")
+def load_sales_by_month(
+    warehouse: Warehouse,
+    folder: str,
+    staging: DataFrame,
+    roles: Sequence[Role],
+    dimensions: Mapping[str, VersionedDimension],
+    completed: datetime | str,
+    at: str = "Last_Modified_When",
+) -> dict[str, DataFrame]:
+    """``load_sales`` for a fact stored by month in ``folder``: only the months with dropped or added lines are written.
+
+    The staged lines have a ``months.MONTH``. The new lines are visible to readers of the returned lineage.
+    """
+    spark = staging.sparkSession
+    key = control.require_open_load(warehouse[LINEAGE], SALE)
+    resolved = resolve_point_in_time(staging, at, roles, dimensions).withColumn(LINEAGE_KEY, F.lit(key).cast("bigint"))
+    visible = months.read_months(spark, folder, warehouse[LINEAGE], resolved.schema)
+    months.store_months(*months.restate_months(visible, resolved), key, folder)
+    return _finished(warehouse, SALE, key, completed)
+
+
+def write_warehouse(warehouse: Warehouse, folder: str, mode: str = "errorifexists", unchanged: Mapping[str, str] | None = None) -> None:
+    """Write the tables to a new folder and declare it complete.
+
+    ``unchanged`` names tables whose files of an earlier version still hold, and where those are: they aren't copied.
+    """
+    kept = dict(unchanged or {})
+    written = {name: f"{folder}/{name}" for name in warehouse if name not in kept}
+    for name, path in written.items():
+        warehouse[name].write.mode(mode).parquet(path)
+    versions.publish(warehouse[LINEAGE].sparkSession, folder, kept | written)
 
 
 def read_warehouse(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    return {name: read_parquet(spark, f"{folder}/{name}") for name in dict.fromkeys([LINEAGE, *names])}
+    """The lineage and the named tables of a complete version."""
+    paths = versions.tables_of(spark, folder)
+    return {name: read_parquet(spark, paths[name]) for name in dict.fromkeys([LINEAGE, *names])}

@@ -82,6 +82,10 @@ def extract(table: DataFrame, schema: StructType) -> DataFrame:
     return table.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in schema.fields])
 
 
+#: Tables that grow with sales.
+SLICED = (OPERATIONAL["invoices"], OPERATIONAL["invoicelines"])
+
+
 def extract_jdbc(
     spark: SparkSession,
     url: str,
@@ -92,7 +96,12 @@ def extract_jdbc(
     bounds: tuple[int, int] | None = None,
     partitions: int = 1,
 ) -> DataFrame:
-    """Read a database table in parallel slices of ``partition_column``; only the declared columns travel."""
+    """Read a database table in parallel slices of ``partition_column``; only the declared columns travel.
+
+    The sale tables are refused without slices, as one task would read them whole.
+    """
+    if schema in SLICED and (partition_column is None or bounds is None or partitions < 2):
+        raise ValueError(f"{table} needs a partition column, its bounds and several partitions")
     reader = spark.read.format("jdbc").options(url=url, dbtable=table, **properties)
     if partition_column is not None and bounds is not None:
         reader = reader.options(

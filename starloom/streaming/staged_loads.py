@@ -1,45 +1,36 @@
 """Apply staged dimension batches as their files arrive.
 
 Each micro-batch is one load: it is opened, applied and closed like a batch load, and its result is
-a new warehouse folder numbered by the batch. A replayed batch rewrites its own folder, and a folder
-without a lineage table does not count, so a crash at any point is repaired by running again.
+a new warehouse folder numbered by the batch, which points to the files of the tables it didn't change. A folder
+counts once it is declared complete, so a crash at any point is repaired by running again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from starloom.operators.history import HistorySpec
-from starloom.plans.warehouse import LINEAGE, load_dimension, open_load, read_warehouse, write_warehouse
-
-
-def version_folder(folder: str, version: int) -> str:
-    return f"{folder}/v{version:08d}"
-
-
-def is_complete(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.parquet(f"{path}/{LINEAGE}").columns)
-    except AnalysisException:
-        return False
+from starloom.plans.warehouse import CUTOFFS, LINEAGE, load_dimension, open_load, read_warehouse, write_warehouse
+from starloom.sources.versions import is_complete, tables_of, version_folder
 
 
 def apply_batch(
     spark: SparkSession, folder: str, names: Sequence[str], spec: HistorySpec, staging: DataFrame, batch: int, now: datetime
 ) -> None:
-    """Load one batch on top of version ``batch`` and write version ``batch + 1``."""
+    """Load one batch on top of version ``batch`` and write what it changes as version ``batch + 1``."""
     target = version_folder(folder, batch + 1)
     if is_complete(spark, target):
         return
-    before = read_warehouse(spark, version_folder(folder, batch), names)
-    opened = open_load(before, spec.table, now, now)
-    write_warehouse(load_dimension(opened, staging, spec, now), target, mode="overwrite")
+    base = version_folder(folder, batch)
+    opened = open_load(read_warehouse(spark, base, names), spec.table, now, now)
+    changed = {spec.table, LINEAGE, CUTOFFS}
+    unchanged = {name: path for name, path in tables_of(spark, base).items() if name not in changed}
+    write_warehouse(load_dimension(opened, staging, spec, now), target, mode="overwrite", unchanged=unchanged)
 
 
 def stream_dimension_loads(
@@ -51,12 +42,15 @@ def stream_dimension_loads(
     spec: HistorySpec,
     checkpoint: str,
     files_per_load: int = 1000,
+    now: Callable[[], datetime] = lambda: datetime.now(timezone.utc).replace(tzinfo=None),
 ) -> StreamingQuery:
-    """Load all staged files that are not loaded yet, then stop. Version 0 of the warehouse must exist."""
+    """Load all staged files that are not loaded yet, then stop. Version 0 of the warehouse must exist.
+
+    ``now`` gives a load's time; a replay that must repeat it passes a clock of its own.
+    """
 
     def load(staged: DataFrame, batch: int) -> None:
-        moment = datetime.now(timezone.utc).replace(tzinfo=None)
-        apply_batch(staged.sparkSession, folder, names, spec, staged, batch, moment)
+        apply_batch(staged.sparkSession, folder, names, spec, staged, batch, now())
 
     arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_load).parquet(staging)
     return (

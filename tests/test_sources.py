@@ -109,3 +109,8 @@ def test_shared_folder_is_the_configured_one_and_never_local_on_a_cluster():
     assert session.shared_folder(FakeSession(None, "local[8]")).endswith("starloom-checkpoints")
     with pytest.raises(RuntimeError):
         session.shared_folder(FakeSession(None, "yarn"))
+
+
+def test_sale_tables_are_not_read_in_one_slice(spark):
+    with pytest.raises(ValueError, match="partition column"):
+        landing.extract_jdbc(spark, "jdbc:x", "Sales.Invoices", OPERATIONAL["invoices"], {})

@@ -12,7 +12,8 @@ from starloom.plans import warehouse
 from starloom.sources.landing import land
 from starloom.sources.schemas import CUTOFFS, LINEAGE
 from starloom.sources.testdata import OperationalTables
-from starloom.streaming.staged_loads import apply_batch, is_complete, stream_dimension_loads, version_folder
+from starloom.sources.versions import is_complete, version_folder
+from starloom.streaming.staged_loads import apply_batch, stream_dimension_loads
 
 END = datetime.fromisoformat(END_OF_TIME)
 DIM = "Customer_Key bigint, WWI_Customer_ID bigint, Customer string, Valid_From timestamp_ntz, Valid_To timestamp_ntz, Lineage_Key bigint"
@@ -71,12 +72,42 @@ def test_a_half_written_version_is_written_again(spark, folder):
     assert versions(spark, folder, 1) == [(1, "old", END)]
 
 
+def test_half_a_lineage_is_refused_and_repaired(spark, folder):
+    half = version_folder(folder, 1)
+    spark.createDataFrame([], LINEAGE).write.parquet(f"{half}/{warehouse.LINEAGE}")
+    assert not is_complete(spark, half)
+    with pytest.raises(FileNotFoundError, match="not a complete version"):
+        warehouse.read_warehouse(spark, half, NAMES)
+    apply_batch(spark, folder, NAMES, CUSTOMER, spark.createDataFrame([(7, "old", day(1), END)], STAGED), 0, day(2))
+    assert versions(spark, folder, 1) == [(1, "old", END)]
+
+
+def test_tables_that_a_load_leaves_alone_are_not_written(spark, folder, tmp_path):
+    base = version_folder(str(tmp_path / "x"), 0)
+    tables = warehouse.read_warehouse(spark, version_folder(folder, 0), NAMES) | {"Sale": spark.range(5)}
+    warehouse.write_warehouse(tables, base)
+    names = [*NAMES, "Sale"]
+    for batch in range(2):
+        apply_batch(spark, str(tmp_path / "x"), names, CUSTOMER, spark.createDataFrame([(7, "old", day(1 + batch), END)], STAGED), batch, day(2 + batch))
+    written = sorted(p.name for p in (tmp_path / "x" / "v00000002").iterdir() if p.is_dir())
+    assert written == sorted(["Customer", warehouse.CUTOFFS, warehouse.LINEAGE])
+    assert warehouse.read_warehouse(spark, version_folder(str(tmp_path / "x"), 2), names)["Sale"].count() == 5
+
+
+def test_a_stream_takes_its_clock_as_an_argument(spark, folder, tmp_path):
+    staging = str(tmp_path / "staging")
+    spark.createDataFrame([(7, "old", day(1), END)], STAGED).write.parquet(staging)
+    schema = spark.createDataFrame([], STAGED).schema
+    stream_dimension_loads(spark, staging, schema, folder, NAMES, CUSTOMER, str(tmp_path / "c"), now=lambda: day(9)).awaitTermination()
+    assert warehouse.read_warehouse(spark, version_folder(folder, 1), NAMES)[warehouse.LINEAGE].first()["Data_Load_Started"] == day(9)
+
+
 def test_command_line(spark, sf_dir, tmp_path, capsys):
     landing, built, out = (str(tmp_path / name) for name in ("landing", "warehouse", "out"))
     for name, table in OperationalTables(spark, sf_dir).items():
         assert land(table, f"{landing}/src_{name}.parquet") == table.count()
     assert cli.main(["rebuild", landing, built]) == 0
-    fact = spark.read.parquet(f"{built}/fact_sale")
+    fact = warehouse.read_star(spark, built)["fact"]
     rows, incl, excl, quantity, profit = fact.selectExpr(
         "count(*)", "sum(Total_Including_Tax)", "sum(Total_Excluding_Tax)", "sum(Quantity)", "sum(Profit)"
     ).first()

@@ -42,6 +42,18 @@ def test_rebuild_refuses_a_business_key_that_occurs_twice(spark, sf_dir, tmp_pat
         warehouse.rebuild(tables, str(tmp_path))
 
 
+def test_a_refused_rebuild_leaves_the_old_star_in_use(spark, sf_dir, tmp_path):
+    tables = dict(OperationalTables(spark, sf_dir))
+    warehouse.rebuild(tables, str(tmp_path))
+    before = {name: (df.inputFiles(), df.count()) for name, df in warehouse.read_star(spark, str(tmp_path)).items()}
+    twice = tables | {"customers": tables["customers"].unionAll(tables["customers"].where("CustomerID = 7"))}
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        warehouse.rebuild(twice, str(tmp_path))
+    assert {name: (df.inputFiles(), df.count()) for name, df in warehouse.read_star(spark, str(tmp_path)).items()} == before
+    warehouse.rebuild(tables, str(tmp_path))
+    assert "v00000003" in warehouse.read_star(spark, str(tmp_path))["fact"].inputFiles()[0]
+
+
 def test_a_fact_column_joins_only_what_it_needs(spark, sf_dir):
     tables = OperationalTables(spark, sf_dir)
     plan = facts.fact_sale(tables, {}, ("Invoice_Date", "Total_Including_Tax"))._jdf.queryExecution().executedPlan().toString()
@@ -153,6 +165,21 @@ def test_months_hold_one_visible_content_each(spark, tmp_path):
     assert lines(1, 2) == ["a2", "c2", "d", "e"], "a retry replaces its own files"
 
 
+def test_reading_months_lists_only_the_wanted_folders(spark, tmp_path):
+    folder = str(tmp_path)
+    first = fact_lines(spark, (1, "a", 20200105), (2, "b", 20200201), (3, "c", 20200301))
+    read = lambda *done: months.read_months(spark, folder, lineage_of(spark, *done), first.schema)
+    assert read(1).collect() == []
+    months.store_months(first, first.select(months.MONTH).distinct(), 1, folder)
+    content, touched = months.restate_months(read(1), fact_lines(spark, (2, "b2", 20200302)))
+    months.store_months(content, touched, 2, folder)
+    assert sorted(r["line"] for r in read(1).collect()) == ["a", "b", "c"]
+    assert sorted(r["line"] for r in read(1, 2).collect()) == ["a", "b2", "c"], "a month that became empty has no folder"
+    parts = {tuple(f.split("/")[-3:-1]) for f in read(1, 2).inputFiles()}
+    assert parts == {("Stored_By=1", "Invoice_Month=202001"), ("Stored_By=2", "Invoice_Month=202003")}
+    assert not (tmp_path / "lines" / "Stored_By=2" / "Invoice_Month=202001").exists(), "a month no line touches gains no file"
+
+
 def test_month_folders_of_other_loads_are_pruned(spark, tmp_path):
     folder = str(tmp_path)
     first = fact_lines(spark, (1, "a", 20200105))
