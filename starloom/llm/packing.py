@@ -6,8 +6,8 @@ Whole sequences are cut from longer documents first; the rests are then taken in
 of least cost that has room for it whole. If none has, it fills the sequence with the most room and its own rest is taken again, so only the
 last sequences of a group are padded: less than one sequence's tokens for each ``GROUP_TOKENS`` and task.
 
-Words are tokenised once per task: the vocabulary's normaliser and splitter never join text across ASCII white space, so a text's ids are
-its words' ids in order (tested against the library on whole texts). Special tokens that a text spells out keep the library's reading.
+Words are tokenised once per Python worker: the vocabulary's normaliser and splitter never join text across ASCII white space, so a text's ids are
+its words' ids in order (tested against the library on whole texts).
 
 Defined results: null and empty texts have the end token only; ids of documents may be null or repeated, each row is packed on its own; an empty
 table gives an empty result; other columns are ignored.
@@ -19,6 +19,7 @@ import heapq
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,20 +60,21 @@ PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN = "[!-~\u00a1-\u012f\u0131-\u017f]+"
 
 
+@lru_cache(maxsize=1)
 def word_ids(tokenizer: str):
     """text -> ids as a uint32 array, by a serialised tokenizer that never joins text across white space.
 
-    Plain words go to the vocabulary's merges directly, any other word through the whole tokenizer. Texts that hold one of the
-    vocabulary's special tokens are tokenised whole, as such a token may reach over white space.
+    Kept by the process, so that the tasks of one Python worker share what it has learned of the words.
+    Plain words go to the vocabulary's merges directly, any other word through the whole tokenizer. A special token that a
+    text spells out is ordinary text.
     """
     import regex
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_str(tokenizer)
+    t.encode_special_tokens = True
     merges, letter = t.model.tokenize, _letters_of_bytes()
     plain, pieces = regex.compile(PLAIN).fullmatch, regex.compile(PRE_TOKENS).findall
-    special = [token.content.encode() for token in t.get_added_tokens_decoder().values()]
-    holds_special = regex.compile(b"|".join(map(regex.escape, special)) or b"(?!)").search
 
     def ids_of_piece(piece: bytes) -> bytes:
         return array("I", [x.id for x in merges(piece.decode() if piece.isascii() else piece.decode("latin-1").translate(letter))]).tobytes()
@@ -91,8 +93,6 @@ def word_ids(tokenizer: str):
 
     def ids_of(text: str | None) -> np.ndarray:
         raw = (text or "").encode("utf-8", "replace")
-        if holds_special(raw):
-            return np.array(t.encode(raw.decode("utf-8"), add_special_tokens=False).ids, np.uint32)
         # Lower-casing ASCII letters first changes nothing unless a combining mark (lead bytes CC, CD) could join one.
         if b"\xcc" not in raw and b"\xcd" not in raw:
             raw = raw.lower()

@@ -278,3 +278,18 @@ def test_pipeline_keeps_the_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, "/root/testdata/sf0.001")
         assert docs.columns == columns
+
+
+def test_word_ids_are_those_of_the_library():
+    from tokenizers import Tokenizer
+
+    with open(packing.vocabulary(), encoding="utf-8") as f:
+        source = f.read()
+    library, ids_of, r = Tokenizer.from_str(source), packing.word_ids(source), random.Random(5)
+    library.encode_special_tokens = True
+    letters = "abzABZIJHT'stmlre09.,-!?$%<|>éÉßİıŉſª²½­ \u0085̱́̌̇Kẖ \n\t　\x1c\x00中Σσς\U0001f600"
+    strings = ["".join(r.choices(letters, k=r.randint(0, 14))) for _ in range(5000)]
+    strings += [f"{a}<|endoftext|>{b}" for a, b in zip(strings[:200], strings[200:400], strict=True)] + ["", "Ab " * 5000, "$" * 20_000]
+    for s in strings:
+        assert ids_of(s).tolist() == library.encode(s, add_special_tokens=False).ids, repr(s[:40])
+    assert len(ids_of(None)) == 0
