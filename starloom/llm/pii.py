@@ -43,7 +43,7 @@ GENERATORS = {
     "email": rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++\x20?+(?:@|\(at\)|\[at\])\x20?+[A-Za-z0-9-]++(?:\x20?+(?:\.|\(dot\)|\[dot\])\x20?+[A-Za-z0-9-]++)++",
     "number": r"[+(]?+[0-9](?:[\x20().-]{0,2}+[0-9])++",
 }
-BYTE = r"0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+BYTE = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 TELLING = r"(?i)(phone|tel|call|mobil|fax|mail|contact|address|adresse|server|host|card|visa|carte|karte|tarjeta|account)\W*$"
 #: Feature -> number of its values.
 FEATURES = {"kind": 4, "digits": 8, "groups": 6, "separator": 5, "marked": 2, "valid": 2, "before": 4, "after": 4, "told": 2}

@@ -110,6 +110,17 @@ def test_base_spans_and_redaction(spark):
     assert pii.redact(docs).columns == docs.columns
 
 
+def test_base_spans_of_addresses_with_zero_octets(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["at 10.0.0.1 and 127.0.0.1,", "0.0.0.0", "1.00.000.1 192.168.0.1.", "0256.0.0.1 1.2.3.0000256", "1." + "0" * 3000 + ".2.3", "1.2.3." + "0" * 3000 + "256"]
+    docs = table(spark, texts)
+    for row in pii.find(docs).select("text", pii._listed(F.col("pii.base")).alias("base")).collect():
+        assert row.base == base_spans(row.text)
+    clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert clean[0] == "at <IP> and <IP>," and clean[2] == "<IP> <IP>."
+
+
 def test_packing_is_a_gapless_round_trip(spark):
     from tokenizers import Tokenizer
 
