@@ -279,6 +279,57 @@ def test_search_against_brute_force(spark, monkeypatch):
         assert [s for _, s in got[q]] == pytest.approx([s for _, s in want], abs=4)
 
 
+def brute_search(bags, terms, k):
+    mean, scored = sum(b.total() for b in bags.values()) / len(bags), []
+    df = Counter(t for b in bags.values() for t in b)
+    for i, b in bags.items():
+        parts = [math.log(1 + (len(bags) - df[t] + 0.5) / (df[t] + 0.5)) * (b[t] * 2.2) / (b[t] + 1.2 * (0.25 + 0.75 * b.total() / mean)) for t in terms if b[t]]
+        if parts:
+            scored.append((sum(math.floor(topk_search.UNIT * p) for p in parts), i))
+    return sorted(scored, key=lambda x: (-x[0], x[1]))[:k]
+
+
+def test_a_query_asks_with_all_its_words(spark, tmp_path):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(150)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(20, 80))) + f" only{i}" for i in range(100)]
+    texts[3], texts[7] = None, texts[20].upper()
+    table(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {}
+    for r in topk_search.op2_topk_search(spark, str(tmp_path)).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.score, r.doc_id))
+    bags = {i: Counter(t.lower().split()) for i, t in enumerate(texts) if t}
+    shared = {t for t, n in Counter(t for b in bags.values() for t in b).items() if n > 1}
+    assert sorted(got) == [0, 20, 40, 60, 80]
+    for q, found in got.items():
+        want = brute_search(bags, set(bags[q]) & shared, topk_search.K)
+        assert [d for _, d in found] == [d for _, d in want]
+        assert [s for s, _ in found] == pytest.approx([s for s, _ in want], abs=80)
+
+
+def test_pruned_search_of_a_shard_is_exact(monkeypatch):
+    import numpy as np
+
+    for block, seed in ((1, 1), (2, 2), (5, 3), (64, 4)):
+        monkeypatch.setattr(topk_search, "BLOCK", block)
+        rng = random.Random(seed)
+        bags = {7 * i: Counter(rng.choices(range(40), [1 / (t + 1) for t in range(40)], k=rng.randint(1, 30))) for i in range(150)}
+        lists = [[(d, b[t], b.total()) for d, b in bags.items() if b[t]] for t in range(40)]
+        held = [t for t in range(40) if lists[t]]
+        idf = [0.0 if t == 0 else rng.random() for t in held]
+        sizes, postings = np.array([len(lists[t]) for t in held]), np.array([x for t in held for x in lists[t]])
+        shard = topk_search.Shard(np.array(held), np.array(idf), sizes, *postings.T, 12.0)
+        for _ in range(30):
+            asked = rng.sample(held, rng.randint(1, len(held)))
+            score = {}
+            for t in asked:
+                for d, tf, n in lists[t]:
+                    part = math.floor(topk_search.UNIT * (idf[held.index(t)] * (tf * 2.2) / (tf + 1.2 * (1 - 0.75 + 0.75 * n / 12.0))))
+                    score[d] = score.get(d, 0) + part
+            want = sorted(((s, d) for d, s in score.items()), key=lambda x: (-x[0], x[1]))[:10]
+            assert shard.best(np.array([*asked, 99]), 10) == want
+
+
 def test_pipeline_keeps_the_columns(spark):
     import corpus_pipeline
 
