@@ -3,13 +3,18 @@
 Base spans are the fixed patterns of four kinds with their checks; they are always redacted. High-recall generators propose
 further, overlapping spans: spelled-out or spaced e-mail addresses, and every run of digits with separators as an address, a card and
 a phone number. Each candidate is described by small integer features of its format (digits, groups, separators, check digit ...) and
-context (characters beside it, a telling word before it). A candidate that overlaps a base span of its kind is a positive example, any other a
-negative one.
+context (characters beside it, a telling word of its kind before it).
+
+What the fixed patterns miss is not known to be wrong, so it isn't learned as such. Positive examples are the candidates that overlap a base
+span of their kind, each also in the loose forms that the patterns don't take (``_loose``: no plus sign, spelled-out e-mail, dotted card).
+Negative ones are clear non-cases: candidates that fail their kind's check or overlap a base span of another kind only. All others are left out.
+A small labelled table (``labelled``) adds loose cases and look-alikes such as dates, amounts and book numbers.
 
 The candidates of all documents are counted by feature vector. That table is bounded by the product of the features' ranges
-(``MOST_VECTORS``) whatever the corpus, and is all that reaches the driver, where trees are boosted on it with the counts as weights:
-learning therefore covers every candidate. The trees become one SQL expression. A threshold per kind is the least score from which the
-candidates of the held-out half (by a hash of the id) are positive at ``PRECISION`` or better; a kind without enough candidates adds nothing.
+(``MOST_VECTORS``) whatever the corpus, and is all that reaches the driver, where trees are boosted on it: per kind and label its weight is
+that of ``CORPUS_WEIGHT`` labelled rows. The trees become one SQL expression. A threshold per kind is the least score from which the held-out
+half of the labelled table, ``LEAST_CANDIDATES`` of it at least, and the held-out half of the corpus's examples (by a hash of the id), if any are
+positive, are right at ``PRECISION`` or better; a kind without such a score adds nothing, and so do addresses (ip), which have no loose form. An added span overlaps no base span.
 
 Patterns are written so that a failing start never rescans a run (possessive quantifiers, look-behind), which keeps them linear on very long
 runs; they match what the plain forms match.
@@ -44,12 +49,21 @@ GENERATORS = {
     "number": r"[+(]?+[0-9](?:[\x20().-]{0,2}+[0-9])++",
 }
 BYTE = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-TELLING = r"(?i)(phone|tel|call|mobil|fax|mail|contact|address|adresse|server|host|card|visa|carte|karte|tarjeta|account)\W*$"
+#: Words that announce a kind, right before it.
+TELLING = {
+    "email": r"(?i)\b(?:e-?mail|mail|contact|write to|address|adresse|correo)\W*$",
+    "ip": r"(?i)\b(?:ip|server|host|address|adresse)\W*$",
+    "card": r"(?i)\b(?:card|visa|mastercard|carte|karte|kreditkarte|tarjeta)\W*$",
+    "phone": r"(?i)\b(?:phone|telephone|tel|t[eé]l[eé]phone|telefon|tel[eé]fono|call|mobile?|m[oó]vil|cell|handy|fax)\W*$",
+}
+#: An e-mail address ends in a word behind a tight or a spelled-out dot; a sentence's end doesn't.
+ENDING = r"(?:\.|[(\[]dot[)\]]\x20?)[A-Za-z]{2,}$"
 #: Feature -> number of its values.
 FEATURES = {"kind": 4, "digits": 8, "groups": 6, "separator": 5, "marked": 2, "valid": 2, "before": 4, "after": 4, "told": 2}
 MOST_VECTORS = math.prod(FEATURES.values())
 TREES, DEPTH, RATE, RIDGE = 12, 3, 0.4, 1.0
 PRECISION, LEAST_CANDIDATES = 0.95, 50
+CORPUS_WEIGHT = 50.0
 
 
 def _let(value: Column, body) -> Column:
@@ -129,13 +143,13 @@ def _described(text: Column, kind: int, x: Column) -> Column:
     bucket = F.when(n == 0, 0).when(n < 7, 1).when(n < 10, 2).when(n < 12, 3).when(n < 13, 4).when(n < 16, 5).when(n < 20, 6).otherwise(7)
     groups = F.least(F.regexp_count(s, F.lit("[0-9]++")), F.lit(5))
     separator = F.when(s.rlike(r"[()\[]"), 4).when(s.rlike("-"), 3).when(F.contains(s, F.lit(".")), 2).when(F.contains(s, F.lit(" ")), 1).otherwise(0)
-    valid = F.lit(True) if kind == 0 else _passes(KINDS[kind], s)
+    valid = s.rlike(ENDING) if kind == 0 else _passes(KINDS[kind], s)
     left = F.substring(text, F.greatest(x["start"] - 15, F.lit(1)), F.least(x["start"], F.lit(16)))
     marked = s.rlike(r"^\+") if kind else F.contains(s, F.lit("@")) & ~F.contains(s, F.lit(" "))
     values = {
         "kind": F.lit(kind), "digits": bucket, "groups": groups, "separator": separator, "marked": marked.cast("int"),
         "valid": F.coalesce(valid, F.lit(False)).cast("int"), "before": _beside(F.substring(left, -1, 1)),
-        "after": _beside(F.substring(text, x["end"] + 1, F.lit(1))), "told": left.rlike(TELLING).cast("int"),
+        "after": _beside(F.substring(text, x["end"] + 1, F.lit(1))), "told": left.rlike(TELLING[KINDS[kind]]).cast("int"),
     }
     return F.struct(x["start"].alias("start"), x["end"].alias("end"), *(values[f].cast("int").alias(f) for f in FEATURES))
 
@@ -155,6 +169,44 @@ def _touches(spans: Column, x: Column) -> Column:
     return F.exists(spans, lambda b: (b["kind"] == x["kind"]) & (b["start"] < x["end"]) & (b["end"] > x["start"]))
 
 
+def _overlaps(spans: Column, x: Column) -> Column:
+    return F.exists(spans, lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
+
+
+def labelled() -> list[tuple[str, int, int, int]]:
+    """(text, kind, start, end): a span that a reader would redact, or a text without one (kind -1)."""
+    people, hosts = ("anna.berg", "jo_smith", "m.diaz", "info", "luc-petit"), ("mail", "example", "post-box", "uni.example")
+    emails = [f"{p}{at}{h.replace('.', dot)}{dot}{end}" for i, p in enumerate(people) for j, h in enumerate(hosts)
+              for at, dot in ((" (at) ", " (dot) "), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" @ ", "."), (" (at) ", ".")) for end in (("com", "de", "org")[(i + j) % 3],)]
+    phones = ["030 1234567", "(030) 123 45 67", "0171-2345678", "555-867-5309", "(212) 555-0147", "01 42 68 53 00", "91 411 22 33", "0049 30 123456", "06 12 34 56 78",
+              "020 7946 0958", "0800-123-4567", "0221 98 76 54 3", "(0)89 123456", "650 555 0123",
+              "0351 456 78 90", "04 91 55 66 77", "(415) 555 2671", "0161-496-0123", "93 318 22 11", "0761 20 30 40", "303-555-0199", "(0341) 97 12 345"]
+    cards = ["4111.1111.1111.1111", "5500.0000.0000.0004", "4012.8888.8888.1881", "5105.1051.0510.5100", "4222.2222.2222.2220", "6011.0000.0000.0004", "4000.0566.5566.5556"]
+    told = {0: ("mail {}", "e-mail: {} today", "Contact {}.", "write to {}"), 2: ("card {}", "Visa: {} ok", "my card ({})", "Karte {}."),
+            3: ("call {}", "tel {}", "Tel.: {} please", "phone {}.", "Fax: {}", "mobile {},", "telephone: {} now", "cell {}")}
+    plain = ("it was {} then", "{}", "so {}.", "und {} ist")
+    look_alikes = ["2024 05 06 12 30", "12 500 000 000", "1 234 567 890", "978-3-16-148410-0", "2019-2020-2021", "20240506123000", "1234567890", "3.1415926535", "1.234.567.890",
+                   "10 20 30 40 50", "2024-05-06 10-30", "1999-12-31", "5 @ 3.50", "4 @ 12.5", "2.0.17.4051", "100-200-300", "4111.1111.1111.1112", "1234.5678.9012.3456",
+                   "0.1234.5678.9012", "12345678", "48-50 2021", "(1998) 12-345678", "house (at) sea . We", "back (at) home . The", "work [at] night . It", "left (at) noon . Both"]
+    out = []
+    for kind, items in ((0, emails), (2, cards * 5), (3, phones)):
+        for item in items:
+            for frame in (*told[kind], *plain):
+                start = frame.index("{")
+                # A number's candidate starts with its bracket.
+                start -= kind > 0 and frame[:start].endswith("(")
+                out.append((frame.format(item), kind, start, frame.index("{") + len(item)))
+    frames = (*plain, "page {} of", "order {}", "account {}", "about {} of them", "from {} to", "no. {}")
+    return out + [(frame.format(item), -1, 0, 0) for item in look_alikes for frame in frames]
+
+
+def _loose(x: tuple[int, ...]) -> list[tuple[int, ...]]:
+    """The vector of a base span, and those of its forms that the fixed patterns don't take."""
+    at = dict(zip(FEATURES, x, strict=True))
+    forms = {0: [{"marked": 0, "separator": 2}, {"marked": 0, "separator": 4}], 1: [], 2: [{"separator": 2}], 3: [{"marked": 0}]}[at["kind"]]
+    return [x, *(tuple((at | f).values()) for f in forms)]
+
+
 class Trees:
     """Boosted regression trees on weighted vectors of small integers, for log loss."""
 
@@ -217,29 +269,51 @@ class Trees:
         return total
 
 
-def learn(spanned: DataFrame, base: str, candidates: str, id_column: str) -> tuple[Trees, list[float]] | None:
-    """Trees and a threshold per kind, from the counts of all candidates by feature vector."""
+def _counted(rows: DataFrame) -> list:
+    """(half, vector, no, yes) of rows of half and e, a struct of the described candidate x, yes and no."""
+    counts = rows.groupBy("half", *(F.col(f"e.x.{f}").alias(f) for f in FEATURES)).agg(F.count_if(F.col("e.yes")).alias("yes"), F.count_if(F.col("e.no")).alias("no"))
+    return sorted((r["half"], tuple(r[f] for f in FEATURES), float(r["no"]), float(r["yes"])) for r in counts.collect())  # 2 * MOST_VECTORS rows at most
+
+
+def _least(held: list[tuple[float, float, float]], fewest: int) -> float:
+    """The score from which rows of (score, no, yes), ``fewest`` at least, are positive at ``PRECISION``: halfway to the next lower row, or even odds."""
+    bound, good, seen = math.inf, 0.0, 0.0
+    for (raw, no, yes), after in pairwise([*sorted(held, reverse=True), (-math.inf, 0, 0)]):
+        good, seen = good + yes, seen + no + yes
+        if after[0] < raw and seen >= fewest and good >= PRECISION * seen:
+            bound = (raw + after[0]) / 2 if after[0] > -math.inf else min(raw, 0.0)
+    return bound
+
+
+def learn(spanned: DataFrame, base: str, candidates: str, id_column: str) -> tuple[Trees, list[float]]:
+    """Trees and a threshold per kind, from the counts of all examples by feature vector."""
     half = F.pmod(F.xxhash64(F.lit("half"), F.col(id_column)), F.lit(2))
-    described = F.transform(candidates, lambda x: F.struct(x.alias("x"), _touches(F.col(base), x).alias("y")))
-    rows = spanned.filter(F.size(candidates) > 0).select(half.alias("half"), F.explode(described).alias("e"))
-    counts = rows.groupBy("half", *(F.col(f"e.x.{f}").alias(f) for f in FEATURES)).agg(
-        F.count_if(F.col("e.y")).alias("yes"), F.count_if(~F.col("e.y")).alias("no")
-    )
-    table = [(r["half"], tuple(r[f] for f in FEATURES), float(r["no"]), float(r["yes"])) for r in counts.collect()]  # 2 * MOST_VECTORS rows at most
-    table.sort()
-    fitted = [t[1:] for t in table if t[0] == 0]
-    if not any(r[2] for r in fitted):
-        return None
-    trees = Trees(fitted)
+
+    def example(x: Column) -> Column:
+        yes = _touches(F.col(base), x)
+        clear = (x["kind"] > 0) & ((x["valid"] == 0) | _overlaps(F.col(base), x))
+        return F.struct(x.alias("x"), yes.alias("yes"), (~yes & clear).alias("no"))
+
+    of_corpus = _counted(spanned.filter(F.size(candidates) > 0).select(half.alias("half"), F.explode(F.transform(candidates, example)).alias("e")))
+    of_corpus = [(h, form, no if form == x else 0.0, yes) for h, x, no, yes in of_corpus for form in (_loose(x) if yes else [x]) if no or yes]
+
+    cases = spanned.sparkSession.createDataFrame([(i, *row) for i, row in enumerate(labelled())], "id int, text string, kind int, start int, end int")
+    right = lambda x: (x["kind"] == F.col("kind")) & (x["start"] == F.col("start")) & (x["end"] == F.col("end"))
+    marked = F.transform("found", lambda x: F.struct(x.alias("x"), right(x).alias("yes"), (~right(x)).alias("no")))
+    found = with_spans(cases, "text", "sure", "found").withColumn("found", F.filter("found", lambda x: ~_touches(F.col("sure"), x)))
+    of_cases = _counted(found.select(F.pmod(F.xxhash64(F.lit("case"), F.col("id")), F.lit(2)).alias("half"), F.explode(marked).alias("e")))
+
+    # Cases and look-alikes weigh alike in each kind and half.
+    of = lambda h, kind, y: sum(r[y] for r in of_cases if r[0] == h and r[1][0] == kind)
+    balance = {(h, kind): of(h, kind, 3) / of(h, kind, 2) if of(h, kind, 2) else 1.0 for h in (0, 1) for kind in (0, 2, 3)}
+    of_cases = [(h, x, no * balance.get((h, x[0]), 1.0), yes) for h, x, no, yes in of_cases]
+    total = {(kind, y): sum(r[y] for r in of_corpus if r[0] == 0 and r[1][0] == kind) for kind in range(len(KINDS)) for y in (2, 3)}
+    share = lambda r, y: r[y] * min(1.0, CORPUS_WEIGHT / max(total[r[1][0], y], 1.0))
+    trees = Trees([(r[1], share(r, 2), share(r, 3)) for r in of_corpus if r[0] == 0] + [r[1:] for r in of_cases if r[0] == 0])
     bounds = []
     for kind in range(len(KINDS)):
-        held = sorted(((trees.raw(x), no, yes) for half, x, no, yes in table if half == 1 and x[0] == kind), reverse=True)
-        bound, good, seen = math.inf, 0.0, 0.0
-        for (raw, no, yes), after in pairwise([*held, (-math.inf, 0, 0)]):
-            good, seen = good + yes, seen + no + yes
-            if after[0] < raw and seen >= LEAST_CANDIDATES and good >= PRECISION * seen:
-                bound = raw
-        bounds.append(bound)
+        cases_held, corpus_held = ([(trees.raw(x), no, yes) for h, x, no, yes in rows if h == 1 and x[0] == kind] for rows in (of_cases, of_corpus))
+        bounds.append(max(_least(cases_held, LEAST_CANDIDATES), _least(corpus_held, 1) if any(yes for *_, yes in corpus_held) else -math.inf))
     return trees, bounds
 
 
@@ -248,16 +322,12 @@ def find(docs: DataFrame, text: str = "text", id_column: str = "doc_id", into: s
     base, candidates = fresh(docs, f"_{into}_base"), fresh(docs, f"_{into}_candidates")
     spanned = with_spans(docs, text, base, candidates)
     spanned = materialise(spanned if keep_text else spanned.drop(text), "pii-spans")
-    model = learn(spanned, base, candidates, id_column)
-    own, spans = F.col(base), F.col(base)
-    if model is not None:
-        trees, bounds = model
-        limits = F.array(*(F.lit(float(b)) for b in bounds))
-        chosen = F.filter(
-            F.col(candidates), lambda x: (trees.column(x) >= F.get(limits, x["kind"])) & ~_touches(own, x)
-        )
-        added = F.transform(chosen, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
-        spans = F.sort_array(F.concat(own, added))
+    trees, bounds = learn(spanned, base, candidates, id_column)
+    own, limits = F.col(base), F.array(*(F.lit(float(b)) for b in bounds))
+    # Only kinds with loose forms (not ip) add spans.
+    chosen = F.filter(F.col(candidates), lambda x: (x["kind"] != 1) & (trees.column(x) >= F.get(limits, x["kind"])) & ~_overlaps(own, x))
+    added = F.transform(chosen, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+    spans = F.sort_array(F.concat(own, added))
     return spanned.withColumn(into, F.struct(own.alias("base"), spans.alias("spans"))).drop(base, candidates)
 
 

@@ -121,6 +121,16 @@ def test_base_spans_of_addresses_with_zero_octets(spark):
     assert clean[0] == "at <IP> and <IP>," and clean[2] == "<IP> <IP>."
 
 
+def test_loose_personal_data_is_redacted_however_common(spark):
+    loose = [(f"reach name{i} (at) host{i} (dot) com", "reach <EMAIL>") for i in range(90)]
+    loose += [(f"call 030 12345{i} now", "call <PHONE> now") for i in range(10, 99)] + [("my card 4111.1111.1111.1111", "my card <CARD>")]
+    base = [(f"call +49 30 12345{i} or mail a{i}@host.com", "call <PHONE> or mail <EMAIL>") for i in range(10, 90)]
+    clear = [(t, t) for t in ("on 2024 05 06 12 30 it", "isbn 978-3-16-148410-0", "we sat (at) home . Then", "order 1234567890", "5 @ 3.50", "4111.1111.1111.1112", "hotel 12 34 56 78")]
+    for cases in ([*loose, *base, *clear], [*loose[:2], loose[-1], loose[100], *clear]):
+        got = {r.doc_id: r.text for r in pii.redact(table(spark, [t for t, _ in cases])).collect()}
+        assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
 def test_packing_is_a_gapless_round_trip(spark):
     from tokenizers import Tokenizer
 
