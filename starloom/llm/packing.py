@@ -3,7 +3,7 @@
 Each task tokenises its documents and packs ``GROUP_TOKENS`` tokens at a time, so nothing is shuffled and a task holds one group. The cost
 of a piece is estimated as linear plus quadratic (attention) in its length. A group gets as many sequences as its tokens need at least.
 Whole sequences are cut from longer documents first; the rests are then taken in descending order, and each goes to the sequence
-of least cost that has room for it whole. If none has, it fills the sequence with the most room and its own rest is taken again, so only the
+of least cost among all that have room for it whole. If none has, it fills the sequence with the most room and its own rest is taken again, so only the
 last sequences of a group are padded: less than one sequence's tokens for each ``GROUP_TOKENS`` and task.
 
 Words are tokenised once per Python worker: the vocabulary's normaliser and splitter never join text across ASCII white space, so a text's ids are
@@ -16,6 +16,7 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -118,39 +119,72 @@ def assign(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int,
     total = -sum(r[0] for r in rests)
     first, n_open = sequence, -(-total // capacity)
     used, costs = [0] * n_open, [0.0] * n_open
-    cheapest = [(0.0, i) for i in range(n_open)]
+    open_ = _Open(n_open, capacity)
     heapq.heapify(rests)  # descending lengths
     while rests:
         n, d, start = heapq.heappop(rests)
         n = -n
-        passed, at = [], None
-        while cheapest:
-            c, i = heapq.heappop(cheapest)
-            if used[i] == capacity:
-                continue
-            passed.append((c, i))
-            # A sequence too full for this piece is set aside; the later ones cost more but may have room.
-            if capacity - used[i] >= n:
-                at = i
-                break
-            if len(passed) >= LOOK:
-                break
-        take = n
+        at = open_.cheapest(n)
         if at is None:
-            at = max((i for _, i in passed), key=lambda i: (capacity - used[i], -i))
-            take = min(n, capacity - used[at])
+            at = open_.roomiest()
+        take = min(n, capacity - used[at])
         pieces.append((d, start, take, first + at, used[at]))
         used[at] += take
         costs[at] += cost(take)
-        for c, i in passed:
-            heapq.heappush(cheapest, (costs[i], i))
+        open_.put(at, costs[at], capacity - used[at])
         if take < n:
             heapq.heappush(rests, (take - n, d, start + take))
     return pieces
 
 
-#: Sequences looked at for a piece, cheapest first, before it is cut.
-LOOK = 64
+class _Open:
+    """Sequences by their room: a heap of (cost, sequence) for each room, under a tree that holds the least of each span of rooms."""
+
+    def __init__(self, n: int, capacity: int):
+        self.size = 1 << capacity.bit_length()  # rooms 0 to capacity
+        self.heaps: dict[int, list[tuple[float, int]]] = {}
+        self.room = [capacity] * n
+        self.tree: list[tuple[float, int]] = [NONE] * (2 * self.size)
+        if n:
+            self.heaps[capacity] = [(0.0, i) for i in range(n)]
+            self._update(capacity)
+
+    def _update(self, room: int):
+        heap, at, tree = self.heaps.get(room), room + self.size, self.tree
+        tree[at] = heap[0] if heap else NONE
+        while at > 1:
+            at >>= 1
+            tree[at] = min(tree[2 * at], tree[2 * at + 1])
+
+    def put(self, i: int, cost: float, room: int):
+        """Take sequence ``i``, just found and so the first of its heap, to a smaller room; without any it is closed."""
+        old, self.room[i] = self.room[i], room
+        heapq.heappop(self.heaps[old])
+        self._update(old)
+        if room:
+            heapq.heappush(self.heaps.setdefault(room, []), (cost, i))
+            self._update(room)
+
+    def cheapest(self, n: int) -> int | None:
+        """The sequence of least cost, then least number, with room for ``n``."""
+        at, best = n + self.size, NONE
+        end = 2 * self.size
+        while at < end:
+            if at & 1:
+                best = min(best, self.tree[at])
+                at += 1
+            at, end = at >> 1, end >> 1
+        return None if best is NONE else best[1]
+
+    def roomiest(self) -> int:
+        """Of the sequences with the most room, the one of least cost."""
+        at, tree = 1, self.tree
+        while at < self.size:
+            at = 2 * at + (tree[2 * at + 1] is not NONE)
+        return tree[at][1]
+
+
+NONE = (math.inf, -1)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -165,6 +165,27 @@ def test_assignment_fills_sequences():
     assert len(used) * packing.CAPACITY - sum(lengths) < packing.CAPACITY
 
 
+def test_only_what_fits_nowhere_is_cut():
+    rng = random.Random(7)
+    mixes = ([min(4096, int(rng.lognormvariate(6, 1)) + 1) for _ in range(1500)], [rng.randint(1, 4095) for _ in range(600)],
+             [rng.randint(2500, 4000) if i % 3 == 0 else rng.randint(1, 700) for i in range(900)])
+    for lengths in mixes:
+        rests, used, costs, want, n = [], [], [], {}, -(-sum(x % 4096 for x in lengths) // 4096)
+        used, costs = [0] * n, [0.0] * n
+        rests = sorted((-(x % 4096), d, x - x % 4096) for d, x in enumerate(lengths) if x % 4096)
+        first = sum(x // 4096 for x in lengths)
+        while rests:
+            size, d, start = rests.pop(0)
+            fits = [i for i in range(n) if 4096 - used[i] >= -size]
+            at = min(fits, key=lambda i: (costs[i], i)) if fits else min(range(n), key=lambda i: (used[i], costs[i], i))
+            take = min(-size, 4096 - used[at])
+            want[d, start] = (take, first + at)
+            used[at], costs[at] = used[at] + take, costs[at] + packing.cost(take)
+            if take < -size:
+                rests = sorted([*rests, (take + size, d, start + take)])
+        assert {(d, start): (take, s) for d, start, take, s, _ in packing.assign(lengths) if take < 4096 or (d, start) in want} == want
+
+
 def test_byte_bpe_equals_the_library(spark):
     import base64
 
