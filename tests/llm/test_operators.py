@@ -386,3 +386,93 @@ def test_word_ids_are_those_of_the_library():
     for s in strings:
         assert ids_of(s).tolist() == library.encode(s, add_special_tokens=False).ids, repr(s[:40])
     assert len(ids_of(None)) == 0
+
+
+def plain_quality(texts):
+    """The places of the texts that pass, by limits over all rows (fewer than a group's own need)."""
+    assert len(texts) < 2 * quality_rules.LEAST_ROWS
+    shares, failed = [], []
+    for t in texts:
+        n, chars, symbols, dup_lines, repeats = brute_counts(t)
+        n_lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) for x in (t or "").split("\n"))
+        failed.append(n < 10 or 100 * repeats > 20 * n)
+        shares.append((symbols / max(n, 1), (t or "").count("!") / max(n, 1), dup_lines / max(n_lines, 1), chars / max(n, 1)))
+    limits = []
+    for values, least in zip(zip(*shares, strict=True), (0.05, 0.05, 0.15, 2.0), strict=True):
+        low, high = (sorted(values)[math.ceil(q * len(values)) - 1] for q in (0.25, 0.75))
+        limits.append(high + 3 * max(high - low, least))
+    return [i for i, (f, s) in enumerate(zip(failed, shares, strict=True)) if not f and all(a <= b for a, b in zip(s, limits, strict=True))]
+
+
+def plain_dedup(rows):
+    """One row of each component of near copies and of each id: the least id; rows without an id only by their text."""
+    sets, group = [near_dedup.shingles(t) for _, t in rows], list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if rows[i][0] == rows[j][0] or (a and b and 100 * len(a & b) >= 75 * len(a | b)):
+                    group[i] = group[j] = min(group[i], group[j])
+    return [rows[min((i for i, g in enumerate(group) if g == root), key=lambda i: rows[i][0])] for root in sorted(set(group))]
+
+
+def test_pipeline_rows_stage_by_stage(spark, tmp_path, monkeypatch):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    rng, vile, texts, labels = random.Random(8), ["wretched", "loathsome", "vermin", "imbecile"], [], []
+    for i in range(150):
+        words = prose(1000 + i, 90).split()
+        if i % 3 == 0:
+            for at in rng.sample(range(90), 25):
+                words[at] = rng.choice(vile)
+        texts.append(" ".join(words))
+        labels.append((i, 1, int(i % 3 == 0)))
+    near = texts[1].split()
+    near[40] = "edited"
+    texts += [texts[2], " ".join(near), prose(5).replace(" ", " ### "), "too short", "", None, " ".join(["one two three four five six"] * 9)]
+    texts += [prose(6) + " mail me@mail.example.com", prose(7) + " from 10.0.0.1 or +49-30-1234567"]
+    docs = table(spark, texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    seen = {}
+
+    def recording(name, stage):
+        def run(spark, docs, sf_dir):
+            out = stage(spark, docs, sf_dir)
+            seen[name] = out.collect()
+            return out
+
+        return run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, recording(name, stage)) for name, stage in corpus_pipeline.STAGES])
+    final = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    pairs = lambda name: sorted((r.doc_id, r.text) for r in seen[name])
+
+    want = [(i, t) for i, t in enumerate(texts) if not any(w in (t or "") for w in vile)]
+    assert pairs("toxicity") == want
+    want = [want[i] for i in plain_quality([t for _, t in want])]
+    assert pairs("quality rules") == want and len(want) == 104
+    want = sorted(plain_dedup(want))
+    assert pairs("near duplicates") == want and len(want) == 102
+    tags = {"me@mail.example.com": "<EMAIL>", "10.0.0.1": "<IP>", "+49-30-1234567": "<PHONE>"}
+    for found, tag in tags.items():
+        want = [(i, t.replace(found, tag)) for i, t in want]
+    assert pairs("personal data") == want and sum("<" in t for _, t in want) == 2
+    tokenizer = Tokenizer.from_file(packing.vocabulary())
+    for rows in (seen["packing"], final):
+        assert {r.doc_id for r in rows} == {i for i, _ in want}
+        for i, t in want:
+            ids = [*tokenizer.encode(t, add_special_tokens=False).ids, packing.END]
+            at = 0
+            for r in sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start):
+                raw = b"".join(x.to_bytes(4, "little") for x in ids[at : at + r.length])
+                assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(raw))
+                at += r.length
+            assert at == len(ids)
+
+
+def test_keep_one_takes_one_row_of_an_id_whatever_its_text(spark):
+    rows = [(3, prose(1)), (3, prose(2)), (4, prose(3)), (5, prose(3))]
+    kept = sorted((r.doc_id, r.text) for r in near_dedup.keep_one(table(spark, [t for _, t in rows], [i for i, _ in rows])).collect())
+    assert [i for i, _ in kept] == [3, 4] and kept[0] in rows[:2]
