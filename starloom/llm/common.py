@@ -56,6 +56,11 @@ def spread_sample(rows: DataFrame, key: str, order_by: str, per_key: int) -> Dat
     return few.withColumn("_place", place).filter(F.col("_place") <= per_key).drop("_draw", "_share", "_place")
 
 
+def one_text_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row of the keys and ``text`` for each key: the text of least hash. Chosen in the tasks, so the copies of a repeated id aren't gathered."""
+    return rows.groupBy(*keys).agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text"))
+
+
 def texts(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     """The named columns of Arrow batches as lists, a few rows at a time."""
     for batch in batches:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import fold, held_out, read, spread_sample, texts
+from starloom.llm.common import fold, held_out, one_text_each, read, spread_sample, texts
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE, PER_ROW, MODEL_LETTERS = 60, 600, 24_000
@@ -165,7 +165,8 @@ def learn(docs: DataFrame) -> dict | None:
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
     few = spread_sample(known.select("doc_id", "lang").distinct(), "lang", "doc_id", SAMPLE)
     rows = known.join(F.broadcast(few), ["doc_id", "lang"]).select("lang", F.substring("text", 1, 1 << 16).alias("text"), "doc_id")
-    return fit([(r["lang"], r["text"]) for r in rows.orderBy("lang", F.xxhash64("doc_id"), "text").collect()])  # SAMPLE rows per language
+    rows = one_text_each(rows, "lang", "doc_id")
+    return fit([(r["lang"], r["text"]) for r in rows.orderBy("lang", F.xxhash64("doc_id"), "doc_id").collect()])  # SAMPLE rows per language
 
 
 def identify(docs: DataFrame, model: dict | None) -> DataFrame:

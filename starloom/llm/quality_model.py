@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Memo, fold, held_out, read, spread_sample, texts
+from starloom.llm.common import Memo, fold, held_out, one_text_each, read, spread_sample, texts
 
 FOLDS, HELD_OUT = 4, 2
 SAMPLE = 1500
@@ -91,11 +91,21 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Machine
     """Fits on a bounded sample of the labelled rows that aren't held out."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
     few = spread_sample(known.select("doc_id", F.col(label).alias("y")).distinct(), "y", "doc_id", SAMPLE)
-    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").orderBy("doc_id", "y", "text").collect()  # 2 * SAMPLE rows
+    sample = one_text_each(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id"), "doc_id", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket = buckets()
+        for ids, ys, bodies in texts(batches, "doc_id", "y", "text"):
+            places, values = zip(*(vector(t, bucket) for t in bodies), strict=True)
+            lists = (pa.array([np.asarray(v) for v in c], pa.list_(kind)) for c, kind in ((places, pa.int64()), (values, pa.float64())))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ys, pa.int32()), *lists], names=["doc_id", "y", "places", "shares"])
+
+    sample = sample.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("y").cast("int").alias("y"), "text")
+    rows = sample.mapInArrow(run, "doc_id long, y int, places array<long>, shares array<double>").orderBy("doc_id", "y").collect()  # 2 * SAMPLE rows, no texts
     if len({r.y for r in rows}) < 2:
         return None
-    bucket = buckets()
-    return Machine.trained([vector(r.text, bucket) for r in rows], np.array([float(r.y) for r in rows]))
+    vectors = [(np.array(r.places, np.int64), np.array(r.shares, float)) for r in rows]
+    return Machine.trained(vectors, np.array([float(r.y) for r in rows]))
 
 
 def with_scores(docs: DataFrame, machine: Machine | None) -> DataFrame:

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Memo, fold, fresh, held_out, read, spread_sample, texts
+from starloom.llm.common import Memo, fold, fresh, held_out, one_text_each, read, spread_sample, texts
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE, SAMPLE_BYTES = 1500, 12_000
@@ -147,7 +147,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict | No
     """Fits on a bounded sample of the labelled rows that aren't held out."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
     few = spread_sample(known.select("doc_id", F.col(label).alias("y")).distinct(), "y", "doc_id", SAMPLE)
-    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").orderBy("doc_id", "y", "text").collect()  # 2 * SAMPLE rows
+    rows = one_text_each(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id"), "doc_id", "y").orderBy("doc_id", "y").collect()  # 2 * SAMPLE rows
     return fit([(r.text, r.y) for r in rows])
 
 

@@ -476,3 +476,19 @@ def test_keep_one_takes_one_row_of_an_id_whatever_its_text(spark):
     rows = [(3, prose(1)), (3, prose(2)), (4, prose(3)), (5, prose(3))]
     kept = sorted((r.doc_id, r.text) for r in near_dedup.keep_one(table(spark, [t for _, t in rows], [i for i, _ in rows])).collect())
     assert [i for i, _ in kept] == [3, 4] and kept[0] in rows[:2]
+
+
+def test_samples_hold_one_row_of_a_repeated_id(spark, monkeypatch):
+    texts = [prose(i) for i in range(40)]
+    docs = table(spark, texts, [*range(10), *[5] * 30]).fillna("en", ["lang"])
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(10)], "doc_id long, quality int, toxic int")
+    got = {}
+    monkeypatch.setattr(toxicity, "fit", lambda sample: got.update(toxicity=sample))
+    monkeypatch.setattr(language_id, "fit", lambda sample: got.update(language=sample))
+    monkeypatch.setattr(quality_model.Machine, "trained", lambda rows, y: got.update(quality=rows))
+    toxicity.learn(docs, labels), language_id.learn(docs), quality_model.learn(docs, labels)
+    learned = lambda m: sum(zlib.crc32(str(i).encode()) % m.FOLDS != m.HELD_OUT for i in range(10))
+    assert [len(got[k]) for k in ("toxicity", "language", "quality")] == [learned(m) for m in (toxicity, language_id, quality_model)]
+    assert all(t in texts for t, _ in got["toxicity"])
+    known = [quality_model.vector(t, quality_model.buckets()) for t in texts]
+    assert all(any(p.tolist() == a.tolist() and x.tolist() == b.tolist() for a, b in known) for p, x in got["quality"])
