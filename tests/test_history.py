@@ -65,7 +65,7 @@ def model(dim, batch):
         closes = end == END and bk in starts
         after[key] = (bk, start, min(starts[bk]) if closes else end)
     top = max(after, default=0)
-    ordered = sorted(batch, key=lambda row: (row[0] is not None, row[0] or "", row[1]))
+    ordered = sorted(batch, key=lambda row: (row[0] is None, row[0] or "", row[1]))
     return {**after, **{top + n: row for n, row in enumerate(ordered, 1)}}
 
 
