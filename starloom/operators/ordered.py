@@ -1,9 +1,9 @@
 """Numbering and running values over one global order, without gathering rows in one task.
 
-The rows are range-partitioned on the whole order, so a value of the leading column that holds a
-large share of the rows is spread by the columns behind it. The sorted rows are written once; each
-write task is a *chunk*. What has to cross chunk borders is one summary row per chunk, of which
-there are at most as many as sort partitions.
+The rows are counted, which gives the number of *chunks*, and then range-partitioned on the whole order
+by a sample of it. So a chunk holds about ``CHUNK_ROWS`` rows whatever the session's settings, and a value of the
+leading column that holds a large share of the rows is spread by the columns behind it. The sorted rows
+are written once, a chunk by a task. What has to cross chunk borders is one summary row per chunk.
 """
 
 from __future__ import annotations
@@ -16,12 +16,15 @@ from pyspark.sql.window import Window
 
 from starloom.session import materialise
 
+#: Rows that one task sorts, on average.
+CHUNK_ROWS = 1_000_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the task number above these bits
 
 
 def _placed(df: DataFrame, order: Sequence[Column | str], label: str) -> DataFrame:
-    ordered = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
-    return materialise(ordered, label).withColumn("_chunk", F.shiftright("_id", _ROW_BITS))
+    chunks = max(1, -(-df.count() // CHUNK_ROWS))
+    ordered = df.repartitionByRange(chunks, *order).sortWithinPartitions(*order)
+    return materialise(ordered.withColumn("_id", F.monotonically_increasing_id()), label).withColumn("_chunk", F.shiftright("_id", _ROW_BITS))
 
 
 def dense_keys(

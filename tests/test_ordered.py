@@ -5,14 +5,26 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.operators import ordered
 from starloom.operators.ordered import dense_keys, running_max
 
 
 @pytest.fixture
-def many_chunks(spark):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    yield
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+def many_chunks(monkeypatch):
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 600)
+
+
+@pytest.mark.parametrize("partitions", ["2", "64"])
+def test_the_data_and_not_the_session_sets_the_chunks(spark, monkeypatch, partitions):
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 2000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        rows = spark.range(0, 30_000, 1, 5).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("bk"), F.md5(F.col("id").cast("string")).alias("text"))
+        sizes = [r["n"] for r in ordered._placed(rows, ["bk", "text"], "chunks").groupBy("_chunk").agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(sizes) == 30_000 and len(sizes) >= 12 and max(sizes) <= 4000
 
 
 def test_keys_follow_the_order_without_gaps(spark, many_chunks):
