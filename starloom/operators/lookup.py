@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -157,43 +157,18 @@ def _with_cell(df: DataFrame, key: str, deep: DataFrame, cell: Column, name: str
 
 
 @dataclass(frozen=True)
-class _Pieces:
-    """Disjoint pieces ready to be joined, and the keys whose pieces are cut into cells, if any."""
-
-    segments: DataFrame
-    deep: DataFrame | None = None
-
-
-def _resolve_directly(staged: DataFrame, at: str, roles: Sequence[Role], pieces: _Pieces, unknown_key: int | None) -> DataFrame:
-    """Join on key, cell and time; disjoint pieces give at most one match, so no row is multiplied."""
-    for role in roles:
-        kept = [c for c in staged.columns if c != role.output]
-        met = (
-            (F.col(role.business_key) == F.col("_bk"))
-            & (F.col(at) > F.col("_start"))
-            & (F.col(at) <= F.col("_end"))
-        )
-        if pieces.deep is not None:
-            staged = _with_cell(staged, role.business_key, pieces.deep, _cell(F.col(at)), "_at_cell")
-            met = met & (F.col("_at_cell") == F.col("_cell"))
-        staged = staged.join(pieces.segments, met, "left").select(*kept, _filled("_key", role.output, unknown_key))
-    return staged
-
-
-def _resolve_by_sweep(staged: DataFrame, at: str, roles: Sequence[Role], segments: DataFrame, unknown_key: int | None) -> DataFrame:
-    """Look up each distinct (key, time) once, then join the answers back on both columns."""
-    asked = [
-        staged.select(F.col(role.business_key).alias("_bk"), F.col(at).alias("_at")).where(
-            F.col("_bk").isNotNull() & F.col("_at").isNotNull()
-        )
-        for role in roles
-    ]
-    answers = _sweep(reduce(DataFrame.unionByName, asked).distinct(), segments)
-    for role in roles:
-        met = (F.col(role.business_key) == F.col("_bk")) & (F.col(at) == F.col("_at"))
-        kept = [c for c in staged.columns if c != role.output]
-        staged = staged.join(answers, met, "left").select(*kept, _filled("_key", role.output, unknown_key))
-    return staged
+class _Ways:
+    """How the keys of a dimension are answered: by joining disjoint pieces, or by a sweep.
+
+    ``special``: the keys that are cut into cells (``_cells``, ``_first``, ``_span``) or swept (``_swept``);
+    None if there are none. ``pieces``: of all keys that aren't swept, ``small`` if hinted as a broadcast.
+    ``swept``: the versions of the swept keys, None if there are none.
+    """
+
+    pieces: DataFrame
+    small: bool
+    special: DataFrame | None = None
+    swept: DataFrame | None = None
 
 
 def _cut_deep_keys(segments: DataFrame, deep: DataFrame) -> DataFrame:
@@ -207,33 +182,92 @@ def _cut_deep_keys(segments: DataFrame, deep: DataFrame) -> DataFrame:
     return cut.select("_bk", "_start", "_end", "_key", F.explode("_reached").alias("_cell"))
 
 
-def _direct_pieces(versions: DataFrame, limits: LookupLimits) -> _Pieces | None:
-    """The pieces to join directly, or None where only a sweep is safe."""
+def _ways(versions: DataFrame, limits: LookupLimits) -> _Ways:
+    """Decide for each key by counting its versions, and then its pieces in each cell."""
+    size = Observation()
+    first, last = _seconds(F.col("first")), _seconds(F.col("last"))
     per_key = versions.groupBy("_bk").agg(F.count("*").alias("n"), F.min("_from").alias("first"), F.max("_from").alias("last"))
-    is_deep = F.col("n") > limits.candidates
-    size = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.max("n"), F.lit(0)).alias("deepest"),
-        F.count_if(is_deep).alias("deep_keys"),
-    ).first()
-    if size["deepest"] > limits.versions_per_key:
-        return None
-    segments = _segments_few_versions(versions)
-    if size["deep_keys"] == 0:
-        if size["rows"] <= limits.broadcast_rows:
-            return _Pieces(F.broadcast(segments))
+    special = materialise(
+        per_key.observe(size, F.sum("n").alias("rows"))
+        .where(F.col("n") > min(limits.candidates, limits.versions_per_key))
+        .select(
+            F.col("_bk").alias("_deep"), first.alias("_first"), (last - first + 1).alias("_span"), F.col("n").alias("_cells"),
+            (F.col("n") > limits.versions_per_key).alias("_swept"),
+        ),
+        "special-keys",
+    )
+    rows = size.get["rows"] or 0
+    n_special, n_hot = special.agg(F.count("*"), F.count_if("_swept")).first()
+    if n_special == 0:
+        segments, small = _segments_few_versions(versions), rows <= limits.broadcast_rows
         # Spark splits a hot key of the staged side only if the other side is shuffled for this very join.
-        return _Pieces(materialise(segments, "pieces"))
-    first, last = _seconds(F.col("first")), _seconds(F.col("last"))
-    lives = per_key.where(is_deep).select(
-        F.col("_bk").alias("_deep"), first.alias("_first"), (last - first + 1).alias("_span"), F.col("n").alias("_cells")
+        return _Ways(F.broadcast(segments) if small else materialise(segments, "pieces"), small)
+
+    def of_keys(df: DataFrame, keys: DataFrame, n: int, how: str) -> DataFrame:
+        return df.join(limits.hinted(keys.select(F.col("_deep").alias("_bk")), n), "_bk", how)
+
+    hot = special.where("_swept")
+    calm = versions if n_hot == 0 else of_keys(versions, hot, n_hot, "left_anti")
+    deep = limits.hinted(special.where("NOT _swept"), n_special - n_hot)
+    pieces = materialise(_cut_deep_keys(_segments_few_versions(calm), deep), "pieces")
+    crowds = pieces.groupBy("_bk", "_cell").agg(F.count("*").alias("n")).where(F.col("n") > limits.candidates)
+    crowded = materialise(crowds.select(F.col("_bk").alias("_deep")).distinct(), "crowded-keys")
+    n_crowded, n_pieces = crowded.count(), pieces.count()
+    if n_crowded:
+        pieces = of_keys(pieces, crowded, n_crowded, "left_anti")
+        marked = special.join(limits.hinted(crowded.withColumn("_crowded", F.lit(True)), n_crowded), "_deep", "left")
+        special = materialise(marked.select("_deep", "_first", "_span", "_cells", (F.col("_swept") | F.coalesce("_crowded", F.lit(False))).alias("_swept")), "special-keys")
+    swept = of_keys(versions, special.where("_swept"), n_hot + n_crowded, "left_semi") if n_hot + n_crowded else None
+    return _Ways(limits.hinted(pieces, n_pieces), n_pieces <= limits.broadcast_rows, limits.hinted(special, n_special), swept)
+
+
+def _in_force(key: str, at: str) -> Column:
+    """Pieces are disjoint, so at most one of a key's is in force at a time, and no row is multiplied."""
+    return (F.col(key) == F.col("_bk")) & (F.col(at) > F.col("_start")) & (F.col(at) <= F.col("_end"))
+
+
+def _resolve_in_place(staged: DataFrame, at: str, role: Role, ways: _Ways, unknown_key: int | None) -> DataFrame:
+    """Join broadcast pieces to the rows as they are."""
+    kept = [c for c in staged.columns if c != role.output]
+    met = _in_force(role.business_key, at)
+    if ways.special is not None:
+        staged = _with_cell(staged, role.business_key, ways.special, _cell(F.col(at)), "_at_cell")
+        met = met & (F.col("_at_cell") == F.col("_cell"))
+    return staged.join(ways.pieces, met, "left").select(*kept, _filled("_key", role.output, unknown_key))
+
+
+def _answers(probes: DataFrame, ways: _Ways) -> DataFrame:
+    """(_row, _role, _key) of the probes (_row, _role, _of, _at) that a version is in force for: each key its own way."""
+    if ways.special is None:
+        return probes.join(ways.pieces, _in_force("_of", "_at")).select("_row", "_role", "_key")
+    routed = probes.join(ways.special, F.col("_of") == F.col("_deep"), "left")
+    calm = routed.where("NOT coalesce(_swept, false)").select("_row", "_role", "_of", "_at", _cell(F.col("_at")).alias("_at_cell"))
+    answered = calm.join(ways.pieces, _in_force("_of", "_at") & (F.col("_at_cell") == F.col("_cell"))).select("_row", "_role", "_key")
+    if ways.swept is None:
+        return answered
+    hot = routed.where("_swept").select("_row", "_role", "_of", "_at")
+    found = _sweep(hot.select(F.col("_of").alias("_bk"), "_at").distinct(), _segments_many_versions(ways.swept))
+    found = found.select(F.col("_bk").alias("_of"), "_at", "_key")
+    return answered.unionByName(hot.join(found, ["_of", "_at"]).select("_row", "_role", "_key"))
+
+
+def _resolve_by_probes(staged: DataFrame, at: str, roles: Sequence[Role], ways: Mapping[str, _Ways], unknown_key: int | None) -> DataFrame:
+    """Only (row, role, key, time) travels to the dimensions; all roles' answers come back to a row in one join.
+
+    The rows are numbered and written once, so that both sides of that join see the same numbers.
+    """
+    numbered = materialise(staged.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
+    answers = []
+    for name in dict.fromkeys(role.dimension for role in roles):
+        mine = [(i, role) for i, role in enumerate(roles) if role.dimension == name]
+        asked = F.array(*[F.struct(F.lit(i).alias("_role"), F.col(role.business_key).alias("_of")) for i, role in mine])
+        probes = numbered.select("_row", F.col(at).alias("_at"), F.inline(asked)).where(F.col("_of").isNotNull() & F.col("_at").isNotNull())
+        answers.append(_answers(probes, ways[name]))
+    per_row = reduce(DataFrame.unionByName, answers).groupBy("_row").agg(
+        *[F.max(F.when(F.col("_role") == i, F.col("_key"))).alias(f"_key_{i}") for i in range(len(roles))]
     )
-    deep = limits.hinted(materialise(lives, "deep-keys"), size["deep_keys"])
-    cut = materialise(_cut_deep_keys(segments, deep), "pieces")
-    crowd = cut.groupBy("_bk", "_cell").agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
-    if crowd["most"] > limits.candidates:
-        return None
-    return _Pieces(limits.hinted(cut, crowd["rows"]), deep)
+    kept = [c for c in staged.columns if c not in {role.output for role in roles}]
+    return numbered.join(per_row, "_row", "left").select(*kept, *[_filled(f"_key_{i}", role.output, unknown_key) for i, role in enumerate(roles)])
 
 
 def resolve_point_in_time(
@@ -246,16 +280,18 @@ def resolve_point_in_time(
 ) -> DataFrame:
     """Fill every role with the key of the version in force at ``at``; the earliest start wins an overlap.
 
-    Each dimension is counted first. Its disjoint pieces are joined directly, broadcast if few, and
-    cut into time cells for keys with many. A key whose versions crowd even into one cell would pair
-    them with all its rows, so then a linear sweep over sorted times answers. All ways agree.
+    Each dimension is counted first, key by key. Disjoint pieces are joined directly, those of a key with
+    many versions by time cell. Only keys whose versions are too many for a task, or crowd even into one cell, are
+    swept in order of time. Where a dimension's pieces are few and no key is swept, they are broadcast
+    and the rows stay where they are; for all other dimensions together the rows are shuffled once.
     """
-    for name in dict.fromkeys(role.dimension for role in roles):
-        mine = [role for role in roles if role.dimension == name]
-        versions = _usable(dimensions[name])
-        pieces = _direct_pieces(versions, limits)
-        if pieces is None:
-            staged = _resolve_by_sweep(staged, at, mine, _segments_many_versions(versions), unknown_key)
-        else:
-            staged = _resolve_directly(staged, at, mine, pieces, unknown_key)
-    return staged
+    ways = {name: _ways(_usable(dimensions[name]), limits) for name in dict.fromkeys(role.dimension for role in roles)}
+    in_place = [role for role in roles if ways[role.dimension].small and ways[role.dimension].swept is None]
+    by_probes = [role for role in roles if role not in in_place]
+    outputs = [role.output for role in roles]
+    resolved = staged
+    for role in in_place:
+        resolved = _resolve_in_place(resolved, at, role, ways[role.dimension], unknown_key)
+    if by_probes:
+        resolved = _resolve_by_probes(resolved, at, by_probes, ways, unknown_key)
+    return resolved.select(*[c for c in staged.columns if c not in outputs], *outputs)

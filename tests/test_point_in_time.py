@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.constants import END_OF_TIME
+from starloom.operators import lookup
 from starloom.operators.lookup import LookupLimits, Role, VersionedDimension, resolve_point_in_time
 
 END = datetime.fromisoformat(END_OF_TIME)
@@ -95,21 +96,18 @@ def test_one_key_with_most_rows_spreads_over_sort_tasks(spark, monkeypatch):
         return placed
 
     monkeypatch.setattr(ordered, "_placed", watched)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        n = 30_000
-        bk = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("bk")
-        start = F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit(day(0)).cast("timestamp_ntz"))
-        dim = spark.range(n).select(
-            (F.col("id") + 1).alias("key"), bk, start.alias("Valid_From"), F.timestamp_add("MINUTE", F.lit(3), start).alias("Valid_To")
-        )
-        staged = spark.range(n).select("id", bk, F.timestamp_add("MINUTE", F.lit(1), start).alias("t"))
-        dims, limits = {"d": VersionedDimension(dim, "bk", "key")}, LookupLimits(versions_per_key=5_000)
-        found = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], dims, limits=limits)
-        assert found.where("found <> id + 1").count() == 0
-        assert found.count() == n
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 4000)
+    n = 30_000
+    bk = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("bk")
+    start = F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit(day(0)).cast("timestamp_ntz"))
+    dim = spark.range(n).select(
+        (F.col("id") + 1).alias("key"), bk, start.alias("Valid_From"), F.timestamp_add("MINUTE", F.lit(3), start).alias("Valid_To")
+    )
+    staged = spark.range(n).select("id", bk, F.timestamp_add("MINUTE", F.lit(1), start).alias("t"))
+    dims, limits = {"d": VersionedDimension(dim, "bk", "key")}, LookupLimits(versions_per_key=5_000)
+    found = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], dims, limits=limits)
+    assert found.where("found <> id + 1").count() == 0
+    assert found.count() == n
     assert len(chunks) >= 2
     for spread in chunks:
         assert len(spread) >= 2 and max(spread.values()) < 0.6 * sum(spread.values())
@@ -154,3 +152,55 @@ def test_a_hot_key_is_cut_without_cutting_the_others(spark):
     assert found.count() == n and found.where("found <> id + 1").count() == 0
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "_at_cell" in plan and "_chunk" not in plan and "Window" not in plan
+
+
+def test_one_key_over_the_limit_is_swept_alone(spark):
+    """The hot key and a crowded one go to the sweep, all others join, in one plan."""
+    versions = [(k, "hot", day(k % 50) + timedelta(seconds=k), day(k % 50 + 2)) for k in range(1, 200)]
+    versions += [(300 + k, "crowded", day(0) + timedelta(seconds=k), day(0) + timedelta(seconds=k + 1)) for k in range(30)]
+    versions += [(399, "crowded", day(90), END)]
+    versions += [(400 + k, f"calm{k % 20}", day(k), day(k + 25)) for k in range(60)] + [(500 + k, "deep", day(2 * k), day(2 * k + 2)) for k in range(40)]
+    rng = random.Random(1)
+    names = ["hot", "crowded", "deep", None, "nobody", *(f"calm{i}" for i in range(20))]
+    probes = [(rng.choice(names), day(rng.randint(-1, 95)) + timedelta(seconds=rng.randint(0, 40))) for _ in range(600)]
+    limits = LookupLimits(candidates=10, versions_per_key=100, broadcast_rows=0)
+    assert resolve(spark, versions, probes, limits) == brute_force(versions, probes)
+    assert resolve(spark, versions, probes, LookupLimits(candidates=10, versions_per_key=100)) == brute_force(versions, probes)
+    dim = VersionedDimension(spark.createDataFrame(versions, DIM), "bk", "key")
+    ways = lookup._ways(lookup._usable(dim), limits)
+    assert {r[0] for r in ways.special.where("_swept").select("_deep").collect()} == {"hot", "crowded"}
+    assert {r[0] for r in ways.special.where("NOT _swept").select("_deep").collect()} == {"deep"}
+    swept_keys = {r[0] for r in ways.swept.select("_bk").distinct().collect()}
+    assert swept_keys == {"hot", "crowded"} and not swept_keys & {r[0] for r in ways.pieces.select("_bk").distinct().collect()}
+    staged = spark.createDataFrame([(i, *probe) for i, probe in enumerate(probes)], PROBE)
+    plan = resolve_point_in_time(staged, "t", [Role("bk", "d", "found")], {"d": dim}, limits=limits)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_at_cell" in plan and "_chunk" in plan
+
+
+def test_wide_rows_cross_one_exchange_for_all_roles(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dims = {name: VersionedDimension(spark.createDataFrame([(k, bk, start, end) for k, bk, start, end in BASE], DIM), "bk", "key") for name in "xyz"}
+        staged = spark.createDataFrame([(i, "A", "B", f"payload{i}", day(i)) for i in range(9)], "n int, one string, two string, payload string, t timestamp_ntz")
+        roles = [Role("one", "x", "k1"), Role("two", "x", "k2"), Role("one", "y", "k3"), Role("two", "z", "k4")]
+        df = resolve_point_in_time(staged, "t", roles, dims, limits=LookupLimits(broadcast_rows=0))
+        got = {r["n"]: (r["k1"], r["k2"], r["k3"], r["k4"]) for r in df.collect()}
+        one, two = (brute_force(BASE, [(bk, day(i)) for i in range(9)]) for bk in "AB")
+        assert got == {i: (one[i], two[i], one[i], two[i]) for i in range(9)}
+        assert df.columns == ["n", "one", "two", "payload", "t", "k1", "k2", "k3", "k4"]
+        wide = [node for node in wide_exchanges(df) if "payload" in node]
+        assert len(wide) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def wide_exchanges(df):
+    """Output columns of each shuffle of a plan."""
+    def nodes(plan):
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            plan = plan.initialPlan()
+        yield plan
+        for i in range(plan.children().size()):
+            yield from nodes(plan.children().apply(i))
+
+    return [node.output().toString() for node in nodes(df._jdf.queryExecution().executedPlan()) if node.nodeName().startswith("Exchange")]
