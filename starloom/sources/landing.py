@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from starloom.sources import csv_split, inference
 from starloom.sources.schemas import OPERATIONAL
 
 # Text fields may hold commas, quotes and line breaks; an absent value is an empty field.
@@ -36,39 +37,36 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
-    """CSV with a header per file.
-
-    Quoted line breaks keep a reader from splitting a file, so the files are kept small enough
-    for one task each.
-    """
+    """CSV with a header per file."""
     df.write.mode("overwrite").options(**CSV_OPTIONS).option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
+def _csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The columns of ``schema``, whose files are split among tasks even where quoted fields hold line breaks."""
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("mode", "FAILFAST")
+    ranges = csv_split.ranges(spark, path)
+    if csv_split.is_plain(ranges):
+        return reader.csv(path)
+    if not csv_split.is_balanced(ranges):  # only a parser that goes through the whole file can read it
+        return reader.option("multiLine", "true").csv(path)
+    options = {**CSV_OPTIONS, "mode": "FAILFAST"}
+    fields = F.from_csv("record", F.lit(", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)), options)
+    return csv_split.records(spark, path, ranges).select(fields.alias("fields")).select("fields.*")
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV against a declared schema; a value that does not fit fails the read."""
-    return (
-        spark.read.schema(schema)
-        .options(**CSV_OPTIONS)
-        .option("multiLine", "true")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    return _csv(spark, path, schema)
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with types taken from every row, at the price of one more pass over the files.
+def read_csv_inferred(spark: SparkSession, path: str, keep_zeros: bool = False) -> DataFrame:
+    """CSV with types taken from every row, at the price of one more pass over the values.
 
     Whole numbers are always bigint, so that the type does not depend on how large the values happen to be.
     """
-    found = (
-        spark.read.options(**CSV_OPTIONS)
-        .option("multiLine", "true")
-        .option("inferSchema", "true")
-        .option("samplingRatio", "1.0")
-        .csv(path)
-    )
-    whole = {name: F.col(f"`{name}`").cast("bigint") for name, kind in found.dtypes if kind == "int"}
-    return found.withColumns(whole) if whole else found
+    names = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").csv(path).schema  # reads the first record
+    values = _csv(spark, path, StructType([StructField(f.name, StringType()) for f in names]))
+    return inference.with_types(values, inference.infer_types(values, keep_zeros))
 
 
 def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, schema: StructType | None = None) -> DataFrame:

@@ -1,12 +1,14 @@
 """Landing: text files, declared schemas, control totals and scratch folders."""
 
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom import session
-from starloom.sources import landing
+from starloom.sources import csv_split, inference, landing
 from starloom.sources.schemas import CONTROL_TOTALS, OPERATIONAL
 from starloom.sources.testdata import DERIVATIONS, OperationalTables
 
@@ -114,3 +116,95 @@ def test_shared_folder_is_the_configured_one_and_never_local_on_a_cluster():
 def test_sale_tables_are_not_read_in_one_slice(spark):
     with pytest.raises(ValueError, match="partition column"):
         landing.extract_jdbc(spark, "jdbc:x", "Sales.Invoices", OPERATIONAL["invoices"], {})
+
+
+@pytest.fixture
+def small_ranges(spark):
+    settings = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "0"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def awkward(spark, seed, n=2000, longest=300):
+    rng = random.Random(seed)
+    text = lambda: "".join(rng.choices(["a", '"', "\n", ",", "\\", "é", "\r\n", " ", "\r"], k=rng.randint(0, longest))) or None
+    return spark.createDataFrame([(i, text(), rng.choice([None, "x", "00012"]), i / 4) for i in range(n)], "id long, t string, c string, d double")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_one_file_with_quoted_line_breaks_is_read_by_several_tasks(spark, tmp_path, small_ranges, seed):
+    df = awkward(spark, seed)
+    landing.write_csv(df.coalesce(1), str(tmp_path / "t"))
+    ranges = csv_split.ranges(spark, str(tmp_path / "t"))
+    assert ranges.count() > 10 and ranges.where("inside").count() > 3 and csv_split.is_balanced(ranges) and not csv_split.is_plain(ranges)
+    back = landing.read_csv(spark, str(tmp_path / "t"), df.schema)
+    by_one = spark.read.schema(df.schema).options(**landing.CSV_OPTIONS).option("multiLine", "true").csv(str(tmp_path / "t"))
+    assert by_one.select(F.spark_partition_id()).distinct().count() == 1
+    assert back.select(F.spark_partition_id()).distinct().count() > 1
+    rows = sorted(map(tuple, back.collect()), key=lambda r: r[0])
+    assert rows == sorted(map(tuple, by_one.collect()), key=lambda r: r[0]) == [tuple(r) for r in df.collect()]
+
+
+def test_a_field_over_many_ranges_is_put_together(spark, tmp_path, small_ranges):
+    long_text = "".join(f'line {i} "quoted", and more\n' for i in range(8000))
+    rows = [(1, "a"), (2, long_text), (3, None), (4, "b\nc"), (5, long_text + "end")]
+    landing.write_csv(spark.createDataFrame(rows, "id long, t string").coalesce(1), str(tmp_path / "t"))
+    back = landing.read_csv(spark, str(tmp_path / "t"), spark.createDataFrame(rows, "id long, t string").schema)
+    assert sorted(map(tuple, back.collect())) == rows
+    assert csv_split.ranges(spark, str(tmp_path / "t")).count() > 20
+
+
+def test_more_ranges_than_a_task_may_hold_are_sorted_instead(spark, tmp_path, small_ranges, monkeypatch):
+    monkeypatch.setattr(csv_split, "RANGES", 0)
+    df = awkward(spark, 3, 500)
+    landing.write_csv(df.coalesce(1), str(tmp_path / "t"))
+    assert sorted(map(tuple, landing.read_csv(spark, str(tmp_path / "t"), df.schema).collect())) == [tuple(r) for r in df.collect()]
+
+
+def test_plain_unbalanced_and_empty_files(spark, tmp_path):
+    schema = spark.createDataFrame([], "a string, b long").schema
+    (tmp_path / "crlf.csv").write_bytes(b'a,b\r\n"x\r\ny",1\r\n\r\nz,2\r\n')
+    assert sorted(map(tuple, landing.read_csv(spark, str(tmp_path / "crlf.csv"), schema).collect())) == [("x\r\ny", 1), ("z", 2)]
+    (tmp_path / "odd.csv").write_text('a,b\n5" disk,1\n"p\nq",2\n')
+    assert sorted(map(tuple, landing.read_csv(spark, str(tmp_path / "odd.csv"), schema).collect())) == [('5" disk', 1), ("p\nq", 2)]
+    (tmp_path / "empty.csv").write_text("a,b\n")
+    assert landing.read_csv(spark, str(tmp_path / "empty.csv"), schema).collect() == []
+    assert landing.read_csv_inferred(spark, str(tmp_path / "empty.csv")).dtypes == [("a", "string"), ("b", "string")]
+    (tmp_path / "plain.csv").write_text('a,b\n"x, y",1\n')
+    plan = landing.read_csv(spark, str(tmp_path / "plain.csv"), schema)
+    assert plan.collect() == [("x, y", 1)] and "FileScan csv" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_types_come_from_all_rows(spark):
+    columns = {
+        "zeros": ["1", "007", None], "plus": ["+44123", "1", "2"], "nothing": [None, None, None], "whole": ["1", "-9223372036854775808", "0"],
+        "large": ["1", "99999999999999999999", None], "real": ["1", "2.5", "-1e3"], "mixed": ["1", "x", "2020-01-01"], "flag": ["true", "FALSE", None],
+        "flags_and_numbers": ["true", "1", "0"], "day": ["2020-02-29", "1999-12-31", None], "no_day": ["2020-02-30", "1999-12-31", None],
+        "moment": ["2020-01-01 10:00:00", "2020-01-01", "2020-01-01 00:00:00.123456"], "clock": ["10:00", None, None], "blank": [" 1", "2", "3"],
+    }
+    rows = [tuple(values[i] for values in columns.values()) for i in range(3)]
+    values = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in columns)).repartition(3)
+    assert inference.infer_types(values) == {
+        "zeros": "bigint", "plus": "bigint", "nothing": "string", "whole": "bigint", "large": "string", "real": "double", "mixed": "string", "flag": "boolean",
+        "flags_and_numbers": "string", "day": "date", "no_day": "string", "moment": "timestamp_ntz", "clock": "string", "blank": "string",
+    }
+    kept = inference.infer_types(values, keep_zeros=True)
+    assert (kept["zeros"], kept["plus"], kept["whole"], kept["real"]) == ("string", "string", "bigint", "double")
+    typed = inference.with_types(values, inference.infer_types(values)).collect()
+    assert [r["real"] for r in typed].count(-1000.0) == 1 and {r["zeros"] for r in typed} == {1, 7, None}
+    assert inference.infer_types(values.limit(0))["whole"] == "string"
+
+
+def test_types_meet_in_one_aggregate(spark):
+    values = spark.range(100).select(F.col("id").cast("string").alias("a"), F.lit("x").alias("b"))
+    plan = values.agg(*[F.bit_and(inference.mask(F.col(c))) for c in values.columns])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_bit_and" in plan
+
+
+def test_inference_can_keep_leading_zeros(spark, tmp_path):
+    landing.write_csv(spark.createDataFrame([("00012", "7"), ("3", "8")], "code string, n string"), str(tmp_path / "t"))
+    kept = landing.read_csv_inferred(spark, str(tmp_path / "t"), keep_zeros=True)
+    assert kept.dtypes == [("code", "string"), ("n", "bigint")] and {tuple(r) for r in kept.collect()} == {("00012", 7), ("3", 8)}
