@@ -4,9 +4,9 @@ Writer: each task writes its pages as records of one gzip member each into files
 least ``LEAST_REVISIT`` bytes, the page with the largest id is stored and the others revisit it. A file's name holds the task attempt, and the
 written manifest of file names, not the folder, says what belongs to the archive, so files of lost or repeated attempts are never read.
 
-Reader: files are cut into byte ranges, one row each. A task scans its range for the gzip magic, takes the first candidate whose
-decompressed head is a WARC version line, and from there reads member after member; it owns the records that start inside its range and reads past its end to
-finish the last. Reading uses the file systems of Arrow, so archives may lie in any store that it knows.
+Reader: files are cut into byte ranges, one row each, dealt evenly to as many tasks as there are ranges. A task scans its range for the gzip magic, takes
+the first candidate whose decompressed head is a complete WARC header with a type and a length, and from there reads member after member; it owns the
+records that start inside its range and reads past its end to finish the last. Reading uses the file systems of Arrow, so archives may lie in any store that it knows.
 
 Defined results: a null html is an empty payload; a null url is left out of the record; pages without id are always responses and refer to
 nothing; repeated rows of the stored page are all responses; an empty table gives an empty result; other columns are ignored.
@@ -56,10 +56,22 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return packed.compress("\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n") + packed.flush()
 
 
+def header(raw: bytes) -> dict[str, str] | None:
+    """The fields of a record's header block; None if that isn't one."""
+    head, ended, _ = raw.partition(b"\r\n\r\n")
+    version, *lines = head.decode("utf-8", "replace").split("\r\n")
+    fields = dict(line.split(": ", 1) for line in lines if ": " in line)
+    if not ended or not version.startswith("WARC/") or len(fields) < len(lines) or "WARC-Type" not in fields:
+        return None
+    return fields if fields.get("Content-Length", "").isdigit() else None
+
+
 def parsed(raw: bytes) -> tuple:
     """page id, payload bytes, digest in hex, type, the page referred to."""
-    head, _, rest = raw.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+    fields = header(raw)
+    if fields is None:
+        raise ValueError("a record without a header")
+    _, _, rest = raw.partition(b"\r\n\r\n")
     page = lambda name: int(n) if (n := fields.get(name, "")[len("<urn:page:") : -1]) else None
     digest = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
     length = int(fields["X-Payload-Length"])
@@ -127,6 +139,18 @@ def members(source, start: int, end: int, size: int) -> Iterator[bytes]:
         source.seek(place)
         return source.read(min(length, size - place))
 
+    def begins_record(place: int) -> bool:
+        unpack, content = zlib.decompressobj(31), b""
+        try:
+            while not unpack.eof and place < size and b"\r\n\r\n" not in content:
+                if content and not b"WARC/".startswith(content[:5]):
+                    return False
+                content += unpack.decompress(at(place, 4096))
+                place += 4096
+        except zlib.error:
+            return False
+        return header(content) is not None
+
     place = start
     while place < end:  # find the first member
         window = at(place, PIECE + len(MAGIC) - 1)
@@ -137,11 +161,8 @@ def members(source, start: int, end: int, size: int) -> Iterator[bytes]:
         place += hit
         if place >= end:
             return
-        try:
-            if zlib.decompressobj(31).decompress(at(place, 512), 16).startswith(b"WARC/"):
-                break
-        except zlib.error:
-            pass
+        if begins_record(place):
+            break
         place += 1
     while place < end and place < size:
         unpack, content, read_to = zlib.decompressobj(31), bytearray(), place
@@ -159,7 +180,8 @@ def read_archives(manifest: DataFrame, range_bytes: int = RANGE) -> DataFrame:
     """Records of the files of a manifest: ``page_id, payload_bytes, payload_digest, record_type, refers_to``."""
     starts = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))
     ranges = manifest.filter("size > 0").select("path", "size", F.explode(starts).alias("start"))
-    tasks = ranges.withColumn("end", F.least(F.col("start") + range_bytes, "size")).repartition(F.col("path"), F.col("start"))
+    n = manifest.agg(F.sum(F.ceil(F.col("size") / range_bytes))).first()[0] or 1
+    tasks = ranges.withColumn("end", F.least(F.col("start") + range_bytes, "size")).repartition(int(n))  # given a number, Spark won't merge the small rows' tasks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
