@@ -1,9 +1,15 @@
-"""Command line: rebuild the warehouse, verify it against control totals, write the reports.
+"""Command line: extract the source, rebuild and check the star, load staged batches, write the reports.
 
+    python -m starloom extract SOURCE LANDING [--format parquet|csv|jdbc] [--option KEY=VALUE ...] [--partitions N]
     python -m starloom rebuild LANDING WAREHOUSE
+    python -m starloom capture WAREHOUSE TOTALS_JSON
     python -m starloom verify WAREHOUSE TOTALS_JSON
     python -m starloom report WAREHOUSE OUTPUT
 
+    python -m starloom start TABLES LOADED          # version 0 of an incrementally loaded warehouse
+    python -m starloom load STAGING LOADED CUTOFF   # one load for each staged table
+    python -m starloom log LOADED
+
 Under spark-submit the session and its settings come from the cluster.
 """
 
@@ -11,26 +17,45 @@ from __future__ import annotations
 
 import argparse
 import sys
+from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
-from starloom.plans import quality, reports, warehouse
+from starloom.plans import loads, quality, reports, warehouse
 from starloom.session import DEFAULTS
-from starloom.sources import landing
-from starloom.sources.schemas import CONTROL_TOTALS
+from starloom.sources import landing, versions
+from starloom.sources.schemas import CONTROL_TOTALS, OPERATIONAL
+
+
+def extract(spark: SparkSession, source: str, landing_folder: str, format: str, option: Sequence[str], partitions: int) -> bool:
+    """Land the eleven operational tables, each with its declared columns and types."""
+    options = dict(pair.split("=", 1) for pair in option)
+    for name in OPERATIONAL:
+        table = landing.extract_source(spark, name, source, format, options, partitions)
+        print(name, landing.land(table, f"{landing_folder}/src_{name}.parquet"))
+    return True
 
 
 def rebuild(spark: SparkSession, landing_folder: str, warehouse_folder: str) -> bool:
     built = warehouse.rebuild(landing.read_operational(spark, landing_folder), warehouse_folder)
-    landing.row_counts(built).show(truncate=False)
+    warehouse.read_totals(spark, warehouse_folder).show(truncate=False, vertical=True)
     quality.unresolved_keys(built["fact"]).show()
     return True
 
 
-def verify(spark: SparkSession, warehouse_folder: str, totals: str) -> bool:
+def capture(spark: SparkSession, warehouse_folder: str, totals: str) -> bool:
+    """Write the control totals of a warehouse, the answer key for later checks. They are computed from its tables anew."""
     tables = warehouse.read_star(spark, warehouse_folder)
     fact = tables.pop("fact")
-    reconciled = quality.reconcile(quality.control_totals(fact, tables), landing.read_totals(spark, totals, CONTROL_TOTALS))
+    landing.write_totals(quality.control_totals(fact, tables), totals)
+    return True
+
+
+def verify(spark: SparkSession, warehouse_folder: str, totals: str) -> bool:
+    """Compare the totals taken while the warehouse was written with the answer key; no table is read."""
+    taken = warehouse.read_totals(spark, warehouse_folder)
+    reconciled = quality.reconcile(taken, landing.read_totals(spark, totals, CONTROL_TOTALS))
     reconciled.show(truncate=False)
     return quality.verdict(reconciled).first()["passed"]
 
@@ -49,13 +74,46 @@ def report(spark: SparkSession, warehouse_folder: str, output: str) -> bool:
     return True
 
 
+def start(spark: SparkSession, tables: str, loaded: str) -> bool:
+    """Begin a loaded warehouse with the dimensions in the folder ``tables``."""
+    first = {spec.table: spark.read.parquet(f"{tables}/{spec.table}.parquet") for spec in (*loads.LOADED, *loads.LOOKED_UP)}
+    print(loads.start(spark, first, loaded))
+    return True
+
+
+def load(spark: SparkSession, staging: str, loaded: str, cutoff: str) -> bool:
+    """Load the staged tables that the folder ``staging`` holds, up to the source's ``cutoff``."""
+    names = [*(spec.table for spec in loads.LOADED), warehouse.SALE]
+    staged = {name: spark.read.parquet(f"{staging}/{name}.parquet") for name in names if versions.exists(spark, f"{staging}/{name}.parquet")}
+    if not staged:
+        raise FileNotFoundError(f"{staging} holds none of {', '.join(names)}")
+    print(loads.load_staged(spark, loaded, staged, datetime.fromisoformat(cutoff), datetime.now(timezone.utc).replace(tzinfo=None)))
+    return True
+
+
+def log(spark: SparkSession, loaded: str) -> bool:
+    loads.load_log(spark, loaded).show(1000, truncate=False)
+    return True
+
+
+COMMANDS = (
+    (extract, ("source", "landing")), (rebuild, ("landing", "warehouse")), (capture, ("warehouse", "totals")), (verify, ("warehouse", "totals")),
+    (report, ("warehouse", "output")), (start, ("tables", "loaded")), (load, ("staging", "loaded", "cutoff")), (log, ("loaded",)),
+)
+
+
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="starloom", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     commands = parser.add_subparsers(required=True)
-    for command, names in ((rebuild, ("landing", "warehouse")), (verify, ("warehouse", "totals")), (report, ("warehouse", "output"))):
+    for command, names in COMMANDS:
         sub = commands.add_parser(command.__name__)
         for name in names:
             sub.add_argument(name)
+        if command is extract:
+            sub.add_argument("--format", choices=("parquet", "csv", "jdbc"), default="parquet")
+            sub.add_argument("--option", action="append", default=[])
+            sub.add_argument("--partitions", type=int, default=1)
+            names = (*names, "format", "option", "partitions")
         sub.set_defaults(run=command, names=names)
     chosen = parser.parse_args(arguments)
     builder = SparkSession.builder.appName("starloom")

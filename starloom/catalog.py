@@ -13,7 +13,7 @@ from starloom.operators import control, history
 from starloom.operators.lookup import LookupLimits, Role, VersionedDimension, resolve_point_in_time
 from starloom.operators.ordered import dense_keys
 from starloom.operators.replace import replace_by_invoice
-from starloom.plans import dimensions, facts, months, quality, reports, warehouse
+from starloom.plans import dimensions, facts, history_store, loads, months, quality, reports, summaries, warehouse
 from starloom.session import materialise, scratch_path
 from starloom.sources import landing, testdata
 from starloom.sources.schemas import CONTROL_TOTALS, OPERATIONAL
@@ -221,6 +221,24 @@ def _applied(spec: history.HistorySpec) -> Query:
     return query
 
 
+def scd2_apply_bucketed(spark, sf_dir):
+    """The customer load over a history that is stored by its business key."""
+    spec, folder = history.CUSTOMER, scratch_path(spark, "history")
+    load = control.open_load_key(testdata.lineage(spark, sf_dir), spec.table).first()[0]
+    history_store.start(testdata.dimension_base(spark, sf_dir, spec), spec, folder)
+    history_store.apply(spark, folder, testdata.dimension_batch(spark, sf_dir, spec), spec, load)
+    return history_store.read(spark, folder, spec).drop(history_store.PART)
+
+
+def pit_customer_bucketed(spark, sf_dir):
+    """The customer lookup against a history that is stored by its business key."""
+    spec, folder = history.CUSTOMER, scratch_path(spark, "history")
+    history_store.start(testdata.customer_history(spark, sf_dir).frame, spec, folder)
+    staged = testdata.sale_staging(spark, sf_dir).select("Sale_Key", "WWI_Customer_ID", "Last_Modified_When")
+    stored = {"customer": history_store.dimension(spark, folder, spec)}
+    return resolve_point_in_time(staged, "Last_Modified_When", [ROLES["pit_customer"]], stored, limits=LookupLimits(broadcast_rows=0))
+
+
 def multi_version_keys(spark, sf_dir):
     return history.multi_version_keys(testdata.stockitem_history(spark, sf_dir).frame, history.STOCK_ITEM)
 
@@ -232,7 +250,7 @@ def _sales_and_restatement(spark: SparkSession, sf_dir: str) -> tuple[DataFrame,
     return staged, restated.withColumn("Quantity", F.col("Quantity") + 1)
 
 
-NOT_IN_FACT = ("WWI_City_ID", "Total_Dry_Items", "Total_Chiller_Items")
+NOT_IN_FACT = ("WWI_City_ID",)
 
 
 def fact_replace_by_invoice(spark, sf_dir):
@@ -243,34 +261,29 @@ def fact_replace_by_invoice(spark, sf_dir):
 def fact_replace_by_month(spark, sf_dir):
     """The same replacement in a fact stored by month: two loads, of which the second rewrites what it touches."""
     folder = scratch_path(spark, "fact-by-month")
-    fact, restated = (
-        months.with_month(df.withColumn("Invoice_Date_Key", date_key(F.col("Invoice_Date"))))
-        for df in _sales_and_restatement(spark, sf_dir)
-    )
+    fact, restated = (months.with_month(df) for df in _sales_and_restatement(spark, sf_dir))
     loads = control.close_load(testdata.lineage(spark, sf_dir), F.lit(1), COMPLETED_AT)
     months.store_months(fact.drop(*NOT_IN_FACT), fact.select(months.MONTH).distinct(), 1, folder)
     visible = months.visible_months(*months.stored_months(spark, folder), loads.where("Lineage_Key = 1"))
     months.store_months(*months.restate_months(visible, restated), 2, folder)
     both = control.close_load(loads, F.lit(2), COMPLETED_AT).where("Lineage_Key <= 2")
-    return months.visible_months(*months.stored_months(spark, folder), both).drop(months.MONTH, "Invoice_Date_Key")
+    return months.visible_months(*months.stored_months(spark, folder), both).drop(months.MONTH)
 
 
 def sale_load(spark, sf_dir):
     """One whole load of restated lines into a fact stored by month: find its lineage, resolve all five keys, replace the invoices."""
     folder = scratch_path(spark, "sale-load")
-    before, restated = (
-        months.with_month(df.withColumn("Invoice_Date_Key", date_key(F.col("Invoice_Date")))) for df in _sales_and_restatement(spark, sf_dir)
-    )
-    outputs = [role.output for role in ROLES.values()]
-    fact = before.select(*before.columns, *[F.lit(0).cast("bigint").alias(key) for key in outputs], F.lit(1).cast("bigint").alias("Lineage_Key"))
+    before, restated = (months.with_month(df) for df in _sales_and_restatement(spark, sf_dir))
+    columns = ("Sale_Key", *facts.LOADED_COLUMNS)
+    unresolved = {role.output: F.lit(0).cast("bigint") for role in ROLES.values()}
+    fact = before.withColumns({**unresolved, "Lineage_Key": F.lit(1).cast("bigint")}).select(*columns, months.MONTH)
     lineage = control.close_load(testdata.lineage(spark, sf_dir), F.lit(1), COMPLETED_AT)
     months.store_months(fact, fact.select(months.MONTH).distinct(), 1, folder)
     loaded = warehouse.load_sales_by_month(
         {warehouse.LINEAGE: lineage, warehouse.CUTOFFS: testdata.cutoffs(spark, sf_dir)},
-        folder, restated, list(ROLES.values()), _histories(spark, sf_dir, ROLES.values()), COMPLETED_AT,
+        folder, restated, list(ROLES.values()), _histories(spark, sf_dir, ROLES.values()), COMPLETED_AT, columns=columns,
     )
-    sales = months.read_months(spark, folder, loaded[warehouse.LINEAGE], fact.schema)
-    return sales.select("Sale_Key", "WWI_Invoice_ID", "Quantity", "Total_Dry_Items", "Total_Chiller_Items", *outputs, "Lineage_Key")
+    return months.read_months(spark, folder, loaded[warehouse.LINEAGE], fact.schema).drop(months.MONTH)
 
 
 def warehouse_rebuild(spark, sf_dir):
@@ -280,6 +293,27 @@ def warehouse_rebuild(spark, sf_dir):
     return warehouse.read_star(spark, folder)["fact"]
 
 
+def rebuild_totals(spark, sf_dir):
+    """The control totals that the tasks took while they wrote a rebuilt star."""
+    folder = scratch_path(spark, "warehouse")
+    warehouse.rebuild(testdata.OperationalTables(spark, sf_dir), folder)
+    return warehouse.read_totals(spark, folder)
+
+
+def staged_load(spark, sf_dir):
+    """Two staged batches over a started warehouse: old sales, then changed customers and items with the recent sales restated."""
+    folder = scratch_path(spark, "loaded")
+    sales, restated = _sales_and_restatement(spark, sf_dir)
+    first = {spec.table: testdata.dimension_base(spark, sf_dir, spec) for spec in loads.LOADED}
+    first |= {loads.CITY.table: testdata.city_history(spark, sf_dir).frame, loads.EMPLOYEE.table: testdata.employee_history(spark, sf_dir).frame}
+    loads.start(spark, first, folder)
+    old = sales.where(F.col("Last_Modified_When") < F.lit(testdata.BATCH_START).cast("timestamp_ntz"))
+    loads.load_staged(spark, folder, {"Sale": old}, OPENED_CUTOFF, OPENED_AT)
+    changes = {spec.table: testdata.dimension_batch(spark, sf_dir, spec) for spec in (history.CUSTOMER, history.STOCK_ITEM)}
+    loads.load_staged(spark, folder, {**changes, "Sale": restated}, OPENED_CUTOFF, COMPLETED_AT)
+    return loads.read_sales(spark, folder)
+
+
 # --- load control
 
 
@@ -388,6 +422,41 @@ def category_share_check(spark, sf_dir):
     return reports.category_share_check(fact, dims["customer"])
 
 
+def _summarised(spark: SparkSession, sf_dir: str) -> tuple[summaries.Summaries, _Built]:
+    """Sums that two loads have kept up: the first doubles the recent revenue, the second restates it."""
+    folder = scratch_path(spark, "summaries")
+    lines, dims = _warehouse(spark, sf_dir, ("WWI_Invoice_ID", "Invoice_Date_Key", "Customer_Key", "Stock_Item_Key", reports.REVENUE))
+    fact = materialise(months.with_month(lines), "fact")
+    recent = F.col("Invoice_Date_Key") >= 20010101
+    doubled = F.when(recent, 2 * F.col(reports.REVENUE)).otherwise(F.col(reports.REVENUE)).cast("decimal(18,2)")
+    first = fact.withColumn(reports.REVENUE, doubled)
+    months.store_months(first, first.select(months.MONTH).distinct(), 1, folder)
+    summaries.store(spark, folder, 1)
+    lineage = control.close_load(testdata.lineage(spark, sf_dir).where("Lineage_Key <= 2"), F.col("Lineage_Key"), COMPLETED_AT)
+    visible = months.read_months(spark, folder, lineage.where("Lineage_Key = 1"), fact.schema)
+    months.store_months(*months.restate_months(visible, fact.where(recent)), 2, folder)
+    summaries.store(spark, folder, 2)
+    return summaries.read(spark, folder, lineage), dims
+
+
+def kpis_from_summaries(spark, sf_dir):
+    return summaries.sales_kpis(_summarised(spark, sf_dir)[0])
+
+
+def category_from_summaries(spark, sf_dir):
+    sums, dims = _summarised(spark, sf_dir)
+    return summaries.revenue_by_category(sums, dims["customer"])
+
+
+def month_from_summaries(spark, sf_dir):
+    return summaries.revenue_by_month(_summarised(spark, sf_dir)[0])
+
+
+def items_from_summaries(spark, sf_dir):
+    sums, dims = _summarised(spark, sf_dir)
+    return summaries.top_items(sums, dims["stockitem"])
+
+
 QUERIES: dict[str, Query] = {
     "parquet_roundtrip": parquet_roundtrip,
     "extract_projection": extract_projection,
@@ -415,11 +484,15 @@ QUERIES: dict[str, Query] = {
     "scd2_apply_customer": _applied(history.CUSTOMER),
     "scd2_apply_stockitem": _applied(history.STOCK_ITEM),
     "scd2_apply_supplier": _applied(history.SUPPLIER),
+    "scd2_apply_bucketed": scd2_apply_bucketed,
+    "pit_customer_bucketed": pit_customer_bucketed,
     "multi_version_keys": multi_version_keys,
     "fact_replace_by_invoice": fact_replace_by_invoice,
     "fact_replace_by_month": fact_replace_by_month,
     "sale_load": sale_load,
     "warehouse_rebuild": warehouse_rebuild,
+    "rebuild_totals": rebuild_totals,
+    "staged_load": staged_load,
     "lineage_open": lineage_open,
     "lineage_started_key": lineage_started_key,
     "lineage_open_key": lineage_open_key,
@@ -440,5 +513,9 @@ QUERIES: dict[str, Query] = {
     "monthly_bar_share": monthly_bar_share,
     "top_items_bar_share": top_items_bar_share,
     "kpi_labels": kpi_labels,
+    "kpis_from_summaries": kpis_from_summaries,
+    "category_from_summaries": category_from_summaries,
+    "month_from_summaries": month_from_summaries,
+    "items_from_summaries": items_from_summaries,
     "category_share_check": category_share_check,
 }

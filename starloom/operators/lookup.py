@@ -44,13 +44,17 @@ def require_unique(table: DataFrame, key: str) -> None:
 
 @dataclass(frozen=True)
 class VersionedDimension:
-    """A dimension whose rows hold for ``valid_from`` < t <= ``valid_to``."""
+    """A dimension whose rows hold for ``valid_from`` < t <= ``valid_to``.
+
+    ``stays``: it is stored by its business key, so that pieces are better joined where they lie than written and dealt anew.
+    """
 
     frame: DataFrame
     business_key: str
     surrogate: str
     valid_from: str = "Valid_From"
     valid_to: str = "Valid_To"
+    stays: bool = False
 
 
 @dataclass(frozen=True)
@@ -182,7 +186,7 @@ def _cut_deep_keys(segments: DataFrame, deep: DataFrame) -> DataFrame:
     return cut.select("_bk", "_start", "_end", "_key", F.explode("_reached").alias("_cell"))
 
 
-def _ways(versions: DataFrame, limits: LookupLimits) -> _Ways:
+def _ways(versions: DataFrame, limits: LookupLimits, stays: bool = False) -> _Ways:
     """Decide for each key by counting its versions, and then its pieces in each cell."""
     size = Observation()
     first, last = _seconds(F.col("first")), _seconds(F.col("last"))
@@ -200,8 +204,10 @@ def _ways(versions: DataFrame, limits: LookupLimits) -> _Ways:
     n_special, n_hot = special.agg(F.count("*"), F.count_if("_swept")).first()
     if n_special == 0:
         segments, small = _segments_few_versions(versions), rows <= limits.broadcast_rows
+        if small or stays:
+            return _Ways(F.broadcast(segments) if small else segments, small)
         # Spark splits a hot key of the staged side only if the other side is shuffled for this very join.
-        return _Ways(F.broadcast(segments) if small else materialise(segments, "pieces"), small)
+        return _Ways(materialise(segments, "pieces"), small)
 
     def of_keys(df: DataFrame, keys: DataFrame, n: int, how: str) -> DataFrame:
         return df.join(limits.hinted(keys.select(F.col("_deep").alias("_bk")), n), "_bk", how)
@@ -285,7 +291,7 @@ def resolve_point_in_time(
     swept in order of time. Where a dimension's pieces are few and no key is swept, they are broadcast
     and the rows stay where they are; for all other dimensions together the rows are shuffled once.
     """
-    ways = {name: _ways(_usable(dimensions[name]), limits) for name in dict.fromkeys(role.dimension for role in roles)}
+    ways = {name: _ways(_usable(dimensions[name]), limits, dimensions[name].stays) for name in dict.fromkeys(role.dimension for role in roles)}
     in_place = [role for role in roles if ways[role.dimension].small and ways[role.dimension].swept is None]
     by_probes = [role for role in roles if role not in in_place]
     outputs = [role.output for role in roles]

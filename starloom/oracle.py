@@ -54,7 +54,7 @@ VIEWS = {
                (l_tax::DECIMAL(6,3) * 100)::DECIMAL(18,3) AS TaxRate,
                (l_extendedprice::DECIMAL(18,2) * l_tax::DECIMAL(6,3))::DECIMAL(18,2) AS TaxAmount,
                (l_extendedprice::DECIMAL(18,2) * l_discount::DECIMAL(6,3))::DECIMAL(18,2) AS LineProfit,
-               l_extendedprice::DECIMAL(18,2) AS ExtendedPrice, l_orderkey, l_suppkey, l_shipdate, l_partkey
+               l_extendedprice::DECIMAL(18,2) AS ExtendedPrice, l_orderkey, l_suppkey, l_shipdate, l_partkey, l_linenumber
         FROM lineitem""",
     "customer_versions": f"""
         SELECT bk, vf, coalesce(lead(vf) OVER (PARTITION BY bk ORDER BY vf), {END}) AS vt,
@@ -75,9 +75,13 @@ VIEWS = {
         SELECT InvoiceLineID AS Sale_Key, c_nationkey::BIGINT AS WWI_City_ID, o_custkey AS WWI_Customer_ID,
                (o_custkey - o_custkey % 10)::BIGINT AS WWI_Bill_To_Customer_ID, l_partkey AS WWI_Stock_Item_ID,
                l_suppkey AS WWI_Salesperson_ID, l_shipdate AS Last_Modified_When, o_orderdate::DATE AS Invoice_Date,
-               l_orderkey AS WWI_Invoice_ID, Description, Quantity, TaxAmount AS Tax_Amount, LineProfit AS Profit,
-               ExtendedPrice AS Total_Including_Tax
-        FROM invoicelines JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey""",
+               strftime(o_orderdate, '%Y%m%d')::INTEGER AS Invoice_Date_Key,
+               strftime(l_shipdate::DATE + l_linenumber::INTEGER, '%Y%m%d')::INTEGER AS Delivery_Date_Key,
+               l_orderkey AS WWI_Invoice_ID, Description, n_name AS Package, Quantity, UnitPrice AS Unit_Price, TaxRate AS Tax_Rate,
+               (ExtendedPrice - TaxAmount)::DECIMAL(18,2) AS Total_Excluding_Tax, TaxAmount AS Tax_Amount, LineProfit AS Profit,
+               ExtendedPrice AS Total_Including_Tax, (o_orderkey % 5)::INTEGER AS Total_Dry_Items, (o_orderkey % 3)::INTEGER AS Total_Chiller_Items
+        FROM invoicelines JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey
+        LEFT JOIN nation ON n_nationkey = PackageTypeID""",
     "loads": """
         SELECT event_id + 1 AS Lineage_Key, ts AS Data_Load_Started,
                ['Customer', 'Stock Item', 'Supplier', 'Sale', 'Employee'][event_id % 5 + 1] AS Table_Name,
@@ -223,6 +227,16 @@ def _apply(base: str, batch: str, bk: str, sk: str, table: str) -> str:
     )
 
 
+def _bounds(versions: str, bk: str, sk: str) -> str:
+    return f"{versions}_versions AS (SELECT {bk} AS bk, Valid_From AS vf, Valid_To AS vt, {sk} AS sk FROM {versions})"
+
+
+def _loaded_keys(state: str) -> str:
+    """The five keys of a staged line by the dimensions of before or after their load."""
+    own = {"customer_versions": f"customer_{state}_versions", "item_versions": f"item_{state}_versions"}
+    return ", ".join(f"{_as_of(own.get(versions, versions), key)} AS {output}" for versions, key, output in _ROLES.values())
+
+
 _TOTALS = """
     SELECT count(*) AS fact_sale_rows, sum(Total_Including_Tax)::DECIMAL(38,2) AS fact_sale_total_incl,
            sum(Total_Excluding_Tax)::DECIMAL(38,2) AS fact_sale_total_excl, sum(Quantity)::BIGINT AS fact_sale_quantity,
@@ -256,6 +270,10 @@ def _bars(report: str) -> str:
         FROM report, scale"""
 
 
+# Columns of the loaded fact that are neither keys nor the load's number.
+_SALE = """Invoice_Date_Key, Delivery_Date_Key, WWI_Invoice_ID, Description, Package, Quantity, Unit_Price, Tax_Rate, Total_Excluding_Tax,
+           Tax_Amount, Profit, Total_Including_Tax, Total_Dry_Items, Total_Chiller_Items"""
+
 _REPLACED = _over(
     "staged_sales",
     """, kept AS (SELECT * EXCLUDE (WWI_City_ID) FROM staged_sales),
@@ -339,6 +357,8 @@ ORACLE: dict[str, str] = {
     "scd2_apply_customer": _apply("customer_base", "customer_batch", "WWI_Customer_ID", "Customer_Key", "Customer"),
     "scd2_apply_stockitem": _apply("item_base", "item_batch", "WWI_Stock_Item_ID", "Stock_Item_Key", "Stock Item"),
     "scd2_apply_supplier": _apply("supplier_base", "supplier_batch", "WWI_Supplier_ID", "Supplier_Key", "Supplier"),
+    "scd2_apply_bucketed": _apply("customer_base", "customer_batch", "WWI_Customer_ID", "Customer_Key", "Customer"),
+    "pit_customer_bucketed": _as_of_query("pit_customer"),
     "multi_version_keys": """
         SELECT l_partkey AS WWI_Stock_Item_ID, count(DISTINCT l_shipdate) AS versions
         FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_shipdate) > 1""",
@@ -346,18 +366,28 @@ ORACLE: dict[str, str] = {
     "fact_replace_by_month": _REPLACED,
     "sale_load": _over(
         "staged_sales loads " + " ".join(dict.fromkeys(versions for versions, _, _ in _ROLES.values())),
-        f""", lines AS (SELECT *, (WWI_Invoice_ID % 5)::INTEGER AS Total_Dry_Items, (WWI_Invoice_ID % 3)::INTEGER AS Total_Chiller_Items
-                        FROM staged_sales),
-             restated AS (SELECT * FROM lines WHERE Last_Modified_When >= TIMESTAMP '2001-01-01')
-           SELECT Sale_Key, WWI_Invoice_ID, Quantity, Total_Dry_Items, Total_Chiller_Items,
-                  {", ".join(f"0::BIGINT AS {output}" for _, _, output in _ROLES.values())}, 1::BIGINT AS Lineage_Key
-           FROM lines WHERE WWI_Invoice_ID NOT IN (SELECT WWI_Invoice_ID FROM restated)
+        f""", restated AS (SELECT * REPLACE ((Quantity + 1)::INTEGER AS Quantity) FROM staged_sales WHERE Last_Modified_When >= TIMESTAMP '2001-01-01')
+           SELECT Sale_Key, {_SALE}, {", ".join(f"0::BIGINT AS {output}" for _, _, output in _ROLES.values())}, 1::BIGINT AS Lineage_Key
+           FROM staged_sales WHERE WWI_Invoice_ID NOT IN (SELECT WWI_Invoice_ID FROM restated)
            UNION ALL BY NAME
-           SELECT Sale_Key, WWI_Invoice_ID, (Quantity + 1)::INTEGER AS Quantity, Total_Dry_Items, Total_Chiller_Items,
-                  {", ".join(f"{_as_of(versions, key)} AS {output}" for versions, key, output in _ROLES.values())},
+           SELECT Sale_Key, {_SALE}, {", ".join(f"{_as_of(versions, key)} AS {output}" for versions, key, output in _ROLES.values())},
                   (SELECT max(Lineage_Key) FROM loads WHERE Table_Name = 'Sale' AND Data_Load_Completed IS NULL) AS Lineage_Key
            FROM restated s""",
     ),
+    "rebuild_totals": _over("sales", _TOTALS),
+    "staged_load": _over(
+        "staged_sales customer_base customer_batch item_base item_batch employee_versions city_versions",
+        f""", customer_applied AS ({_close("customer_base", "customer_batch", "WWI_Customer_ID")}
+             UNION ALL BY NAME ({_number("customer_base", "customer_batch", "WWI_Customer_ID", "Customer_Key")})),
+             item_applied AS ({_close("item_base", "item_batch", "WWI_Stock_Item_ID")}
+             UNION ALL BY NAME ({_number("item_base", "item_batch", "WWI_Stock_Item_ID", "Stock_Item_Key")})),
+             {_bounds("customer_base", "WWI_Customer_ID", "Customer_Key")}, {_bounds("customer_applied", "WWI_Customer_ID", "Customer_Key")},
+             {_bounds("item_base", "WWI_Stock_Item_ID", "Stock_Item_Key")}, {_bounds("item_applied", "WWI_Stock_Item_ID", "Stock_Item_Key")},
+             old AS (SELECT * FROM staged_sales WHERE Last_Modified_When < TIMESTAMP '2001-01-01'),
+             restated AS (SELECT * REPLACE ((Quantity + 1)::INTEGER AS Quantity) FROM staged_sales WHERE Last_Modified_When >= TIMESTAMP '2001-01-01')
+           SELECT {_loaded_keys("base")}, {_SALE}, 1::BIGINT AS Lineage_Key FROM old s WHERE WWI_Invoice_ID NOT IN (SELECT WWI_Invoice_ID FROM restated)
+           UNION ALL BY NAME SELECT {_loaded_keys("applied")}, {_SALE}, 4::BIGINT AS Lineage_Key FROM restated s""",
+    ),
     # load control
     "lineage_open": _over(
         "loads",
@@ -422,6 +452,10 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT 'Clientes', format('{{:,}}', customers) FROM kpis
             UNION ALL SELECT 'Ticket promedio', 'S/ ' || format('{{:,.2f}}', ticket::DOUBLE) FROM kpis""",
     ),
+    "kpis_from_summaries": _over("sales", _KPIS),
+    "category_from_summaries": _over("sales", _CATEGORIES),
+    "month_from_summaries": _over("sales", _MONTHS),
+    "items_from_summaries": _over("sales", _ITEMS),
     "category_share_check": _over(
         "sales",
         """, parts AS (SELECT sum(Total_Including_Tax) AS total,

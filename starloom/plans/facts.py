@@ -31,6 +31,31 @@ FACT_COLUMNS = (
 )
 
 
+# The fact as the incremental load keeps it: keys of all five roles, dates, measures and the load's number.
+LOADED_COLUMNS = (
+    "City_Key",
+    "Customer_Key",
+    "Bill_To_Customer_Key",
+    "Stock_Item_Key",
+    "Invoice_Date_Key",
+    "Delivery_Date_Key",
+    "Salesperson_Key",
+    "WWI_Invoice_ID",
+    "Description",
+    "Package",
+    "Quantity",
+    "Unit_Price",
+    "Tax_Rate",
+    "Total_Excluding_Tax",
+    "Tax_Amount",
+    "Profit",
+    "Total_Including_Tax",
+    "Total_Dry_Items",
+    "Total_Chiller_Items",
+    "Lineage_Key",
+)
+
+
 def fact_measures(lines: DataFrame) -> DataFrame:
     """Total excluding tax, tax, profit and total including tax of every line."""
     return lines.select(

@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from starloom.operators.replace import replace_by_invoice, restated_invoices
-from starloom.session import materialise
+from starloom.session import materialise, settings
 from starloom.sources.versions import exists
 
 MONTH = "Invoice_Month"
 STORED_BY = "Stored_By"
 INVOICE = "WWI_Invoice_ID"
+#: Restated invoices that are looked for by filters; more are joined.
+PROBED = 500
 
 
 def with_month(lines: DataFrame, date_key: str = "Invoice_Date_Key") -> DataFrame:
@@ -50,27 +52,51 @@ def visible_months(stored: DataFrame, touched: DataFrame, lineage: DataFrame) ->
     return stored.where(reduce(or_, folders, F.lit(False))).drop(STORED_BY)
 
 
-def read_months(spark: SparkSession, folder: str, lineage: DataFrame, schema: StructType) -> DataFrame:
+def read_months(spark: SparkSession, folder: str, lineage: DataFrame, schema: StructType, kind: str = "lines") -> DataFrame:
     """The same rows as ``visible_months``, from the folders of the wanted loads and months alone; ``schema`` is that of the lines.
 
-    Folders of superseded and of unfinished loads are never listed, however many there are.
+    Folders of superseded and of unfinished loads are never listed, however many there are. Whatever else loads
+    store by month, such as sums, is read by its ``kind``.
     """
     noted = spark.read.schema(f"{MONTH} int, {STORED_BY} bigint").parquet(f"{folder}/months") if exists(spark, f"{folder}/months") else None
     wanted = _newest_loads(noted, lineage) if noted is not None else {}
-    paths = [f"{folder}/lines/{STORED_BY}={load}/{MONTH}={month}" for load, months in sorted(wanted.items()) for month in sorted(months)]
+    paths = [f"{folder}/{kind}/{STORED_BY}={load}/{MONTH}={month}" for load, months in sorted(wanted.items()) for month in sorted(months)]
     paths = [path for path in paths if exists(spark, path)]  # a load that emptied a month left no folder
-    lines = StructType([field for field in schema.fields if field.name not in (MONTH, STORED_BY)])
-    typed = StructType([*lines.fields, StructField(STORED_BY, LongType()), StructField(MONTH, IntegerType())])
+    typed = _typed(schema)
     if not paths:
         return spark.createDataFrame([], typed).drop(STORED_BY)
-    return spark.read.schema(typed).option("basePath", f"{folder}/lines").parquet(*paths).drop(STORED_BY)
+    return spark.read.schema(typed).option("basePath", f"{folder}/{kind}").parquet(*paths).drop(STORED_BY)
+
+
+def _typed(schema: StructType) -> StructType:
+    lines = [field for field in schema.fields if field.name not in (MONTH, STORED_BY)]
+    return StructType([*lines, StructField(STORED_BY, LongType()), StructField(MONTH, IntegerType())])
+
+
+def read_load(spark: SparkSession, folder: str, load: int, columns: str) -> DataFrame | None:
+    """The given columns of the lines that one load has written, with their month; None if it wrote none."""
+    path = f"{folder}/lines/{STORED_BY}={load}"
+    if not exists(spark, path):
+        return None
+    typed = _typed(spark.createDataFrame([], columns).schema)
+    return spark.read.schema(typed).option("basePath", f"{folder}/lines").parquet(path).drop(STORED_BY)
 
 
 def touched_months(visible: DataFrame, staged: DataFrame) -> DataFrame:
-    """Months of the lines to drop and of the lines to add; reads the invoice column of the fact only."""
+    """Months of the lines to drop and of the lines to add, one row each, written.
+
+    Up to ``PROBED`` restated invoices are pushed down to the scan, where the bloom filters of the stored months tell which row groups
+    can hold one; only these are read. For more, the invoice column of the fact is read.
+    """
+    spark = staged.sparkSession
     restated = restated_invoices(staged, INVOICE)
-    dropped = visible.select(INVOICE, MONTH).join(restated, F.col(INVOICE) == F.col("_invoice"), "left_semi").select(MONTH)
-    return dropped.unionByName(staged.select(MONTH)).distinct()
+    some = [row[0] for row in restated.limit(PROBED + 1).collect()]
+    if len(some) <= PROBED:
+        dropped = visible.where(F.col(INVOICE).isin(some)).select(MONTH)
+    else:
+        dropped = visible.select(INVOICE, MONTH).join(restated, F.col(INVOICE) == F.col("_invoice"), "left_semi").select(MONTH)
+    with settings(spark, spark_sql_parquet_pushdown_inFilterThreshold=str(PROBED)):
+        return materialise(dropped.unionByName(staged.select(MONTH)).distinct(), "touched-months")
 
 
 def restate_months(visible: DataFrame, staged: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -78,7 +104,7 @@ def restate_months(visible: DataFrame, staged: DataFrame) -> tuple[DataFrame, Da
 
     The months are fetched as well, so that the other months' folders stay closed.
     """
-    months = materialise(touched_months(visible, staged), "touched-months")
+    months = touched_months(visible, staged)
     affected = visible.where(F.col(MONTH).isin([row[MONTH] for row in months.collect()]))
     return replace_by_invoice(affected, staged.select(*visible.columns), INVOICE), months
 
@@ -87,12 +113,16 @@ def store_months(content: DataFrame, months: DataFrame, load: int, folder: str)
     """Write one load's months, then note them.
 
     A retry of the same load replaces only its own folders. A large month is split over several
-    write tasks by the rebalance, small ones share a task.
+    write tasks by the rebalance, small ones share a task. Lines lie in order of their invoice, and each row group has a bloom
+    filter of its invoices, sized by what it holds.
     """
-    stamped = content.withColumn(STORED_BY, F.lit(load).cast("bigint"))
+    stamped = content.withColumn(STORED_BY, F.lit(load).cast("bigint")).hint("rebalance", MONTH).sortWithinPartitions(STORED_BY, MONTH, INVOICE)
     noted = months.withColumn(STORED_BY, F.lit(load).cast("bigint"))
-    for df, name, folders in ((stamped.hint("rebalance", MONTH), "lines", (STORED_BY, MONTH)), (noted.coalesce(1), "months", (STORED_BY,))):
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(f"{folder}/{name}")
+    for df, name, folders in ((stamped, "lines", (STORED_BY, MONTH)), (noted.coalesce(1), "months", (STORED_BY,))):
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders)
+        if name == "lines":
+            writer = writer.option(f"parquet.bloom.filter.enabled#{INVOICE}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer.parquet(f"{folder}/{name}")
 
 
 def stored_months(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:

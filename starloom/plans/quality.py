@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.constants import TOLERANCE, TOTAL
@@ -21,15 +21,20 @@ EXACT_METRICS = (
 SHAPE_METRICS = ("dim_customer_rows", "dim_stockitem_rows", "dim_supplier_rows")
 
 
-def fact_totals(fact: DataFrame) -> DataFrame:
-    """Row count and the sums of all measures in one pass."""
-    return fact.agg(
+def fact_measures() -> list[Column]:
+    """Row count and the sums of all measures."""
+    return [
         F.count("*").alias("fact_sale_rows"),
         F.sum("Total_Including_Tax").cast(TOTAL).alias("fact_sale_total_incl"),
         F.sum("Total_Excluding_Tax").cast(TOTAL).alias("fact_sale_total_excl"),
         F.sum("Quantity").cast("bigint").alias("fact_sale_quantity"),
         F.sum("Profit").cast(TOTAL).alias("fact_sale_profit"),
-    )
+    ]
+
+
+def fact_totals(fact: DataFrame) -> DataFrame:
+    """Row count and the sums of all measures in one pass."""
+    return fact.agg(*fact_measures())
 
 
 def control_totals(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:

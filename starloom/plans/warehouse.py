@@ -10,47 +10,65 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import control
 from starloom.operators.history import LINEAGE_KEY, HistorySpec, apply_history
 from starloom.operators.lookup import Role, VersionedDimension, require_unique, resolve_point_in_time
-from starloom.operators.replace import replace_by_invoice
-from starloom.plans import months
+from starloom.plans import months, quality, summaries
 from starloom.plans.dimensions import dim_customer, dim_stockitem, dim_supplier
 from starloom.plans.facts import fact_sale
-from starloom.sources import versions
+from starloom.sources import landing, versions
 from starloom.sources.landing import read_parquet, write_parquet
+from starloom.sources.schemas import CONTROL_TOTALS
 
 Warehouse = Mapping[str, DataFrame]
 
 LINEAGE, CUTOFFS, SALE = "Lineage", "ETL Cutoff", "Sale"
+TOTALS = "totals.json"
 
 
 def rebuild(tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Build a new version: the three dimensions, then the fact from the written dimensions.
 
     A business key that occurs twice would multiply fact lines, so the load stops there. Readers go on with the version
-    before until the new one is complete.
+    before until the new one is complete. The control totals are taken while the tables are written, in the writing
+    tasks, and kept with the version, so that checking it reads no table again.
     """
     spark = tables["customers"].sparkSession
     version = versions.unused(spark, folder)
     paths = {name: f"{version}/dim_{name}" for name in ("customer", "stockitem", "supplier")} | {"fact": f"{version}/fact_sale"}
-    built = {}
+    built, totals = {}, {}
     for name, build, key in (
         ("customer", dim_customer, "WWI_Customer_ID"),
         ("stockitem", dim_stockitem, "WWI_Stock_Item_ID"),
         ("supplier", dim_supplier, "WWI_Supplier_ID"),
     ):
-        write_parquet(build(tables), paths[name])
+        seen = Observation()
+        write_parquet(build(tables).observe(seen, F.count("*").alias(f"dim_{name}_rows")), paths[name])
+        totals |= seen.get
         built[name] = read_parquet(spark, paths[name])
         require_unique(built[name], key)
-    write_parquet(fact_sale(tables, built), paths["fact"])
+    seen = Observation()
+    write_parquet(fact_sale(tables, built).observe(seen, *quality.fact_measures()), paths["fact"])
+    totals |= seen.get
+    values = ", ".join(f'"{name}": {"null" if totals[name] is None else totals[name]}' for name in CONTROL_TOTALS.names)
+    versions.write_text(spark, f"{version}/{TOTALS}", f"{{{values}}}")
     versions.publish(spark, version, paths)
     return {**built, "fact": read_parquet(spark, paths["fact"])}
 
 
+def read_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """The control totals taken when the newest complete rebuild was written: one row. Of one without them they are computed."""
+    version = versions.newest(spark, folder)
+    if versions.exists(spark, f"{version}/{TOTALS}"):
+        return landing.read_totals(spark, f"{version}/{TOTALS}", CONTROL_TOTALS)
+    tables = read_star(spark, folder)
+    fact = tables.pop("fact")
+    return quality.control_totals(fact, tables)
+
+
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The dimensions and the fact of the newest complete rebuild."""
     return {name: read_parquet(spark, path) for name, path in versions.tables_of(spark, versions.newest(spark, folder)).items()}
@@ -72,24 +90,6 @@ def load_dimension(warehouse: Warehouse, staging: DataFrame, spec: HistorySpec,
     return {**_finished(warehouse, spec.table, key, completed), spec.table: loaded}
 
 
-def load_sales(
-    warehouse: Warehouse,
-    staging: DataFrame,
-    roles: Sequence[Role],
-    dimensions: Mapping[str, VersionedDimension],
-    completed: datetime | str,
-    at: str = "Last_Modified_When",
-) -> dict[str, DataFrame]:
-    """Resolve the staged lines' keys, restate their invoices and close the load.
-
-    The dimensions are arguments so that they are those of after their own load.
-    """
-    key = control.require_open_load(warehouse[LINEAGE], SALE)
-    resolved = resolve_point_in_time(staging, at, roles, dimensions).withColumn(LINEAGE_KEY, F.lit(key).cast("bigint"))
-    loaded = replace_by_invoice(warehouse[SALE], resolved)
-    return {**_finished(warehouse, SALE, key, completed), SALE: loaded}
-
-
 def load_sales_by_month(
     warehouse: Warehouse,
     folder: str,
@@ -98,16 +98,22 @@ def load_sales_by_month(
     dimensions: Mapping[str, VersionedDimension],
     completed: datetime | str,
     at: str = "Last_Modified_When",
+    columns: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """``load_sales`` for a fact stored by month in ``folder``: only the months with dropped or added lines are written.
+    """Resolve the staged lines' keys, restate their invoices in the fact stored by month in ``folder`` and close the load.
 
-    The staged lines have a ``months.MONTH``. The new lines are visible to readers of the returned lineage.
+    Only the months with dropped or added lines are written, together with their sums, and of the lines only ``columns``, by default all. The staged
+    lines have a ``months.MONTH``. The dimensions are arguments so that they are those of after their own load. The new lines
+    are visible to readers of the returned lineage.
     """
     spark = staging.sparkSession
     key = control.require_open_load(warehouse[LINEAGE], SALE)
     resolved = resolve_point_in_time(staging, at, roles, dimensions).withColumn(LINEAGE_KEY, F.lit(key).cast("bigint"))
+    if columns is not None:
+        resolved = resolved.select(*columns, months.MONTH)
     visible = months.read_months(spark, folder, warehouse[LINEAGE], resolved.schema)
     months.store_months(*months.restate_months(visible, resolved), key, folder)
+    summaries.store(spark, folder, key)
     return _finished(warehouse, SALE, key, completed)
 
 

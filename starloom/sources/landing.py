@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from starloom.sources import csv_split, inference
-from starloom.sources.schemas import OPERATIONAL
+from starloom.sources.schemas import OPERATIONAL, SOURCE_TABLES
 
 # Text fields may hold commas, quotes and line breaks; an absent value is an empty field.
 CSV_OPTIONS = {
@@ -64,8 +64,7 @@ def read_csv_inferred(spark: SparkSession, path: str, keep_zeros: bool = False)
 
     Whole numbers are always bigint, so that the type does not depend on how large the values happen to be.
     """
-    names = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").csv(path).schema  # reads the first record
-    values = _csv(spark, path, StructType([StructField(f.name, StringType()) for f in names]))
+    values = _csv(spark, path, _as_text(spark, path))
     return inference.with_types(values, inference.infer_types(values, keep_zeros))
 
 
@@ -108,6 +107,34 @@ def extract_jdbc(
     return extract(reader.load(), schema)
 
 
+def key_bounds(spark: SparkSession, url: str, table: str, key: str, properties: Mapping[str, str]) -> tuple[int, int] | None:
+    """The least and largest ``key``, computed by the database; None for an empty table."""
+    query = f"(SELECT min({key}) AS lo, max({key}) AS hi FROM {table}) AS bounds"
+    row = spark.read.format("jdbc").options(url=url, dbtable=query, **properties).load().first()
+    return None if row is None or row[0] is None else (int(row[0]), int(row[1]))
+
+
+def extract_source(spark: SparkSession, name: str, source: str, kind: str, options: Mapping[str, str], partitions: int = 1) -> DataFrame:
+    """One operational table of a source: a folder of parquet or CSV files by the source's table names, or a database."""
+    table, key = SOURCE_TABLES[name]
+    schema = OPERATIONAL[name]
+    if kind == "jdbc":
+        if partitions == 1:
+            return extract_jdbc(spark, source, table, schema, options)
+        # The bounds only set the stride; Spark's outer slices are open-ended.
+        low, high = key_bounds(spark, source, table, key, options) or (0, 0)
+        return extract_jdbc(spark, source, table, schema, options, key, (low, high + 1), partitions)
+    if kind == "csv":
+        return extract(read_csv(spark, f"{source}/{table}.csv", _as_text(spark, f"{source}/{table}.csv")), schema)
+    return extract(spark.read.parquet(f"{source}/{table}.parquet"), schema)
+
+
+def _as_text(spark: SparkSession, path: str) -> StructType:
+    """The columns of a CSV file's header, all as text."""
+    names = spark.read.options(**CSV_OPTIONS).option("multiLine", "true").csv(path).columns
+    return StructType([StructField(name, StringType()) for name in names])
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table with its number of rows, counted in a single job."""
     counted = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("entity"), "n_rows") for name, df in tables.items()]

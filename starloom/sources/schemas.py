@@ -67,6 +67,21 @@ OPERATIONAL = {
     ),
 }
 
+# The source's table behind each operational one, and its key.
+SOURCE_TABLES = {
+    "customers": ("Sales.Customers", "CustomerID"),
+    "customercategories": ("Sales.CustomerCategories", "CustomerCategoryID"),
+    "buyinggroups": ("Sales.BuyingGroups", "BuyingGroupID"),
+    "people": ("Application.People", "PersonID"),
+    "stockitems": ("Warehouse.StockItems", "StockItemID"),
+    "colors": ("Warehouse.Colors", "ColorID"),
+    "packagetypes": ("Warehouse.PackageTypes", "PackageTypeID"),
+    "suppliers": ("Purchasing.Suppliers", "SupplierID"),
+    "suppliercategories": ("Purchasing.SupplierCategories", "SupplierCategoryID"),
+    "invoices": ("Sales.Invoices", "InvoiceID"),
+    "invoicelines": ("Sales.InvoiceLines", "InvoiceLineID"),
+}
+
 LINEAGE = _schema(
     "Lineage_Key bigint, Data_Load_Started timestamp_ntz, Table_Name string, Data_Load_Completed timestamp_ntz,"
     "Was_Successful boolean, Source_System_Cutoff_Time timestamp_ntz"
@@ -76,3 +91,9 @@ CONTROL_TOTALS = _schema(
     "fact_sale_rows bigint, fact_sale_total_incl total, fact_sale_total_excl total, fact_sale_quantity bigint,"
     "fact_sale_profit total, dim_customer_rows bigint, dim_stockitem_rows bigint, dim_supplier_rows bigint"
 )
+LOADED_SALE = _schema(
+    "City_Key bigint, Customer_Key bigint, Bill_To_Customer_Key bigint, Stock_Item_Key bigint, Invoice_Date_Key int, Delivery_Date_Key int,"
+    "Salesperson_Key bigint, WWI_Invoice_ID bigint, Description string, Package string, Quantity int, Unit_Price money, Tax_Rate rate,"
+    "Total_Excluding_Tax money, Tax_Amount money, Profit money, Total_Including_Tax money, Total_Dry_Items int, Total_Chiller_Items int,"
+    "Lineage_Key bigint"
+)

@@ -13,8 +13,10 @@ from pyspark.sql.window import Window
 
 from starloom.constants import END_OF_TIME, end_of_time
 from starloom.operators.history import CUSTOMER, STOCK_ITEM, SUPPLIER, HistorySpec
-from starloom.operators.lookup import VersionedDimension
+from starloom.functions import date_key
+from starloom.operators.lookup import VersionedDimension, look_up
 from starloom.plans.dimensions import customer_attributes, stockitem_attributes, supplier_attributes
+from starloom.plans.facts import fact_measures
 from starloom.sources.landing import extract
 from starloom.sources.schemas import OPERATIONAL
 
@@ -209,12 +211,14 @@ def city_history(spark: SparkSession, sf_dir: str) -> VersionedDimension:
 
 
 def sale_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged sale lines with the business ids and the time that the key lookups need."""
+    """Staged sale lines: all that the fact holds, and the business ids and the time that the key lookups need."""
     tables = OperationalTables(spark, sf_dir)
+    derived = ("InvoiceLineID", "Description", "PackageTypeID", "Quantity", "UnitPrice", "TaxRate", "TaxAmount", "LineProfit", "ExtendedPrice")
     lines = raw(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey", "l_suppkey AS WWI_Salesperson_ID", "l_partkey AS WWI_Stock_Item_ID", "l_shipdate AS Last_Modified_When",
-        *[f"{DERIVATIONS['invoicelines'][1][c]} AS {c}" for c in ("InvoiceLineID", "Description", "Quantity", "TaxAmount", "LineProfit", "ExtendedPrice")],
+        "date_add(CAST(l_shipdate AS DATE), l_linenumber) AS Delivery_Date", *[f"{DERIVATIONS['invoicelines'][1][c]} AS {c}" for c in derived],
     )
+    lines = look_up(fact_measures(lines), "PackageTypeID", tables["packagetypes"], "PackageTypeID", {"PackageTypeName": "Package"})
     orders = raw(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", "o_custkey AS WWI_Customer_ID", "o_custkey - o_custkey % 10 AS WWI_Bill_To_Customer_ID",
         "CAST(o_orderdate AS DATE) AS Invoice_Date", "CAST(o_orderkey % 5 AS INT) AS Total_Dry_Items", "CAST(o_orderkey % 3 AS INT) AS Total_Chiller_Items",
@@ -223,9 +227,10 @@ def sale_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return staged.join(home, F.col("WWI_Customer_ID") == F.col("c_custkey"), "left").select(
         F.col("InvoiceLineID").alias("Sale_Key"), "WWI_City_ID", "WWI_Customer_ID", "WWI_Bill_To_Customer_ID", "WWI_Stock_Item_ID",
-        "WWI_Salesperson_ID", "Last_Modified_When", "Invoice_Date", F.col("l_orderkey").alias("WWI_Invoice_ID"), "Description",
-        "Quantity", F.col("TaxAmount").alias("Tax_Amount"), F.col("LineProfit").alias("Profit"),
-        F.col("ExtendedPrice").alias("Total_Including_Tax"), "Total_Dry_Items", "Total_Chiller_Items",
+        "WWI_Salesperson_ID", "Last_Modified_When", "Invoice_Date", date_key(F.col("Invoice_Date")).alias("Invoice_Date_Key"),
+        date_key(F.col("Delivery_Date")).alias("Delivery_Date_Key"), F.col("l_orderkey").alias("WWI_Invoice_ID"), "Description", "Package",
+        "Quantity", F.col("UnitPrice").alias("Unit_Price"), F.col("TaxRate").alias("Tax_Rate"), "Total_Excluding_Tax", "Tax_Amount", "Profit",
+        "Total_Including_Tax", "Total_Dry_Items", "Total_Chiller_Items",
     )
 
 

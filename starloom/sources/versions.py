@@ -31,14 +31,21 @@ def version_folder(folder: str, version: int) -> str:
     return f"{folder}/v{version:08d}"
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file."""
+    fs, at = _at(spark, path)
+    out = fs.create(at, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def publish(spark: SparkSession, folder: str, tables: Mapping[str, str]) -> None:
     """Declare a version complete; ``tables`` are names and the folders of their files."""
     fs, marker = _at(spark, f"{folder}/{MARKER}")
     _, draft = _at(spark, f"{folder}/_{MARKER}")
-    out = fs.create(draft, True)
-    out.write(bytearray(json.dumps(dict(tables), indent=1).encode()))
-    out.close()
-    if not fs.rename(draft, marker):
+    write_text(spark, f"{folder}/_{MARKER}", json.dumps(dict(tables), indent=1))
+    # Some file systems rename over an existing file, so it is looked for first; a version has a single writer.
+    if fs.exists(marker) or not fs.rename(draft, marker):
         raise FileExistsError(f"{folder} is already complete")
 
 

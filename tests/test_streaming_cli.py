@@ -4,16 +4,18 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom import __main__ as cli
 from starloom.constants import END_OF_TIME
 from starloom.operators.history import CUSTOMER
-from starloom.plans import warehouse
-from starloom.sources.landing import land
-from starloom.sources.schemas import CUTOFFS, LINEAGE
+from starloom.plans import loads, warehouse
+from starloom.sources.landing import extract_source, land, write_csv
+from starloom.sources.schemas import CUTOFFS, LINEAGE, OPERATIONAL, SOURCE_TABLES
 from starloom.sources.testdata import OperationalTables
 from starloom.sources.versions import is_complete, version_folder
-from starloom.streaming.staged_loads import apply_batch, stream_dimension_loads
+from starloom.streaming.staged_loads import apply_batch, apply_sales, stream_dimension_loads, stream_sale_loads
+from tests.test_warehouse import FIRST, SECOND, first_tables, shown, staged_customers, staged_sales
 
 END = datetime.fromisoformat(END_OF_TIME)
 DIM = "Customer_Key bigint, WWI_Customer_ID bigint, Customer string, Valid_From timestamp_ntz, Valid_To timestamp_ntz, Lineage_Key bigint"
@@ -124,3 +126,85 @@ def test_command_line(spark, sf_dir, tmp_path, capsys):
     assert cli.main(["report", built, out]) == 0
     assert spark.read.json(f"{out}/top_items").count() == 6
     assert spark.read.json(f"{out}/kpis").count() == 4
+
+
+def test_staged_sales_as_a_stream_of_loads(spark, tmp_path):
+    folder, staging, checkpoint = (str(tmp_path / name) for name in ("w", "staging", "checkpoint"))
+    loads.start(spark, first_tables(spark), folder)
+    schema = staged_sales(spark).schema
+    for arrived in (FIRST, SECOND):
+        staged_sales(spark, *arrived).coalesce(1).write.mode("append").parquet(staging)
+        stream_sale_loads(spark, staging, schema, folder, checkpoint, now=lambda: day(30)).awaitTermination()
+    expected = {(100, 1, "5.00", 1), (101, 1, "6.50", 2), (102, 0, "1.00", 1), (103, 1, "9.00", 2)}
+    assert shown(spark, folder) == expected
+    apply_sales(spark, folder, staged_sales(spark, *SECOND), 1, day(31))
+    assert shown(spark, folder) == expected, "a replayed batch changes nothing"
+    assert shown(spark, folder, version_folder(folder, 1)) == {(100, 1, "5.00", 1), (101, 1, "6.00", 1), (102, 0, "1.00", 1)}
+
+
+def test_two_batches_by_command(spark, tmp_path, capsys):
+    tables, one, two, folder = (str(tmp_path / name) for name in ("tables", "one", "two", "w"))
+    for name, table in first_tables(spark).items():
+        land(table, f"{tables}/{name}.parquet")
+    assert cli.main(["start", tables, folder]) == 0
+    land(staged_sales(spark, *FIRST), f"{one}/Sale.parquet")
+    assert cli.main(["load", one, folder, "2020-01-10 00:00:00"]) == 0
+    land(staged_customers(spark, (7, "new name", day(15), END)), f"{two}/Customer.parquet")
+    land(staged_sales(spark, *SECOND), f"{two}/Sale.parquet")
+    assert cli.main(["load", two, folder, "2020-01-20 00:00:00"]) == 0
+    assert shown(spark, folder) == {(100, 1, "5.00", 1), (101, 1, "6.50", 3), (102, 0, "1.00", 1), (103, 3, "9.00", 3)}
+    capsys.readouterr()
+    assert cli.main(["log", folder]) == 0
+    printed = capsys.readouterr().out
+    assert printed.count("2020-01-20 00:00:00") == 5 and printed.count("|true") == 3
+    with pytest.raises(FileNotFoundError, match="holds none of"):
+        cli.main(["load", str(tmp_path / "nothing"), folder, "2020-01-20"])
+
+
+@pytest.mark.parametrize("kind", ["parquet", "csv"])
+def test_extract_and_capture_by_command(spark, sf_dir, tmp_path, capsys, kind):
+    source, landing_folder, built, totals = (str(tmp_path / name) for name in ("source", "landing", "warehouse", "totals"))
+    tables = OperationalTables(spark, sf_dir)
+    for name, table in tables.items():
+        path = f"{source}/{SOURCE_TABLES[name][0]}.{kind}"
+        wide = table.withColumn("ValidFrom", F.lit("not extracted"))
+        write_csv(wide, path) if kind == "csv" else land(wide, path)
+    assert cli.main(["extract", source, landing_folder, "--format", kind]) == 0
+    counts = dict(line.rsplit(" ", 1) for line in capsys.readouterr().out.strip().splitlines())
+    assert counts == {name: str(table.count()) for name, table in tables.items()}
+    for name in ("stockitems", "invoices"):
+        landed = spark.read.parquet(f"{landing_folder}/src_{name}.parquet")
+        assert landed.schema.names == OPERATIONAL[name].names and landed.exceptAll(tables[name]).count() == 0
+    assert cli.main(["rebuild", landing_folder, built]) == 0
+    assert cli.main(["capture", built, totals]) == 0
+    assert cli.main(["verify", built, totals]) == 0
+
+
+class Database:
+    """Answers a query for bounds with one row and any table with another; keeps what it was asked."""
+
+    def __init__(self, bounds, rows):
+        self.bounds, self.rows, self.asked, self.read = bounds, rows, [], self
+
+    def format(self, name):
+        self.asked.append({"format": name})
+        return self
+
+    def options(self, **options):
+        self.asked[-1].update(options)
+        return self
+
+    def load(self):
+        return self.bounds if "min(" in self.asked[-1]["dbtable"] else self.rows
+
+
+def test_database_extract_finds_its_own_slices(spark):
+    rows = spark.createDataFrame([], OPERATIONAL["invoicelines"])
+    bounds = spark.createDataFrame([(5, 90)], "lo int, hi int")
+    database = Database(bounds, rows)
+    assert extract_source(database, "invoicelines", "jdbc:x", "jdbc", {"user": "u"}, 8).schema == rows.schema
+    asked = database.asked[-1]
+    assert (asked["dbtable"], asked["partitionColumn"], asked["lowerBound"], asked["upperBound"], asked["numPartitions"]) == ("Sales.InvoiceLines", "InvoiceLineID", 5, 91, 8)
+    nothing = Database(spark.createDataFrame([(None, None)], "lo int, hi int"), spark.createDataFrame([], OPERATIONAL["invoices"]))
+    extract_source(nothing, "invoices", "jdbc:x", "jdbc", {}, 8)
+    assert (nothing.asked[-1]["lowerBound"], nothing.asked[-1]["upperBound"]) == (0, 1)

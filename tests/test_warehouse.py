@@ -1,5 +1,6 @@
 """Rebuild and incremental loads end to end."""
 
+import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -7,11 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.constants import END_OF_TIME
-from starloom.operators.control import visible_loads
 from starloom.operators.history import CUSTOMER, current_rows
-from starloom.operators.lookup import Role, VersionedDimension
-from starloom.plans import facts, months, quality, warehouse
-from starloom.sources import testdata
+from starloom.plans import facts, loads, months, quality, reports, summaries, warehouse
+from starloom.session import settings
+from starloom.sources import testdata, versions
 from starloom.sources.schemas import CUTOFFS, LINEAGE
 from starloom.sources.testdata import OperationalTables
 
@@ -61,14 +61,12 @@ def test_a_fact_column_joins_only_what_it_needs(spark, sf_dir):
 
 
 CUSTOMERS = "Customer_Key bigint, WWI_Customer_ID bigint, Customer string, Valid_From timestamp_ntz, Valid_To timestamp_ntz, Lineage_Key bigint"
-SALES = "Customer_Key bigint, WWI_Customer_ID bigint, WWI_Invoice_ID bigint, Total_Including_Tax decimal(18,2), Last_Modified_When timestamp_ntz, Lineage_Key bigint"
 
 
 def empty_warehouse(spark):
     cutoffs = spark.createDataFrame([("Customer", day(0)), ("Sale", day(0))], CUTOFFS)
     return {
         "Customer": spark.createDataFrame([], CUSTOMERS),
-        "Sale": spark.createDataFrame([], SALES),
         warehouse.LINEAGE: spark.createDataFrame([], LINEAGE),
         warehouse.CUTOFFS: cutoffs,
     }
@@ -78,47 +76,133 @@ def staged_customers(spark, *rows):
     return spark.createDataFrame(list(rows), "WWI_Customer_ID bigint, Customer string, Valid_From timestamp_ntz, Valid_To timestamp_ntz")
 
 
+STAGED_SALES = (
+    "WWI_City_ID bigint, WWI_Customer_ID bigint, WWI_Bill_To_Customer_ID bigint, WWI_Stock_Item_ID bigint, WWI_Salesperson_ID bigint, Last_Modified_When timestamp_ntz,"
+    "Invoice_Date_Key int, Delivery_Date_Key int, WWI_Invoice_ID bigint, Description string, Package string, Quantity int, Unit_Price decimal(18,2), Tax_Rate decimal(18,3),"
+    "Total_Excluding_Tax decimal(18,2), Tax_Amount decimal(18,2), Profit decimal(18,2), Total_Including_Tax decimal(18,2), Total_Dry_Items int, Total_Chiller_Items int"
+)
+
+
 def staged_sales(spark, *rows):
-    return spark.createDataFrame(
-        [(c, i, Decimal(v), t) for c, i, v, t in rows],
-        "WWI_Customer_ID bigint, WWI_Invoice_ID bigint, Total_Including_Tax decimal(18,2), Last_Modified_When timestamp_ntz",
-    )
+    """Lines of (customer, invoice, amount, day), the other columns derived from these."""
+    money = lambda v: Decimal(v).quantize(Decimal("0.01"))
+    full = [
+        (1, c, 8, 5, 6, day(t), 20200100 + t, 20200200 + t, i, f"line of {i}", "Each", i % 7, money("2.50"), Decimal("15.000"),
+         money(v) - 1, money("1.00"), money("0.30"), money(v), i % 2, i % 3)
+        for c, i, v, t in rows
+    ]
+    return spark.createDataFrame(full, STAGED_SALES)
+
+
+def first_tables(spark):
+    """A started warehouse's dimensions: customers 7 and 8, one item, city and employee, no supplier."""
+    one = lambda bk, key, *rows: spark.createDataFrame(list(rows), f"{key} bigint, {bk} bigint, Valid_From timestamp_ntz, Valid_To timestamp_ntz, Lineage_Key bigint")
+    return {
+        "Customer": spark.createDataFrame([(1, 7, "old name", day(1), END, 0), (2, 8, "other", day(1), END, 0)], CUSTOMERS),
+        "Stock Item": one("WWI_Stock_Item_ID", "Stock_Item_Key", (50, 5, day(0), END, 0)),
+        "Supplier": one("WWI_Supplier_ID", "Supplier_Key"),
+        "City": one("WWI_City_ID", "City_Key", (10, 1, day(0), END, 0)),
+        "Employee": one("WWI_Employee_ID", "Employee_Key", (60, 6, day(0), END, 0)),
+    }
+
+
+FIRST = ((7, 100, "5.00", 2), (7, 101, "6.00", 3), (9, 102, "1.00", 3))
+SECOND = ((7, 101, "6.50", 15), (7, 103, "9.00", 16))
 
 
-def load(wh, n, customers, sales):
-    wh = warehouse.open_load(wh, "Customer", day(n), day(n - 1))
-    wh = warehouse.load_dimension(wh, customers, CUSTOMER, day(n) + timedelta(hours=1))
-    wh = warehouse.open_load(wh, "Sale", day(n), day(n - 1))
-    dims = {"customer": VersionedDimension(wh["Customer"], "WWI_Customer_ID", "Customer_Key")}
-    return warehouse.load_sales(wh, sales, [Role("WWI_Customer_ID", "customer", "Customer_Key")], dims, day(n) + timedelta(hours=2))
+def shown(spark, folder, version=None):
+    return {(r["WWI_Invoice_ID"], r["Customer_Key"], str(r["Total_Including_Tax"]), r["Lineage_Key"]) for r in loads.read_sales(spark, folder, version).collect()}
 
 
 def test_two_batches(spark, tmp_path):
-    wh = load(
-        empty_warehouse(spark), 10,
-        staged_customers(spark, (7, "old name", day(1), END), (8, "other", day(1), END)),
-        staged_sales(spark, (7, 100, "5.00", day(2)), (7, 101, "6.00", day(3)), (9, 102, "1.00", day(3))),
-    )
-    warehouse.write_warehouse(wh, str(tmp_path / "first"))
-    wh = warehouse.read_warehouse(spark, str(tmp_path / "first"), list(wh))
-    wh = load(
-        wh, 20,
-        staged_customers(spark, (7, "new name", day(15), END)),
-        staged_sales(spark, (7, 101, "6.50", day(15)), (7, 103, "9.00", day(16))),
+    folder = str(tmp_path)
+    loads.start(spark, first_tables(spark), folder)
+    one = loads.load_staged(spark, folder, {"Sale": staged_sales(spark, *FIRST)}, day(9), day(10))
+    two = loads.load_staged(
+        spark, folder, {"Customer": staged_customers(spark, (7, "new name", day(15), END)), "Sale": staged_sales(spark, *SECOND)}, day(19), day(20)
     )
-    warehouse.write_warehouse(wh, str(tmp_path / "second"))
-    wh = warehouse.read_warehouse(spark, str(tmp_path / "second"), list(wh))
-
+    wh = warehouse.read_warehouse(spark, two, ["Customer", "Stock Item", warehouse.CUTOFFS])
     versions = {r["Customer_Key"]: (r["Customer"], r["Valid_From"], r["Valid_To"], r["Lineage_Key"]) for r in wh["Customer"].collect()}
-    assert versions == {1: ("old name", day(1), day(15), 1), 2: ("other", day(1), END, 1), 3: ("new name", day(15), END, 3)}
+    assert versions == {1: ("old name", day(1), day(15), 0), 2: ("other", day(1), END, 0), 3: ("new name", day(15), END, 2)}
     assert current_rows(wh["Customer"]).count() == 2
-    lines = {(r["WWI_Invoice_ID"], r["Customer_Key"], str(r["Total_Including_Tax"]), r["Lineage_Key"]) for r in wh["Sale"].collect()}
     # The restated line is stamped at the very start of the new version, where the old one still holds.
-    assert lines == {(100, 1, "5.00", 2), (101, 1, "6.50", 4), (102, 0, "1.00", 2), (103, 3, "9.00", 4)}
-    assert {tuple(r) for r in wh[warehouse.CUTOFFS].collect()} == {("Customer", day(19)), ("Sale", day(19))}
-    assert wh[warehouse.LINEAGE].where("Was_Successful").count() == 4
-    assert visible_loads(wh["Sale"], wh[warehouse.LINEAGE]).count() == 4
-    assert visible_loads(wh["Sale"], wh[warehouse.LINEAGE].where("Lineage_Key < 4")).count() == 2
+    assert shown(spark, folder) == {(100, 1, "5.00", 1), (101, 1, "6.50", 3), (102, 0, "1.00", 1), (103, 3, "9.00", 3)}
+    assert shown(spark, folder, one) == {(100, 1, "5.00", 1), (101, 1, "6.00", 1), (102, 0, "1.00", 1)}
+    line = loads.read_sales(spark, folder).where("WWI_Invoice_ID = 103").first()
+    assert line == staged_line(103, "9.00", 16) and loads.read_sales(spark, folder).columns == list(facts.LOADED_COLUMNS)
+    assert {tuple(r) for r in wh[warehouse.CUTOFFS].collect()} == {("Customer", day(19)), ("Sale", day(19)), ("Stock Item", None), ("Supplier", None)}
+    assert [(r["Table_Name"], r["Lineage_Key"], r["Was_Successful"]) for r in loads.load_log(spark, folder).collect()] == [("Sale", 1, True), ("Customer", 2, True), ("Sale", 3, True)]
+    assert not (tmp_path / two.split("/")[-1] / "Stock Item").exists(), "tables without a batch are pointed to"
+
+
+def staged_line(invoice, amount, t):
+    """The fact row of a staged line of customer 7 after the second load."""
+    v = Decimal(amount)
+    return (10, 3, 2, 50, 20200100 + t, 20200200 + t, 60, invoice, f"line of {invoice}", "Each", invoice % 7, Decimal("2.50"), Decimal("15.000"),
+            v - 1, Decimal("1.00"), Decimal("0.30"), v, invoice % 2, invoice % 3, 3)
+
+
+def test_a_load_that_broke_off_is_not_seen_and_is_run_again(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    loads.start(spark, first_tables(spark), folder)
+    loads.load_staged(spark, folder, {"Sale": staged_sales(spark, *FIRST)}, day(9), day(10))
+    before = shown(spark, folder)
+    with monkeypatch.context() as broken:
+        broken.setattr(warehouse, "write_warehouse", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            loads.load_staged(spark, folder, {"Sale": staged_sales(spark, *SECOND)}, day(19), day(20))
+    assert shown(spark, folder) == before
+    loads.load_staged(spark, folder, {"Sale": staged_sales(spark, *SECOND)}, day(19), day(20))
+    assert shown(spark, folder) == {(100, 1, "5.00", 1), (101, 1, "6.50", 2), (102, 0, "1.00", 1), (103, 1, "9.00", 2)}
+
+
+def test_loads_refuse_unknown_and_missing_tables(spark, tmp_path):
+    with pytest.raises(ValueError, match="missing: City"):
+        loads.start(spark, {k: v for k, v in first_tables(spark).items() if k != "City"}, str(tmp_path))
+    loads.start(spark, first_tables(spark), str(tmp_path))
+    with pytest.raises(ValueError, match="no load for City"):
+        loads.load_staged(spark, str(tmp_path), {"City": spark.range(1)}, day(1), day(1))
+
+
+def test_a_load_rewrites_only_its_months_sums(spark, tmp_path):
+    folder = str(tmp_path)
+    loads.start(spark, first_tables(spark), folder)
+    far = staged_sales(spark, (8, 300, "4.00", 2)).withColumn("Invoice_Date_Key", F.lit(20190305))
+    undated = staged_sales(spark, (7, 301, "2.00", 2)).withColumn("Invoice_Date_Key", F.lit(None).cast("int"))
+    loads.load_staged(spark, folder, {"Sale": staged_sales(spark, *FIRST).unionByName(far).unionByName(undated)}, day(9), day(10))
+    loads.load_staged(spark, folder, {"Sale": staged_sales(spark, *SECOND)}, day(19), day(20))
+    for kind in ("lines", *summaries.SCHEMAS):
+        stored = {(p.parent.name, p.name) for p in (tmp_path / "sale" / kind).glob("Stored_By=*/Invoice_Month=*")}
+        first = {("Stored_By=1", f"Invoice_Month={m}") for m in (0, 201903, 202001)}
+        assert stored == first | {("Stored_By=2", "Invoice_Month=202001")}, kind
+    sums, sales = loads.read_summaries(spark, folder), loads.read_sales(spark, folder)
+    assert {(r["Invoice_Month"], r["Customer_Key"]): (str(r["Total_Including_Tax"]), r["lines"]) for r in sums.per_customer.collect()} == {
+        (0, 1): ("2.00", 1), (201903, 2): ("4.00", 1), (202001, 0): ("1.00", 1), (202001, 1): ("20.50", 3),
+    }
+    assert summaries.sales_kpis(sums).collect() == reports.sales_kpis(sales).collect()
+    dated = sales.withColumn("Invoice_Date", F.to_date(F.col("Invoice_Date_Key").cast("string"), "yyyyMMdd"))
+    assert summaries.revenue_by_month(sums).collect() == reports.revenue_by_month(dated).collect()
+
+
+def test_distinct_customers_merge_across_months_and_skip_nulls(spark, tmp_path):
+    rng = random.Random(3)
+    keys = [None, 0, 1, 32767, 32768, 32769, 5_000_000_000, *range(100, 140)]
+    rows = [(rng.choice(keys), rng.randint(1, 9), Decimal(rng.randint(1, 999)) / 100 if rng.random() < 0.9 else None, rng.choice([202001, 202002, 202003])) for _ in range(500)]
+    lines = spark.createDataFrame(rows, "Customer_Key bigint, Stock_Item_Key bigint, Total_Including_Tax decimal(18,2), Invoice_Month int")
+    assert summaries.sales_kpis(summaries.summarise(lines)).collect() == reports.sales_kpis(lines).collect()
+    nothing = summaries.summarise(lines.limit(0))
+    assert summaries.sales_kpis(nothing).collect() == reports.sales_kpis(lines.limit(0)).collect()
+
+
+def test_totals_are_taken_while_the_star_is_written(spark, sf_dir, tmp_path):
+    built = warehouse.rebuild(OperationalTables(spark, sf_dir), str(tmp_path))
+    fact = built.pop("fact")
+    taken = warehouse.read_totals(spark, str(tmp_path))
+    assert taken.collect() == quality.control_totals(fact, built).collect()
+    assert "parquet" not in taken._jdf.queryExecution().executedPlan().toString().lower()
+    expected = taken.collect()
+    (tmp_path / "v00000001" / warehouse.TOTALS).unlink()
+    assert warehouse.read_totals(spark, str(tmp_path)).collect() == expected, "a version without totals is counted"
 
 
 def test_a_load_needs_an_open_lineage(spark):
@@ -126,6 +210,13 @@ def test_a_load_needs_an_open_lineage(spark):
         warehouse.load_dimension(empty_warehouse(spark), staged_customers(spark), CUSTOMER, day(1))
 
 
+def test_a_version_is_declared_complete_once(spark, tmp_path):
+    versions.publish(spark, str(tmp_path), {"a": "b"})
+    with pytest.raises(FileExistsError):
+        versions.publish(spark, str(tmp_path), {"a": "c"})
+    assert versions.tables_of(spark, str(tmp_path)) == {"a": "b"}
+
+
 def test_a_written_warehouse_is_not_overwritten(spark, tmp_path):
     warehouse.write_warehouse(empty_warehouse(spark), str(tmp_path / "w"))
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
@@ -196,3 +287,43 @@ def test_history_of_test_data_keeps_one_current_row_per_key(spark, sf_dir):
     assert applied.count() == base.count() + batch.count()
     assert current_rows(applied).count() == base.count()
     assert applied.select("Customer_Key").distinct().count() == applied.count()
+
+
+def scanned_rows(df):
+    """Rows that the scans of an executed plan gave."""
+    df.collect()
+
+    def nodes(plan):
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            plan = plan.executedPlan()
+        if "QueryStage" in plan.nodeName():
+            plan = plan.plan()
+        yield plan
+        for i in range(plan.children().size()):
+            yield from nodes(plan.children().apply(i))
+
+    return sum(n.metrics().apply("numOutputRows").value() for n in nodes(df._jdf.queryExecution().executedPlan()) if n.nodeName().startswith("Scan"))
+
+
+def test_restated_invoices_open_few_row_groups(spark, tmp_path, monkeypatch):
+    """A month of scattered invoice ids: lines lie in order of them, and each row group's bloom filter tells which it holds."""
+    folder, n = str(tmp_path), 60_000
+    lines = spark.range(n).select(
+        F.xxhash64("id").alias("WWI_Invoice_ID"), F.md5(F.col("id").cast("string")).alias("line"), F.lit(20200105).alias("Invoice_Date_Key")
+    )
+    fact = months.with_month(lines)
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", str(64 * 1024))
+    try:
+        months.store_months(fact, fact.select(months.MONTH).distinct(), 1, folder)
+    finally:
+        hadoop.unset("parquet.block.size")
+    visible = months.read_months(spark, folder, lineage_of(spark, 1), fact.schema)
+    some = [r[0] for r in lines.select("WWI_Invoice_ID").limit(3).collect()]
+    staged = months.with_month(spark.createDataFrame([(i, "restated", 20200305) for i in some], "WWI_Invoice_ID bigint, line string, Invoice_Date_Key int"))
+    assert sorted(r[0] for r in months.touched_months(visible, staged).collect()) == [202001, 202003]
+    with settings(spark, spark_sql_parquet_pushdown_inFilterThreshold=str(months.PROBED)):
+        assert 0 < scanned_rows(visible.where(F.col("WWI_Invoice_ID").isin(some)).select(months.MONTH)) < n / 4
+        assert scanned_rows(visible.where(F.col("WWI_Invoice_ID").isin([7, 8, 9])).select(months.MONTH)) < n / 10
+    monkeypatch.setattr(months, "PROBED", 2)
+    assert sorted(r[0] for r in months.touched_months(visible, staged).collect()) == [202001, 202003], "many invoices are joined"
