@@ -1,32 +1,36 @@
 """Personal data: candidate spans, boosted trees, calibrated redaction. DataFrame functions only.
 
 Base spans are the fixed patterns of four kinds with their checks; they are always redacted. High-recall generators propose
-further, overlapping spans: spelled-out or spaced e-mail addresses, and every run of digits with separators as an address, a card and
-a phone number. Each candidate is described by small integer features of its format (digits, groups, separators, check digit ...) and
+further, overlapping spans: spelled-out or spaced e-mail addresses, and every run of digits with separators (blanks, brackets, dots, strokes, slashes) as an
+address, a card and a phone number. Each candidate is described by small integer features of its format (digits, groups, separators, check digit ...) and
 context (characters beside it, a telling word of its kind before it).
 
 What the fixed patterns miss is not known to be wrong, so it isn't learned as such. Positive examples are the candidates that overlap a base
 span of their kind, each also in the loose forms that the patterns don't take (``_loose``: no plus sign, spelled-out e-mail, dotted card).
 Negative ones are clear non-cases: candidates that fail their kind's check or overlap a base span of another kind only. All others are left out.
-A small labelled table (``labelled``) adds loose cases and look-alikes such as dates, amounts and book numbers.
+A labelled table (``labelled``) adds loose cases and look-alikes such as dates, amounts and book numbers. It is made from forms, of
+which one half is learned from and the other held out, so that no text and no way of writing lies in both.
 
 The candidates of all documents are counted by feature vector. That table is bounded by the product of the features' ranges
 (``MOST_VECTORS``) whatever the corpus, and is all that reaches the driver, where trees are boosted on it: per kind and label its weight is
 that of ``CORPUS_WEIGHT`` labelled rows. The trees become one SQL expression. A threshold per kind is the least score from which the held-out
-half of the labelled table, ``LEAST_CANDIDATES`` of it at least, and the held-out half of the corpus's examples (by a hash of the id), if any are
-positive, are right at ``PRECISION`` or better; a kind without such a score adds nothing, and so do addresses (ip), which have no loose form. An added span overlaps no base span.
+forms of the labelled table, ``LEAST_CANDIDATES`` cases at least, and the held-out half of the corpus's examples (by a hash of the id), if any are
+positive, are right at ``PRECISION`` or better; a kind without such a score adds nothing, and so do addresses (ip), which have no loose form, and numbers that fail a card's check digit. An added span overlaps no base span.
 
 Patterns are written so that a failing start never rescans a run (possessive quantifiers, look-behind), which keeps them linear on very long
 runs; they match what the plain forms match.
 
 Defined results: a null or empty text has no spans; a null text stays null when redacted; spans are code points, the end exclusive; rows with
-null or repeated ids are treated row by row; an empty table gives an empty result; other columns are passed through.
+null or repeated ids are treated row by row; equal spans of two kinds are both listed, and redacted as the kind listed first; an empty table gives an empty
+result; other columns are passed through, whatever their names. A text is held whole by one task, however long.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from itertools import pairwise
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,22 +48,30 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
+AT = r"(?:\x20?+(?:@|\(at\)|\[at\])\x20?+)"
+DOT = r"(?:\x20?+(?:\.|\(dot\)|\[dot\])\x20?+)"
+LABEL = "[A-Za-z0-9-]++"
 GENERATORS = {
-    "email": rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++\x20?+(?:@|\(at\)|\[at\])\x20?+[A-Za-z0-9-]++(?:\x20?+(?:\.|\(dot\)|\[dot\])\x20?+[A-Za-z0-9-]++)++",
-    "number": r"[+(]?+[0-9](?:[\x20().-]{0,2}+[0-9])++",
+    "email": rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++(?:{AT}{LABEL}(?:{DOT}{LABEL})++|\x20at\x20{LABEL}(?:\x20dot\x20{LABEL})++)",
+    "number": r"[+(]?+[0-9](?:[\x20()./-]{0,3}+[0-9])++",
 }
+#: What a text must hold to have a candidate for an e-mail address.
+SPELLED = r"[(\[]at[)\]]|\x20dot\x20"
 BYTE = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 #: Words that announce a kind, right before it.
+BETWEEN = r"(?:\W+(?:address|adresse|number|no|nr|nummer|num[eé]ro|n[uú]mero|us|me|him|her|at|on|is|ist|est|es|under|unter|au|al))*\W*$"
 TELLING = {
-    "email": r"(?i)\b(?:e-?mail|mail|contact|write to|address|adresse|correo)\W*$",
-    "ip": r"(?i)\b(?:ip|server|host|address|adresse)\W*$",
-    "card": r"(?i)\b(?:card|visa|mastercard|carte|karte|kreditkarte|tarjeta)\W*$",
-    "phone": r"(?i)\b(?:phone|telephone|tel|t[eé]l[eé]phone|telefon|tel[eé]fono|call|mobile?|m[oó]vil|cell|handy|fax)\W*$",
+    "email": rf"(?i)\b(?:e-?mail|mail|contact|write to|reach|correo|courriel){BETWEEN}",
+    "ip": rf"(?i)\b(?:ip|server|host){BETWEEN}",
+    "card": rf"(?i)\b(?:card|visa|mastercard|carte|karte|kreditkarte|tarjeta){BETWEEN}",
+    "phone": rf"(?i)\b(?:phone|telephone|tel|t[eé]l[eé]phone|telefon|tel[eé]fono|call|ring|dial|mobile?|m[oó]vil|cell|handy|fax){BETWEEN}",
 }
+#: Characters before a candidate in which such a word is looked for.
+LEFT = 32
 #: An e-mail address ends in a word behind a tight or a spelled-out dot; a sentence's end doesn't.
-ENDING = r"(?:\.|[(\[]dot[)\]]\x20?)[A-Za-z]{2,}$"
+ENDING = r"(?:\.|[(\[]dot[)\]]\x20?|\x20dot\x20)[A-Za-z]{2,}$"
 #: Feature -> number of its values.
-FEATURES = {"kind": 4, "digits": 8, "groups": 6, "separator": 5, "marked": 2, "valid": 2, "before": 4, "after": 4, "told": 2}
+FEATURES = {"kind": 4, "digits": 8, "groups": 6, "separator": 6, "marked": 2, "valid": 2, "before": 4, "after": 4, "told": 2}
 MOST_VECTORS = math.prod(FEATURES.values())
 TREES, DEPTH, RATE, RIDGE = 12, 3, 0.4, 1.0
 PRECISION, LEAST_CANDIDATES = 0.95, 50
@@ -144,7 +156,7 @@ def _described(text: Column, kind: int, x: Column) -> Column:
     groups = F.least(F.regexp_count(s, F.lit("[0-9]++")), F.lit(5))
     separator = F.when(s.rlike(r"[()\[]"), 4).when(s.rlike("-"), 3).when(F.contains(s, F.lit(".")), 2).when(F.contains(s, F.lit(" ")), 1).otherwise(0)
     valid = s.rlike(ENDING) if kind == 0 else _passes(KINDS[kind], s)
-    left = F.substring(text, F.greatest(x["start"] - 15, F.lit(1)), F.least(x["start"], F.lit(16)))
+    left = F.substring(text, F.greatest(x["start"] - LEFT + 1, F.lit(1)), F.least(x["start"], F.lit(LEFT)))
     marked = s.rlike(r"^\+") if kind else F.contains(s, F.lit("@")) & ~F.contains(s, F.lit(" "))
     values = {
         "kind": F.lit(kind), "digits": bucket, "groups": groups, "separator": separator, "marked": marked.cast("int"),
@@ -158,7 +170,7 @@ def with_spans(docs: DataFrame, text: str, base: str, candidates: str) -> DataFr
     """``docs`` with the base spans and the described candidates of ``text``."""
     body, emails, numbers = F.col(text), fresh(docs, f"_{base}_emails"), fresh(docs, f"_{base}_numbers")
     body = F.coalesce(body, F.lit(""))
-    sign = F.contains(body, F.lit("@")) | body.rlike(r"[(\[]at[)\]]")
+    sign = F.contains(body, F.lit("@")) | body.rlike(SPELLED)
     out = docs.withColumns({base: _base(body), emails: _matches(body, GENERATORS["email"], sign), numbers: _matches(body, GENERATORS["number"], body.rlike("[0-9]"))})
     of = lambda found, kind: F.transform(F.col(found), lambda x: _described(body, kind, x))
     described = [of(emails, 0), *(of(numbers, kind) for kind in (1, 2, 3))]
@@ -173,37 +185,68 @@ def _overlaps(spans: Column, x: Column) -> Column:
     return F.exists(spans, lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
 
 
-def labelled() -> list[tuple[str, int, int, int]]:
-    """(text, kind, start, end): a span that a reader would redact, or a text without one (kind -1)."""
-    people, hosts = ("anna.berg", "jo_smith", "m.diaz", "info", "luc-petit"), ("mail", "example", "post-box", "uni.example")
-    emails = [f"{p}{at}{h.replace('.', dot)}{dot}{end}" for i, p in enumerate(people) for j, h in enumerate(hosts)
-              for at, dot in ((" (at) ", " (dot) "), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" @ ", "."), (" (at) ", ".")) for end in (("com", "de", "org")[(i + j) % 3],)]
-    phones = ["030 1234567", "(030) 123 45 67", "0171-2345678", "555-867-5309", "(212) 555-0147", "01 42 68 53 00", "91 411 22 33", "0049 30 123456", "06 12 34 56 78",
-              "020 7946 0958", "0800-123-4567", "0221 98 76 54 3", "(0)89 123456", "650 555 0123",
-              "0351 456 78 90", "04 91 55 66 77", "(415) 555 2671", "0161-496-0123", "93 318 22 11", "0761 20 30 40", "303-555-0199", "(0341) 97 12 345"]
-    cards = ["4111.1111.1111.1111", "5500.0000.0000.0004", "4012.8888.8888.1881", "5105.1051.0510.5100", "4222.2222.2222.2220", "6011.0000.0000.0004", "4000.0566.5566.5556"]
-    told = {0: ("mail {}", "e-mail: {} today", "Contact {}.", "write to {}"), 2: ("card {}", "Visa: {} ok", "my card ({})", "Karte {}."),
-            3: ("call {}", "tel {}", "Tel.: {} please", "phone {}.", "Fax: {}", "mobile {},", "telephone: {} now", "cell {}")}
-    plain = ("it was {} then", "{}", "so {}.", "und {} ist")
-    look_alikes = ["2024 05 06 12 30", "12 500 000 000", "1 234 567 890", "978-3-16-148410-0", "2019-2020-2021", "20240506123000", "1234567890", "3.1415926535", "1.234.567.890",
-                   "10 20 30 40 50", "2024-05-06 10-30", "1999-12-31", "5 @ 3.50", "4 @ 12.5", "2.0.17.4051", "100-200-300", "4111.1111.1111.1112", "1234.5678.9012.3456",
-                   "0.1234.5678.9012", "12345678", "48-50 2021", "(1998) 12-345678", "house (at) sea . We", "back (at) home . The", "work [at] night . It", "left (at) noon . Both"]
+# Ways of writing, learned from and held out. N is a digit, C one that completes a card number and X one that doesn't; p, h and t are a person, a host and a
+# domain's end.
+FORMS = (
+    {
+        0: ("p (at) h (dot) t", "p(at)h(dot)t", "p @ h.t", "p at h dot t"),
+        2: ("NNNN.NNNN.NNNN.NNNC", "NNNN/NNNN/NNNN/NNNC"),
+        3: ("0NN NNNNNNN", "(0NN) NNN NN NN", "0NNN-NNNNNNN", "NNN-NNN-NNNN", "(NNN) NNN-NNNN", "0N NN NN NN NN", "00NN NN NNNNNN", "0NN/NNNNNNN", "NNN.NNN.NNNN"),
+    },
+    {
+        0: ("p [at] h [dot] t", "p[at]h[dot]t", "p (at) h.t", "p at h dot co dot t"),
+        2: ("NNNNNNNN.NNNNNNNC", "NNNN . NNNN . NNNN . NNNC"),
+        3: ("0NNN NNNNNNNN", "(0NNN) NN NN NNN", "0NN-NNNNNNNN", "1-NNN-NNN-NNNN", "NNN NNN NNNN", "0NNNN/NNNNNN", "0N.NN.NN.NN.NN", "0NN NNNN NNNN"),
+    },
+)
+LOOK_ALIKES = (
+    ("NNNN NN NN NN NN", "NN N00 000 000", "978-N-NN-NNNNNN-N", "20NNNNNNNNNNNN", "N.NNNNNNNNNN", "N0 N0 N0 N0 N0", "19NN-NN-NN", "N @ N.50", "N.0.NN.NNNN", "NNNNNNNN",
+     "NN/NN/20NN", "N/N N/N N/N", "NNNN.NNNN.NNNN.NNNX", "NNNN/NNNN/NNNN/NNNX", "house (at) sea . We", "work [at] night . It", "came at one dot", "N NNN.NN"),
+    ("N NNN NNN NNN", "20NN-20NN-20NN", "NNNNNNNNNN", "N.NNN.NNN.NNN", "20NN-NN-NN NN-NN", "N @ NN.5", "N00-N00-N00", "NNNNNNNN.NNNNNNNX", "NNNN . NNNN . NNNN . NNNX", "0.NNNN.NNNN.NNNN", "NN-NN 20NN",
+     "(19NN) NN-NNNNNN", "20NN/NN/NN NN/NN", "back (at) home . The", "left (at) noon . Both", "looked at the dot on", "NNN,NNN.NN"),
+)
+FRAMES = {
+    0: ("mail {}", "e-mail: {} today", "Contact {}.", "write to {}"),
+    2: ("card {}", "Visa: {} ok", "my card ({})", "Karte {}."),
+    3: ("call {}", "tel {}", "Tel.: {} please", "phone {}.", "Fax: {}", "mobile {},", "telephone number is {} now", "ring me on {}"),
+}
+PLAIN_FRAMES = ("it was {} then", "{}", "so {}.", "und {} ist")
+LOOK_ALIKE_FRAMES = (*PLAIN_FRAMES, "page {} of", "order {}", "account {}", "about {} of them", "from {} to", "no. {}")
+ITEMS = 6
+
+
+def written(form: str, kind: int, item: int) -> str:
+    """A form filled in by rule."""
+    draw = crc32(f"{form} {item}".encode())
+    if kind == 0:
+        names = {"p": ("anna.berg", "jo_smith", "m.diaz", "info", "luc-petit", "k9")[item % 6], "h": ("example", "post-box", "uni", "mailhost", "werk7")[draw % 5], "t": ("com", "de", "org")[draw % 3]}
+        return re.sub(r"\b[pht]\b", lambda m: names[m.group()], form)
+    digits = [str(draw // 3**i % 9 + 1) for i in range(20)]
+    text = re.sub("N", lambda _: digits.pop(), form)
+    passes = lambda values: sum(v if i % 2 == 0 else sum(divmod(2 * v, 10)) for i, v in enumerate(values)) % 10 == 0
+    ends = [re.sub("[CX]", check, text) for check in "0123456789"]
+    return next(end for end in ends if text == end or passes([int(c) for c in end if c.isdigit()][::-1]) == ("C" in text))
+
+
+def labelled() -> list[tuple[int, str, int, int, int]]:
+    """(half, text, kind, start, end): a span that a reader would redact, or a text without one (kind -1). Each form lies in one half."""
     out = []
-    for kind, items in ((0, emails), (2, cards * 5), (3, phones)):
-        for item in items:
-            for frame in (*told[kind], *plain):
-                start = frame.index("{")
-                # A number's candidate starts with its bracket.
-                start -= kind > 0 and frame[:start].endswith("(")
-                out.append((frame.format(item), kind, start, frame.index("{") + len(item)))
-    frames = (*plain, "page {} of", "order {}", "account {}", "about {} of them", "from {} to", "no. {}")
-    return out + [(frame.format(item), -1, 0, 0) for item in look_alikes for frame in frames]
+    for half in (0, 1):
+        for kind, forms in FORMS[half].items():
+            for text in dict.fromkeys(written(form, kind, i) for form in forms for i in range(ITEMS)):
+                for frame in (*FRAMES[kind], *PLAIN_FRAMES):
+                    start = frame.index("{")
+                    # A number's candidate starts with its bracket.
+                    out.append((half, frame.format(text), kind, start - (kind > 0 and frame[:start].endswith("(")), start + len(text)))
+        for text in dict.fromkeys(written(form, -1, i) for form in LOOK_ALIKES[half] for i in range(ITEMS)):
+            out += [(half, frame.format(text), -1, 0, 0) for frame in LOOK_ALIKE_FRAMES]
+    return out
 
 
 def _loose(x: tuple[int, ...]) -> list[tuple[int, ...]]:
     """The vector of a base span, and those of its forms that the fixed patterns don't take."""
     at = dict(zip(FEATURES, x, strict=True))
-    forms = {0: [{"marked": 0, "separator": 2}, {"marked": 0, "separator": 4}], 1: [], 2: [{"separator": 2}], 3: [{"marked": 0}]}[at["kind"]]
+    forms = {0: [{"marked": 0, "separator": s} for s in (1, 2, 4)], 1: [], 2: [{"separator": s} for s in (2, 5)], 3: [{"marked": 0}]}[at["kind"]]
     return [x, *(tuple((at | f).values()) for f in forms)]
 
 
@@ -297,11 +340,11 @@ def learn(spanned: DataFrame, base: str, candidates: str, id_column: str) -> tup
     of_corpus = _counted(spanned.filter(F.size(candidates) > 0).select(half.alias("half"), F.explode(F.transform(candidates, example)).alias("e")))
     of_corpus = [(h, form, no if form == x else 0.0, yes) for h, x, no, yes in of_corpus for form in (_loose(x) if yes else [x]) if no or yes]
 
-    cases = spanned.sparkSession.createDataFrame([(i, *row) for i, row in enumerate(labelled())], "id int, text string, kind int, start int, end int")
+    cases = spanned.sparkSession.createDataFrame(labelled(), "half int, text string, kind int, start int, end int")
     right = lambda x: (x["kind"] == F.col("kind")) & (x["start"] == F.col("start")) & (x["end"] == F.col("end"))
     marked = F.transform("found", lambda x: F.struct(x.alias("x"), right(x).alias("yes"), (~right(x)).alias("no")))
     found = with_spans(cases, "text", "sure", "found").withColumn("found", F.filter("found", lambda x: ~_touches(F.col("sure"), x)))
-    of_cases = _counted(found.select(F.pmod(F.xxhash64(F.lit("case"), F.col("id")), F.lit(2)).alias("half"), F.explode(marked).alias("e")))
+    of_cases = _counted(found.select("half", F.explode(marked).alias("e")))
 
     # Cases and look-alikes weigh alike in each kind and half.
     of = lambda h, kind, y: sum(r[y] for r in of_cases if r[0] == h and r[1][0] == kind)
@@ -324,8 +367,9 @@ def find(docs: DataFrame, text: str = "text", id_column: str = "doc_id", into: s
     spanned = materialise(spanned if keep_text else spanned.drop(text), "pii-spans")
     trees, bounds = learn(spanned, base, candidates, id_column)
     own, limits = F.col(base), F.array(*(F.lit(float(b)) for b in bounds))
-    # Only kinds with loose forms (not ip) add spans.
-    chosen = F.filter(F.col(candidates), lambda x: (x["kind"] != 1) & (trees.column(x) >= F.get(limits, x["kind"])) & ~_overlaps(own, x))
+    # Only kinds with loose forms (not ip) add spans, and a number that fails the check digit is no card, whatever stands around it.
+    possible = lambda x: (x["kind"] != 1) & ((x["kind"] != 2) | (x["valid"] == 1))
+    chosen = F.filter(F.col(candidates), lambda x: possible(x) & (trees.column(x) >= F.get(limits, x["kind"])) & ~_overlaps(own, x))
     added = F.transform(chosen, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
     spans = F.sort_array(F.concat(own, added))
     return spanned.withColumn(into, F.struct(own.alias("base"), spans.alias("spans"))).drop(base, candidates)
