@@ -10,12 +10,13 @@ a bounded memo per task uses.
 A document is described by how many of its windows save 1, 2, ... ``DEEPEST`` bytes, as counts and as shares; a logistic regression on the
 labelled sample calibrates that to the probability of label 1, and ``THRESHOLD`` decides.
 
-The sample is bounded: ``SAMPLE`` labelled rows of either class, ``SAMPLE_BYTES`` bytes of each, spread over the text. It is the only thing
-collected; counts and scores of all documents are made in tasks over whole texts.
+The sample is bounded: ``SAMPLE`` labelled rows of either class, ``SAMPLE_BYTES`` bytes of each, spread over the text and cut in the tasks. These and the
+window counts of the sample's whole texts are all that is collected; scores of all documents are made in tasks over whole texts.
 
 Defined results: null and empty texts have no windows and get a low score like any text without toxic windows; without labelled rows of
-both classes every score is 0; repeated rows get equal scores; rows without id are scored; an empty table gives an empty
-result.
+both classes every score is 0; repeated rows get equal scores, and a score of exactly ``THRESHOLD`` is toxic; rows without id are scored, not learned from; of
+rows of one id, one is learned from; an empty table gives an empty result; other columns are passed through by ``with_scores`` and
+``reject``, one named as the score is refused by the former (``ValueError``) and kept by the latter. A text is held whole by one task, however long.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 from starloom.llm.common import Memo, fold, fresh, held_out, one_text_each, read, spread_sample, texts
+from starloom.session import materialise
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE, SAMPLE_BYTES = 1500, 12_000
@@ -127,31 +130,47 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 40, ridge: float = 1.0)
     return w, mean, spread
 
 
-def fit(sample: list[tuple[str | None, int]]) -> dict | None:
-    """Dictionaries and calibration from (text, label) rows; None unless both labels occur."""
-    toxic, ordinary = ([_bounded(t) for t, y in sample if y == k] for k in (1, 0))
+def dictionaries(sample: list[tuple[bytes, int]]) -> dict | None:
+    """Dictionary contents from (bounded text, label) rows; None unless both labels occur."""
+    toxic, ordinary = ([t for t, y in sample if y == k] for k in (1, 0))
     if not toxic or not ordinary:
         return None
-    # Half of the rows make the dictionaries and all calibrate them.
+    # Half of the ordinary rows make their dictionary, and all rows calibrate.
     plain = _trained([t[i : i + 48] for t in ordinary[::2] for i in range(0, len(t), 48)][:60_000], ORDINARY_BYTES)
     grams = _frequent_only_in(toxic, ordinary)
     parts = [b" " + p + b" " for t in toxic if (p := _stretches(t, grams))]
-    model = {"ordinary": plain, "toxic": _trained(parts, TOXIC_BYTES) if parts else b""}
-    windows = Windows(**model)
-    x = np.array([windows.features(_normal(t)) for t, _ in sample])
-    y = np.array([float(label) for _, label in sample])
-    return model | {"calibration": _logistic(x, y)}
+    return {"ordinary": plain, "toxic": _trained(parts, TOXIC_BYTES) if parts else b""}
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict | None:
-    """Fits on a bounded sample of the labelled rows that aren't held out."""
+    """Fits on a bounded sample of the labelled rows that aren't held out. What is collected is cut or counted in the tasks first."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
     few = spread_sample(known.select("doc_id", F.col(label).alias("y")).distinct(), "y", "doc_id", SAMPLE)
-    rows = one_text_each(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id"), "doc_id", "y").orderBy("doc_id", "y").collect()  # 2 * SAMPLE rows
-    return fit([(r.text, r.y) for r in rows])
+    rows = one_text_each(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id"), "doc_id", "y")
+    sample = materialise(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("y").cast("int").alias("y"), "text"), "toxicity-sample")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, ys, bodies in texts(batches, "doc_id", "y", "text"):
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ys, pa.int32()), pa.array([_bounded(t) for t in bodies], pa.binary())], names=["doc_id", "y", "some"])
+
+    bounded = sample.mapInArrow(cut, "doc_id long, y int, some binary").orderBy("doc_id", "y").collect()  # 2 * SAMPLE rows of SAMPLE_BYTES
+    model = dictionaries([(bytes(r.some), r.y) for r in bounded])
+    if model is None:
+        return None
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = Windows(**model)
+        for ids, ys, bodies in texts(batches, "doc_id", "y", "text"):
+            x = pa.array([windows.features(_normal(t)) for t in bodies], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ys, pa.int32()), x], names=["doc_id", "y", "x"])
+
+    whole = sample.mapInArrow(described, "doc_id long, y int, x array<double>").orderBy("doc_id", "y").collect()  # a few numbers for each row
+    return model | {"calibration": _logistic(np.array([r.x for r in whole]), np.array([float(r.y) for r in whole]))}
 
 
 def with_scores(docs: DataFrame, model: dict | None, text: str = "text", into: str = "score") -> DataFrame:
+    if into.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"there is a column {into} already")
     if model is None:
         return docs.withColumn(into, F.lit(0.0))
     model = dict(model)
@@ -169,8 +188,6 @@ def with_scores(docs: DataFrame, model: dict | None, text: str = "text", into: s
             scores = pa.array(np.concatenate(found) if found else np.empty(0))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(width)), scores], names=[*batch.schema.names, into])
 
-    from pyspark.sql.types import DoubleType, StructType
-
     return docs.mapInArrow(score, StructType(list(docs.schema.fields)).add(into, DoubleType()))
 
 
