@@ -5,17 +5,18 @@ sentencepiece merges in the order of the ranks. Normalisation is the identity. T
 encoded on their own; a match that is a token itself is that token. Ids are decoded by the inverse mapping.
 
 A text is first cut at single spaces between other characters: no match of the pattern crosses such a place, so equal chunks give
-equal ids, which a bounded memo per task uses. Texts with other white space beside a space are matched whole.
+equal ids and bytes, which a bounded memo per Python worker uses (``CHUNKS``). Texts with other white space beside a space are matched whole.
 
 Defined results: null and empty texts give no ids; rows are encoded one by one, so ids of documents may be null or
-repeated; an empty table gives an empty result; other columns are ignored.
+repeated; there are no ties, as ranks differ; an empty table gives an empty result; other columns, also those named as the results, are ignored. A
+text is held whole by one task, however long.
 """
 
 from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import sha256
 from itertools import chain
 
@@ -24,8 +25,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Memo, read, texts
+from starloom.llm.common import Memo, kept, read, texts
 
+#: Chunks that a worker remembers.
+CHUNKS = 400_000
 UNKNOWN = 0  # the model's first piece; a token's piece is its rank + 1
 
 
@@ -84,7 +87,7 @@ class Codec:
         self.bytes_of = [bytes(back[c] for c in self.pieces.id_to_piece(i + 1)) for i in range(len(self.tokens))]
         self.split = regex.compile(pattern).findall
         self.uneven = regex.compile(r"\s\x20|\x20\s|\x20$").search
-        self.ids_of_chunk = Memo(lambda chunk: tuple(chain.from_iterable(map(self.ids_of_match, self.split(chunk)))))
+        self.part_of = Memo(self.part, CHUNKS)
 
     def ids_of_match(self, match: str) -> list[int]:
         raw = match.encode()
@@ -93,15 +96,24 @@ class Codec:
             return [whole]
         return [i - 1 for i in self.pieces.encode(raw.decode("latin-1").translate(self.written))]
 
-    def encode(self, text: str | None) -> list[int]:
+    def part(self, chunk: str) -> tuple[tuple[int, ...], str, bytes]:
+        """The ids of a chunk, these written in decimal, and the bytes that they decode to."""
+        ids = tuple(chain.from_iterable(map(self.ids_of_match, self.split(chunk))))
+        return ids, ",".join(map(str, ids)), self.decode(ids)
+
+    def parts(self, text: str | None) -> list[tuple[tuple[int, ...], str, bytes]]:
+        """A text in parts that are encoded on their own."""
         if not text:
             return []
         if self.uneven(text):
-            return list(chain.from_iterable(map(self.ids_of_match, self.split(text))))
+            return [self.part(text)]
         first, *rest = text.split(" ")
-        return list(chain.from_iterable(map(self.ids_of_chunk.__getitem__, [first, *(" " + r for r in rest)] if first else [" " + r for r in rest])))
+        return list(map(self.part_of.__getitem__, [first, *(" " + r for r in rest)] if first else [" " + r for r in rest]))
+
+    def encode(self, text: str | None) -> list[int]:
+        return list(chain.from_iterable(ids for ids, _, _ in self.parts(text)))
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
@@ -110,7 +122,7 @@ def _mapped(docs: DataFrame, path: str, pattern: str, text: str, make, schema: s
         held = docs.sparkSession.sparkContext.broadcast((f.read(), pattern))  # a vocabulary file, under 1 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(*held.value)
+        codec = kept(("codec", *held.value), lambda: Codec(*held.value))
         for doc_ids, bodies in texts(batches, "doc_id", "body"):
             rows = [make(codec, body) for body in bodies]
             yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), *map(pa.array, zip(*rows, strict=True))], names=["doc_id", *names])
@@ -133,8 +145,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
     """``doc_id, n_tokens`` and digests of the ids and of what they decode to, without moving the ids out of the task."""
 
     def digests(codec: Codec, body: str | None) -> tuple[int, str, str]:
-        ids = codec.encode(body)
-        return len(ids), sha256(",".join(map(str, ids)).encode()).hexdigest(), sha256(codec.decode(ids)).hexdigest()
+        ids, written, decoded = zip(*parts, strict=True) if (parts := codec.parts(body)) else ((), (), ())
+        return sum(map(len, ids)), sha256(",".join(written).encode()).hexdigest(), sha256(b"".join(decoded)).hexdigest()
 
     return _mapped(docs, path, pattern, text, digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -69,6 +71,17 @@ def texts(batches: Iterable[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
             yield tuple(part.column(c).to_pylist() for c in columns)
 
 
+def kept(key, make):
+    """What ``make()`` gave for ``key`` in this Python process: the tasks of one worker share it. For a few keys only.
+
+    Held by a module of its own, as functions that travel with a job are made anew for each task.
+    """
+    memory = sys.modules.setdefault("starloom_kept", types.ModuleType("starloom_kept")).__dict__.setdefault("memory", {})
+    if key not in memory:
+        memory[key] = make()
+    return memory[key]
+
+
 class Memo(dict):
     """Remembers what ``make`` gave for a key, up to ``size`` keys; later keys are made each time they occur.
 
