@@ -1,22 +1,26 @@
 """Language identification by cross-parsing against the suffix automaton of labelled text of each language.
 
-A text is parsed greedily into the longest phrases that occur in a language's labelled text; a letter that doesn't occur there is a phrase
-itself. Where a phrase ends, the automaton starts anew, so the parse is one deterministic automaton whose steps either go on or count a
-phrase. The language of the fewest phrases wins, after weighting each by the logarithm of the language's text length (the cost
-of pointing to a phrase). Texts are parsed whole, in blocks of ``BLOCK`` letters that start a phrase of their own, all blocks of many
-texts and all languages at once, one letter a step.
+A text is parsed greedily into the longest phrases that occur in a language's labelled text. Where a phrase ends, the automaton starts anew, so the
+parse is one deterministic automaton whose steps either go on or count a phrase. The language of the fewest phrases wins, after
+weighting each by the logarithm of the language's text length (the cost of pointing to a phrase).
 
-Text is lower-cased, and every run of other characters than letters becomes one blank. The model is bounded: ``SAMPLE`` labelled rows per language,
-``PER_ROW`` letters of each and ``MODEL_LETTERS`` in all, over at most ``LETTERS`` different letters (rarer ones share a symbol).
+Text is lower-cased, every run of other characters than letters becomes one blank, and the rest is parsed as UTF-8 bytes. So a language's alphabet is
+the bytes that its own text has, whatever its script and however many letters that has; a byte that doesn't occur there is a
+phrase of its own. Texts are parsed whole, all blocks of many texts and all languages at once, a byte a step. A block of ``BLOCK`` bytes
+starts a phrase of its own, in every language alike, which adds at most one phrase for each block and language.
+
+The model is bounded: ``SAMPLE`` labelled rows per language, of each the ``ROW_CHARACTERS`` characters and then the ``PER_ROW`` bytes in its middle,
+``MODEL_BYTES`` in all.
 
 Defined results: a null text and one without a letter is ``und`` with score 0, and so is every text if no row is labelled; ties go to the
-language first in order; rows without id are predicted but not learned from; repeated rows get equal results; an empty table
-gives an empty result; other columns are ignored. The score is 1 less the ratio of the best to the second-best cost.
+language first in order; rows without id are predicted but not learned from, and of rows of one id and language one is; repeated rows get equal results;
+an empty table gives an empty result; other columns, also those named as the results, are ignored. The score is 1 less the ratio of the best to the
+second-best cost, and 1 where there is one language. A text is held whole by one task, however long.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,22 +31,30 @@ from pyspark.sql import functions as F
 from starloom.llm.common import fold, held_out, one_text_each, read, spread_sample, texts
 
 FOLDS, HELD_OUT = 3, 1
-SAMPLE, PER_ROW, MODEL_LETTERS = 60, 600, 24_000
-LETTERS = 62
+SAMPLE, ROW_CHARACTERS, PER_ROW, MODEL_BYTES = 60, 1 << 16, 600, 24_000
 BLOCK = 2048
-#: Letters parsed at once; bounds a task's memory beside its longest text.
+#: Characters parsed at once; bounds a task's memory beside its longest text.
 AT_ONCE = 1 << 21
 UNDETERMINED = "und"
+BLANK = 32
+
+
+def letters() -> np.ndarray:
+    """Which code points are letters."""
+    table = np.zeros(0x110000, bool)
+    for point in range(0x110000):
+        table[point] = chr(point).isalpha()
+    return table
 
 
-def _codes(text: str | None, table: np.ndarray) -> np.ndarray:
-    """Symbols of a text: 0 for blank (never twice in a row, nor first), the letters' own, the last for any other letter."""
+def _bytes(text: str | None, is_letter: np.ndarray) -> np.ndarray:
+    """UTF-8 of a text's letters in lower case, a blank (never twice in a row, nor first) for each run of anything else."""
     points = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), np.uint32)
-    codes = table[points]
-    letter = codes > 0
+    letter = is_letter[points]
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # the first of each run of others stays as a blank
-    return codes[keep]
+    kept = np.where(letter, points, BLANK)[keep].astype("<u4")
+    return np.frombuffer(kept.tobytes().decode("utf-32-le").encode(), np.uint8)
 
 
 def automaton(codes: list[int], width: int) -> np.ndarray:
@@ -89,56 +101,55 @@ def fit(rows: list[tuple[str, str]]) -> dict | None:
     by_language: dict[str, list[str]] = defaultdict(list)
     for language, text in rows:
         by_language[language].append(text or "")
-    seen = Counter(c for t in (t for _, t in rows) for c in (t or "").lower() if c.isalpha())
-    if not seen:
-        return None
-    table = np.zeros(0x110000, np.uint8)
-    alphabet = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
-    other = len(alphabet) + 1
-    for point in range(0x110000):
-        if chr(point).isalpha():
-            table[point] = other
-    for i, c in enumerate(alphabet):
-        table[ord(c)] = i + 1
-    languages, tables, starts, weights, at = [], [], [], [], 0
+    is_letter = letters()
+    languages, alphabets, tables, starts, weights, at = [], [], [], [], [], 0
     for language in sorted(by_language):
-        parts = [_codes(t, table) for t in by_language[language]]
+        parts = [_bytes(t, is_letter) for t in by_language[language]]
         cut = [p[max(0, (len(p) - PER_ROW) // 2) :][:PER_ROW] for p in parts]  # from the middle of each row
-        codes = np.concatenate(cut)[:MODEL_LETTERS]
-        if not len(codes):
+        text = np.concatenate(cut)[:MODEL_BYTES]
+        if not len(text):
             continue
-        states = automaton(codes.tolist(), other + 1)
+        own = np.unique(text)
+        alphabet = np.full(256, len(own), np.int32)  # the last symbol stands for every byte that doesn't occur
+        alphabet[own] = np.arange(len(own))
+        states = automaton(alphabet[text].tolist(), len(own) + 1)
         # Steps hold the place of the next state's row in all tables.
-        steps = np.where(states >= 0, states, ~states) * (other + 1) + at
+        steps = np.where(states >= 0, states, ~states) * (len(own) + 1) + at
         tables.append(np.where(states >= 0, steps, ~steps).astype(np.int32).ravel())
         languages.append(language)
-        starts.append(at + (len(states) - 1) * (other + 1))
-        weights.append(np.log2(len(codes) + 1))
+        alphabets.append(alphabet)
+        starts.append(at + (len(states) - 1) * (len(own) + 1))
+        weights.append(np.log2(len(text) + 1))
         at += states.size
-    return {"table": table, "languages": languages, "steps": np.concatenate(tables), "starts": np.array(starts, np.int32), "weights": np.array(weights)}
+    if not languages:
+        return None
+    return {
+        "letters": is_letter, "languages": languages, "alphabets": np.stack(alphabets), "steps": np.concatenate(tables), "starts": np.array(starts, np.int32),
+        "weights": np.array(weights),
+    }
 
 
 def phrases(model: dict, coded: list[np.ndarray]) -> np.ndarray:
     """Number of phrases per text and language."""
     owners, blocks = [], []
-    for i, codes in enumerate(coded):
-        for at in range(0, len(codes), BLOCK):
+    for i, text in enumerate(coded):
+        for at in range(0, len(text), BLOCK):
             owners.append(i)
-            blocks.append(codes[at : at + BLOCK])
+            blocks.append(text[at : at + BLOCK])
     counts = np.zeros((len(coded), len(model["languages"])))
     if not blocks:
         return counts
     lengths = np.array([len(b) for b in blocks])
     order = np.argsort(-lengths, kind="stable")
-    letters = np.zeros((lengths.max(), len(blocks)), np.uint8)
-    for column, b in enumerate(order):
-        letters[: lengths[b], column] = blocks[b]
+    column = np.zeros((lengths.max(), len(blocks)), np.uint8)
+    for place, b in enumerate(order):
+        column[: lengths[b], place] = blocks[b]
     left = np.searchsorted(-lengths[order], -np.arange(lengths.max()), side="left")  # blocks longer than each step
-    steps = model["steps"]
+    steps, alphabets = model["steps"], model["alphabets"]
     states = np.repeat(model["starts"][:, None], len(blocks), axis=1)
     found = np.zeros((len(model["languages"]), len(blocks)), np.int32)
     for t, n in enumerate(left):
-        step = steps.take(states[:, :n] + letters[t, :n])
+        step = steps.take(states[:, :n] + alphabets.take(column[t, :n], axis=1))
         ended = step >> 31  # -1 where a phrase ends
         found[:, :n] -= ended
         states[:, :n] = step ^ ended
@@ -149,14 +160,14 @@ def phrases(model: dict, coded: list[np.ndarray]) -> np.ndarray:
 def predict(model: dict | None, bodies: list[str | None]) -> tuple[list[str], list[float]]:
     if model is None:
         return [UNDETERMINED] * len(bodies), [0.0] * len(bodies)
-    coded = [_codes(t, model["table"]) for t in bodies]
+    coded = [_bytes(t, model["letters"]) for t in bodies]
     cost = phrases(model, coded) * model["weights"]
     best = cost.argmin(axis=1)
     ordered = np.sort(cost, axis=1)
     second = ordered[:, 1] if cost.shape[1] > 1 else np.full(len(coded), np.inf)
     with np.errstate(invalid="ignore", divide="ignore"):
         score = np.clip(np.nan_to_num(1 - ordered[:, 0] / second), 0, 1)
-    known = [c.any() for c in coded]
+    known = [len(c) > 0 for c in coded]
     return [model["languages"][b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)], [float(s) if k else 0.0 for s, k in zip(score, known, strict=True)]
 
 
@@ -164,14 +175,15 @@ def learn(docs: DataFrame) -> dict | None:
     """Fits on a bounded sample of the labelled rows that aren't held out."""
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
     few = spread_sample(known.select("doc_id", "lang").distinct(), "lang", "doc_id", SAMPLE)
-    rows = known.join(F.broadcast(few), ["doc_id", "lang"]).select("lang", F.substring("text", 1, 1 << 16).alias("text"), "doc_id")
+    middle = F.substring("text", F.greatest(F.lit(1), F.floor((F.length("text") - ROW_CHARACTERS) / 2).cast("int") + 1), F.lit(ROW_CHARACTERS))
+    rows = known.join(F.broadcast(few), ["doc_id", "lang"]).select("lang", middle.alias("text"), "doc_id")
     rows = one_text_each(rows, "lang", "doc_id")
     return fit([(r["lang"], r["text"]) for r in rows.orderBy("lang", F.xxhash64("doc_id"), "doc_id").collect()])  # SAMPLE rows per language
 
 
 def identify(docs: DataFrame, model: dict | None) -> DataFrame:
     """``doc_id, lang_pred, score`` of every row."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MODEL_LETTERS and the number of languages
+    held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MODEL_BYTES and the number of languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, bodies, size = [], [], 0
