@@ -29,9 +29,6 @@ HEADLINES = (
     "sales_kpis revenue_by_category revenue_by_month top_items bar_share kpi_labels parquet_roundtrip csv_roundtrip_typed"
 ).split()
 
-#: Whole loads and rebuilds, which write their results; timed apart from the total.
-LOADS = "sale_load staged_load fact_replace_by_month warehouse_rebuild kpis_from_summaries scd2_apply_bucketed csv_infer_to_parquet".split()
-
 
 def seconds(build) -> float:
     start = time.perf_counter()
@@ -76,8 +73,6 @@ def main() -> None:
         cold[name] = seconds(lambda: QUERIES[name](spark, sf_dir))
         warm[name] = seconds(lambda: QUERIES[name](spark, sf_dir))
 
-    loads = {name: seconds(lambda: QUERIES[name](spark, sf_dir)) for name in LOADS}
-
     # The literal lookup pairs every line with every version, so it runs on the next smaller data only.
     smaller = sf_dir.replace("sf0.1", "sf0.01")
     forms = {
@@ -98,7 +93,6 @@ def main() -> None:
                 "unit": "sec",
                 "queries": warm,
                 "cold": cold,
-                "loads": loads,
                 "against_literal": against,
                 "sf": os.path.basename(sf_dir).removeprefix("sf"),
                 "cpus": int(cpus),
