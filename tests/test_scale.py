@@ -9,6 +9,7 @@ from starloom.operators.history import HistorySpec, close_versions
 from starloom.operators.lookup import LookupLimits, Role, VersionedDimension, look_up, resolve_point_in_time
 from starloom.operators.replace import replace_by_invoice
 from starloom.plans import quality, reports
+from starloom.sources import testdata
 from starloom.sources.testdata import OperationalTables
 
 
@@ -96,3 +97,41 @@ def test_all_fact_totals_come_from_one_scan(spark, sf_dir):
 def test_months_read_only_the_line_columns_they_need(spark, sf_dir):
     text = plan(QUERIES["revenue_by_month"](spark, sf_dir))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_extendedprice:double>" in text
+
+
+def exchanges(df):
+    """(partitioning, output columns) of each shuffle of a plan."""
+    def nodes(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.initialPlan()
+        yield node
+        for i in range(node.children().size()):
+            yield from nodes(node.children().apply(i))
+
+    found = [node for node in nodes(df._jdf.queryExecution().executedPlan()) if node.nodeName() == "Exchange"]
+    return [(node.outputPartitioning().toString(), node.output().toString()) for node in found]
+
+
+def test_staged_lines_are_dealt_by_their_invoice_alone(spark, sf_dir):
+    """Orders get their city before lines meet them, and the replacement uses the lines as they lie."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        lines = testdata.sale_staging(spark, sf_dir).select("Sale_Key", "WWI_City_ID", "WWI_Invoice_ID", "Quantity")
+        found = exchanges(replace_by_invoice(lines, lines.where("Quantity < 3")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # With so low a threshold the package types, 25 rows, are shuffled as well.
+    wide = [how for how, columns in found if ("l_quantity" in columns or "Quantity" in columns) and "PackageTypeID" not in how]
+    assert len(wide) == 2 and all("l_orderkey" in how for how in wide), "once for the lines, once for the restated ones"
+
+
+def test_versions_take_one_shuffle(spark):
+    rows = [(1, "2020-01-03"), (1, "2020-01-01"), (1, "2020-01-03"), (1, None), (2, None), (2, None), (None, "2020-01-05"), (None, "2020-01-04")]
+    changes = spark.createDataFrame(rows, "k bigint, d string").select("k", F.col("d").cast("timestamp_ntz").alias("d"))
+    versions = testdata._versions(changes, "k", "d", "bk")
+    end = "9999-12-31"
+    assert {(r["bk"], str(r["Valid_From"])[:10], str(r["Valid_To"])[:10]) for r in versions.collect()} == {
+        (1, "None", "2020-01-01"), (1, "2020-01-01", "2020-01-03"), (1, "2020-01-03", end), (2, "None", end),
+        (None, "2020-01-04", "2020-01-05"), (None, "2020-01-05", end),
+    }
+    assert versions.count() == 6 and len(exchanges(versions)) == 1
