@@ -67,3 +67,11 @@ def test_running_max_looks_at_earlier_rows_only(spark, many_chunks, seed):
         expected[at] = best
         best = v if best is None else max(best, v if v is not None else best)
     assert {r["at"]: r["m"] for r in running_max(rows, ["at"], "v", "m").collect()} == expected
+
+
+def test_a_known_number_of_rows_is_not_counted_again(spark, monkeypatch):
+    df = spark.range(0, 3000, 1, 7).select((F.col("id") * 7919 % 3000).alias("at"), F.xxhash64("id").alias("v"))
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 300)
+    counted = sorted(running_max(df, ["at"], "v", "top").collect())
+    monkeypatch.setattr(type(df), "count", lambda self: 1 / 0)
+    assert sorted(running_max(df, ["at"], "v", "top", rows=4000).collect()) == counted
