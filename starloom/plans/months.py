@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from starloom.operators.replace import replace_by_invoice, restated_invoices
+from starloom.operators.replace import Restated, restated
 from starloom.session import materialise, settings
 from starloom.sources.versions import exists
 
@@ -82,31 +82,33 @@ def read_load(spark: SparkSession, folder: str, load: int, columns: str) -> Data
     return spark.read.schema(typed).option("basePath", f"{folder}/lines").parquet(path).drop(STORED_BY)
 
 
-def touched_months(visible: DataFrame, staged: DataFrame) -> DataFrame:
+def touched_months(visible: DataFrame, staged: DataFrame, invoices: Restated | None = None) -> DataFrame:
     """Months of the lines to drop and of the lines to add, one row each, written.
 
     Up to ``PROBED`` restated invoices are pushed down to the scan, where the bloom filters of the stored months tell which row groups
     can hold one; only these are read. For more, the invoice column of the fact is read.
     """
     spark = staged.sparkSession
-    restated = restated_invoices(staged, INVOICE)
-    some = [row[0] for row in restated.limit(PROBED + 1).collect()]
+    invoices = invoices or restated(staged, INVOICE)
+    some = [row[0] for row in invoices.invoices.limit(PROBED + 1).collect()]
     if len(some) <= PROBED:
         dropped = visible.where(F.col(INVOICE).isin(some)).select(MONTH)
     else:
-        dropped = visible.select(INVOICE, MONTH).join(restated, F.col(INVOICE) == F.col("_invoice"), "left_semi").select(MONTH)
+        dropped = invoices.lines(visible.select(INVOICE, MONTH), INVOICE, "left_semi").select(MONTH)
     with settings(spark, spark_sql_parquet_pushdown_inFilterThreshold=str(PROBED)):
-        return materialise(dropped.unionByName(staged.select(MONTH)).distinct(), "touched-months")
+        return materialise(dropped.unionByName(staged.select(MONTH).distinct()).distinct(), "touched-months")
 
 
 def restate_months(visible: DataFrame, staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New content of the touched months, and those months: one row per calendar month, written once.
 
-    The months are fetched as well, so that the other months' folders stay closed.
+    The months are fetched as well, so that the other months' folders stay closed. The staged invoices are gathered once and mostly
+    broadcast as bits, so that the stored lines are shuffled only to be written. What is kept and added is as in ``replace_by_invoice``.
     """
-    months = touched_months(visible, staged)
+    invoices = restated(staged, INVOICE)
+    months = touched_months(visible, staged, invoices)
     affected = visible.where(F.col(MONTH).isin([row[MONTH] for row in months.collect()]))
-    return replace_by_invoice(affected, staged.select(*visible.columns), INVOICE), months
+    return invoices.lines(affected, INVOICE, "left_anti").unionByName(staged.select(*visible.columns)), months
 
 
 def store_months(content: DataFrame, months: DataFrame, load: int, folder: str) -> None:
@@ -116,10 +118,10 @@ def store_months(content: DataFrame, months: DataFrame, load: int, folder: str)
     write tasks by the rebalance, small ones share a task. Lines lie in order of their invoice, and each row group has a bloom
     filter of its invoices, sized by what it holds.
     """
-    stamped = content.withColumn(STORED_BY, F.lit(load).cast("bigint")).hint("rebalance", MONTH).sortWithinPartitions(STORED_BY, MONTH, INVOICE)
+    stamped = content.hint("rebalance", MONTH).withColumn(STORED_BY, F.lit(load).cast("bigint")).sortWithinPartitions(STORED_BY, MONTH, INVOICE)
     noted = months.withColumn(STORED_BY, F.lit(load).cast("bigint"))
     for df, name, folders in ((stamped, "lines", (STORED_BY, MONTH)), (noted.coalesce(1), "months", (STORED_BY,))):
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders)
+        writer = df.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(*folders)
         if name == "lines":
             writer = writer.option(f"parquet.bloom.filter.enabled#{INVOICE}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
         writer.parquet(f"{folder}/{name}")

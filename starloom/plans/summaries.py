@@ -56,7 +56,8 @@ def store(spark: SparkSession, folder: str, load: int) -> None:
     found = summarise(lines)
     for name in SCHEMAS:
         stamped = getattr(found, name).withColumn(STORED_BY, F.lit(load).cast("bigint"))
-        stamped.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(STORED_BY, MONTH).parquet(f"{folder}/{name}")
+        writer = stamped.hint("rebalance", MONTH).write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(STORED_BY, MONTH).parquet(f"{folder}/{name}")
 
 
 def read(spark: SparkSession, folder: str, lineage: DataFrame) -> Summaries:

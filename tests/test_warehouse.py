@@ -327,3 +327,28 @@ def test_restated_invoices_open_few_row_groups(spark, tmp_path, monkeypatch):
         assert scanned_rows(visible.where(F.col("WWI_Invoice_ID").isin([7, 8, 9])).select(months.MONTH)) < n / 10
     monkeypatch.setattr(months, "PROBED", 2)
     assert sorted(r[0] for r in months.touched_months(visible, staged).collect()) == [202001, 202003], "many invoices are joined"
+
+
+@pytest.mark.parametrize("words", [0, 1000])
+def test_restated_months_shuffle_no_stored_line(spark, tmp_path, monkeypatch, words):
+    """Many invoices, of any sign and far apart, some missing: packed as bits they are broadcast; too many words are joined."""
+    from starloom.operators import replace
+
+    monkeypatch.setattr(months, "PROBED", 2)
+    monkeypatch.setattr(replace, "WORDS", words)
+    ids = [None, -65, -64, -1, 0, 1, 63, 64, 65, 127, 128, 2**62, -(2**62)]
+    stored = fact_lines(spark, *[(i, f"old {i} {n}", 20200105 + 100 * n) for i in ids for n in range(2)])
+    gone = [-64, 0, 63, 64, 128, 2**62, 5]
+    staged = fact_lines(spark, (None, "new", 20200105), *[(i, f"new {i}", 20200405) for i in gone])
+    months.store_months(stored, stored.select(months.MONTH).distinct(), 1, str(tmp_path))
+    content, touched = months.restate_months(seen(spark, str(tmp_path), 1), staged)
+    assert sorted(r[0] for r in touched.collect()) == [202001, 202002, 202004]
+    kept = [f"old {i} {n}" for i in ids if i not in gone for n in range(2)]
+    assert sorted(r["line"] for r in content.collect()) == sorted(kept + ["new"] + [f"new {i}" for i in gone])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        content, _ = months.restate_months(seen(spark, str(tmp_path), 1), staged)
+        shuffles = content._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shuffles == (0 if words else 2)
