@@ -204,3 +204,21 @@ def wide_exchanges(df):
             yield from nodes(plan.children().apply(i))
 
     return [node.output().toString() for node in nodes(df._jdf.queryExecution().executedPlan()) if node.nodeName().startswith("Exchange")]
+
+
+def test_only_versions_in_reach_of_the_rows_are_joined(spark, monkeypatch):
+    """A batch of a few days meets a long history: what ended before it or starts after it is neither dealt nor sorted."""
+    versions = [(k, "A", day(k), day(k + 1)) for k in range(1, 200)] + [(300, "B", day(0), END), (301, "C", day(500), END)]
+    probes = [("A", day(50)), ("A", day(53)), ("B", day(51)), ("C", day(53)), (None, day(50)), ("A", None)]
+    taken, real = [], lookup._ways
+    monkeypatch.setattr(lookup, "_ways", lambda v, *more: (taken.append(v.count()), real(v, *more))[1])
+    assert resolve(spark, versions, probes, LookupLimits(broadcast_rows=0)) == brute_force(versions, probes)
+    assert taken == [6], "versions 49 to 53 of A, and B's"
+    assert resolve(spark, versions, [("A", None)], LookupLimits(broadcast_rows=0)) == [0]
+
+
+def test_cutting_a_deep_key_adds_few_pieces(spark):
+    versions = [(k, "A", day(k), day(k + 1)) for k in range(1, 2001)]
+    dim = VersionedDimension(spark.createDataFrame(versions, DIM), "bk", "key")
+    ways = lookup._ways(lookup._usable(dim), LookupLimits())
+    assert ways.swept is None and 2000 < ways.pieces.count() < 2300
