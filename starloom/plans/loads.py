@@ -17,6 +17,7 @@ from starloom.operators.lookup import Role, VersionedDimension
 from starloom.plans import months, summaries, warehouse
 from starloom.plans.facts import LOADED_COLUMNS
 from starloom.plans.warehouse import CUTOFFS, LINEAGE, SALE
+from starloom.session import SHUFFLES_REMOVED, settings
 from starloom.sources import versions
 from starloom.sources.landing import read_parquet
 from starloom.sources.schemas import CUTOFFS as CUTOFF_SCHEMA
@@ -50,7 +51,8 @@ def start(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) ->
     cutoffs = spark.createDataFrame([(name, None) for name in (*(spec.table for spec in LOADED), SALE)], CUTOFF_SCHEMA)
     target = versions.version_folder(folder, 0)
     first = {spec.table: tables[spec.table] for spec in (*LOADED, *LOOKED_UP)}
-    warehouse.write_warehouse({**first, LINEAGE: spark.createDataFrame([], LINEAGE_SCHEMA), CUTOFFS: cutoffs}, target)
+    with settings(spark, **SHUFFLES_REMOVED):
+        warehouse.write_warehouse({**first, LINEAGE: spark.createDataFrame([], LINEAGE_SCHEMA), CUTOFFS: cutoffs}, target)
     return target
 
 
@@ -66,8 +68,16 @@ def load_staged(
     """Load all staged tables on top of the newest version, dimensions before sales, and return the new version's folder.
 
     Every table is a load of its own in the lineage, opened with ``cutoff`` and closed. Sales look their keys up in the
-    dimensions as they are after their loads. Tables without a batch are pointed to, not copied.
+    dimensions as they are after their loads. Tables without a batch are pointed to, not copied. Each step is written, and what it
+    shuffled is removed before the next.
     """
+    with settings(spark, **SHUFFLES_REMOVED):
+        return _load_staged(spark, folder, staged, cutoff, now, base, target)
+
+
+def _load_staged(
+    spark: SparkSession, folder: str, staged: Mapping[str, DataFrame], cutoff: datetime | str, now: datetime | str, base: str | None, target: str | None
+) -> str:
     known = {*(spec.table for spec in LOADED), SALE}
     if unknown := sorted({*staged} - known):
         raise ValueError(f"no load for {', '.join(unknown)}")

@@ -24,6 +24,8 @@ STORED_BY = "Stored_By"
 INVOICE = "WWI_Invoice_ID"
 #: Restated invoices that are looked for by filters; more are joined.
 PROBED = 500
+#: Files of a month, on average, beyond which its lines are dealt anew when they are written again.
+FILES_PER_MONTH = 8
 
 
 def with_month(lines: DataFrame, date_key: str = "Invoice_Date_Key") -> DataFrame:
@@ -99,26 +101,38 @@ def touched_months(visible: DataFrame, staged: DataFrame, invoices: Restated | N
         return materialise(dropped.unionByName(staged.select(MONTH).distinct()).distinct(), "touched-months")
 
 
-def restate_months(visible: DataFrame, staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+def restate_months(visible: DataFrame, staged: DataFrame, added: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """New content of the touched months, and those months: one row per calendar month, written once.
 
     The months are fetched as well, so that the other months' folders stay closed. The staged invoices are gathered once and mostly
     broadcast as bits, so that the stored lines are shuffled only to be written. What is kept and added is as in ``replace_by_invoice``.
+
+    ``added``: the staged lines as they are to be stored, dealt by month; ``staged`` then only has to have their invoices and months. The content
+    is dealt by month as well: the kept lines stay where they lie, a month in few files. They are dealt anew if loads have left it in many, or if
+    the invoices had to be joined.
     """
     invoices = restated(staged, INVOICE)
     months = touched_months(visible, staged, invoices)
     affected = visible.where(F.col(MONTH).isin([row[MONTH] for row in months.collect()]))
-    return invoices.lines(affected, INVOICE, "left_anti").unionByName(staged.select(*visible.columns)), months
+    kept = invoices.lines(affected, INVOICE, "left_anti")
+    if added is not None and (invoices.words is None or _scattered(visible.inputFiles())):
+        kept = kept.hint("rebalance", MONTH)
+    return kept.unionByName((staged if added is None else added).select(*visible.columns)), months
+
+
+def _scattered(files: list[str]) -> bool:
+    """Whether months lie in more files than they should. Each rewriting adds some, as kept lines stay apart from new ones."""
+    return len(files) > FILES_PER_MONTH * len({file.rpartition("/")[0] for file in files})
 
 
-def store_months(content: DataFrame, months: DataFrame, load: int, folder: str) -> None:
+def store_months(content: DataFrame, months: DataFrame, load: int, folder: str, dealt: bool = False) -> None:
     """Write one load's months, then note them.
 
     A retry of the same load replaces only its own folders. A large month is split over several
-    write tasks by the rebalance, small ones share a task. Lines lie in order of their invoice, and each row group has a bloom
-    filter of its invoices, sized by what it holds.
+    write tasks by the rebalance, small ones share a task; ``dealt``: the content is dealt by month already. Lines lie in order of their
+    invoice, and each row group has a bloom filter of its invoices, sized by what it holds.
     """
-    stamped = content.hint("rebalance", MONTH).withColumn(STORED_BY, F.lit(load).cast("bigint")).sortWithinPartitions(STORED_BY, MONTH, INVOICE)
+    stamped = (content if dealt else content.hint("rebalance", MONTH)).withColumn(STORED_BY, F.lit(load).cast("bigint")).sortWithinPartitions(STORED_BY, MONTH, INVOICE)
     noted = months.withColumn(STORED_BY, F.lit(load).cast("bigint"))
     for df, name, folders in ((stamped, "lines", (STORED_BY, MONTH)), (noted.coalesce(1), "months", (STORED_BY,))):
         writer = df.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(*folders)

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from starloom.operators import control
 from starloom.operators.history import LINEAGE_KEY, HistorySpec, apply_history
-from starloom.operators.lookup import Role, VersionedDimension, require_unique, resolve_point_in_time
+from starloom.operators.lookup import BY_LOTS, Role, VersionedDimension, require_unique, resolve_and_deal
 from starloom.plans import months, quality, summaries
 from starloom.plans.dimensions import dim_customer, dim_stockitem, dim_supplier
 from starloom.plans.facts import fact_sale
+from starloom.session import settings
 from starloom.sources import landing, versions
 from starloom.sources.landing import read_parquet, write_parquet
 from starloom.sources.schemas import CONTROL_TOTALS
@@ -108,11 +109,13 @@ def load_sales_by_month(
     """
     spark = staging.sparkSession
     key = control.require_open_load(warehouse[LINEAGE], SALE)
-    resolved = resolve_point_in_time(staging, at, roles, dimensions).withColumn(LINEAGE_KEY, F.lit(key).cast("bigint"))
+    rows, resolved = resolve_and_deal(staging, at, roles, dimensions, months.MONTH)
+    resolved = resolved.withColumn(LINEAGE_KEY, F.lit(key).cast("bigint"))
     if columns is not None:
         resolved = resolved.select(*columns, months.MONTH)
     visible = months.read_months(spark, folder, warehouse[LINEAGE], resolved.schema)
-    months.store_months(*months.restate_months(visible, resolved), key, folder)
+    with settings(spark, **BY_LOTS):
+        months.store_months(*months.restate_months(visible, rows, resolved), key, folder, dealt=True)
     summaries.store(spark, folder, key)
     return _finished(warehouse, SALE, key, completed)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from starloom.constants import END_OF_TIME
 from starloom.operators import lookup
 from starloom.operators.lookup import LookupLimits, Role, VersionedDimension, resolve_point_in_time
+from starloom.session import settings
 
 END = datetime.fromisoformat(END_OF_TIME)
 DIM = "key bigint, bk string, Valid_From timestamp_ntz, Valid_To timestamp_ntz"
@@ -222,3 +223,26 @@ def test_cutting_a_deep_key_adds_few_pieces(spark):
     dim = VersionedDimension(spark.createDataFrame(versions, DIM), "bk", "key")
     ways = lookup._ways(lookup._usable(dim), LookupLimits())
     assert ways.swept is None and 2000 < ways.pieces.count() < 2300
+
+
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("lot_rows", [1, 1000])
+def test_rows_are_resolved_where_they_are_dealt(spark, monkeypatch, way, lot_rows):
+    """Dealt by a column for its table, rows get the same keys, and aren't shuffled to meet their answers first."""
+    monkeypatch.setattr(lookup, "LOT_ROWS", lot_rows)
+    rng = random.Random(5)
+    versions = [(n, rng.choice("ABCD"), day(s), day(s + rng.randrange(30))) for n, s in enumerate(rng.randrange(40) for _ in range(60))]
+    probes = [(i // 2, rng.choice(["A", "B", "C", "D", "E", None]), rng.choice([None, day(rng.randrange(60))]), rng.choice([None, 1, 2, 3])) for i in range(300)]
+    dims = {"d": VersionedDimension(spark.createDataFrame(versions, DIM), "bk", "key")}
+    staged = spark.createDataFrame(probes, PROBE + ", month int").repartition(4)
+    roles = [Role("bk", "d", "found")]
+    want = resolve_point_in_time(staged, "t", roles, dims, limits=WAYS[way])
+    rows, got = lookup.resolve_and_deal(staged, "t", roles, dims, "month", limits=WAYS[way])
+    with settings(spark, **lookup.BY_LOTS, spark_sql_autoBroadcastJoinThreshold="-1"):
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and rows.select("n").count() == 300
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        tasks = {tuple(r) for r in got.select("month", F.spark_partition_id()).collect()}
+    assert "hashpartitioning(_row" not in plan
+    if lot_rows > 300:
+        assert len(tasks) == 4, "a month lies in one task"

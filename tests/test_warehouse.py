@@ -1,6 +1,8 @@
 """Rebuild and incremental loads end to end."""
 
 import random
+import re
+import time
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -352,3 +354,32 @@ def test_restated_months_shuffle_no_stored_line(spark, tmp_path, monkeypatch, wo
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert shuffles == (0 if words else 2)
+
+
+def test_kept_lines_stay_in_their_months(spark, tmp_path, monkeypatch):
+    """Kept lines are written from where they lie, not dealt by month again, unless loads have left a month in many files."""
+    stored = fact_lines(spark, *[(i, f"old {i}", 20200105 + 100 * (i % 3)) for i in range(30)])
+    staged = fact_lines(spark, (4, "new 4", 20200105), (99, "new 99", 20200405))
+    months.store_months(stored, stored.select(months.MONTH).distinct(), 1, str(tmp_path))
+    visible = months.read_months(spark, str(tmp_path), lineage_of(spark, 1), stored.schema)
+    for most, dealt in ((8, 0), (0, 1)):
+        monkeypatch.setattr(months, "FILES_PER_MONTH", most)
+        content, touched = months.restate_months(visible, staged, staged.withColumn("line", F.upper("line")))
+        assert content._jdf.queryExecution().optimizedPlan().toString().count("RebalancePartitions") == dealt
+        months.store_months(content, touched, 2, str(tmp_path), dealt=True)
+        got = months.read_months(spark, str(tmp_path), lineage_of(spark, 1, 2), stored.schema)
+        assert sorted(r["line"] for r in got.collect()) == sorted([f"old {i}" for i in range(30) if i != 4] + ["NEW 4", "NEW 99"])
+
+
+def test_a_load_removes_what_it_shuffled(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+", disk.getAllFiles().mkString(" ")))
+    before = shuffled()
+    loads.start(spark, first_tables(spark), str(tmp_path))
+    loads.load_staged(spark, str(tmp_path), {"Sale": staged_sales(spark, *FIRST)}, day(9), day(10))
+    for _ in range(50):  # the files go a moment later
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert shown(spark, str(tmp_path)) == {(100, 1, "5.00", 1), (101, 1, "6.00", 1), (102, 0, "1.00", 1)}
