@@ -626,6 +626,31 @@ def test_pruned_search_of_a_shard_is_exact(monkeypatch):
                 assert [x for x in found if x[0] >= least] == [x for x in want if x[0] >= least]
 
 
+@pytest.mark.parametrize("few", [0, 1 << 30])
+def test_search_scores_only_documents_that_can_reach_the_threshold(monkeypatch, few):
+    """One by one, or after a product of matrices in single precision: the exact scores of the same documents, and of few others."""
+    import numpy as np
+
+    monkeypatch.setattr(topk_search, "FEW", few)
+    monkeypatch.setattr(topk_search, "FREQUENT", 8)
+    rng, n = random.Random(9), 2000
+    held = [sorted(rng.sample(range(n), n // (2 + t // 4))) for t in range(200)]
+    sizes = np.array([len(x) for x in held])
+    places, tfs = np.concatenate(held), np.array([rng.randint(1, 4) for _ in range(sizes.sum())])
+    idf = np.log(n / sizes)
+    shard = topk_search.Shard(np.arange(n), np.full(n, 12), np.arange(200), idf, sizes, places, tfs, 200, 12.0)
+    score = np.zeros((200, n))
+    score[np.repeat(np.arange(200), sizes), places] = np.floor(topk_search.UNIT * (np.repeat(idf, sizes) * tfs * 2.2 / (tfs + 1.2)))
+    scored = []
+    monkeypatch.setattr(shard, "_scores", lambda sums, rows, places, of=shard._scores: scored.append(len(places)) or of(sums, rows, places))
+    queries = [np.array(rng.sample(range(200), 60)) for _ in range(20)]
+    best = [sorted(((int(x), i) for i, x in enumerate(score[q].sum(axis=0))), key=lambda x: (-x[0], x[1]))[:10] for q in queries]
+    assert shard.best(queries, 10, [0] * 20) == best
+    scored.clear()
+    assert shard.best(queries, 10, [found[-1][0] for found in best]) == best
+    assert sum(scored) < len(queries) * (12 if few else n / 2)
+
+
 def test_rows_of_one_id_are_found_once_however_they_are_dealt(spark, tmp_path):
     rng = random.Random(3)
     texts = [" ".join(rng.choices("ab cd ef gh ij kl mn op qr st uv wx".split(), k=rng.randint(3, 30))) for _ in range(60)]
